@@ -8,21 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from jobscape.operators.matching import employer_candidates, match_employers, normalize_name, with_candidate_id
-from jobscape.operators.register import REGISTER_COLUMNS
+from jobscape.operators.scale import lookup
 
 PLACE = ["postal_code", "commune_code", "naf_code"]
-CANDIDATE_KEY = ["normalized_employer_name", *PLACE]
+SPREAD = 4096
 
 
-def int_employer_candidates(employers: DataFrame, locations: DataFrame) -> DataFrame:
+def int_employer_candidates(staged: DataFrame, place: list[str] = PLACE) -> DataFrame:
     """Distinct employers by normalized name, postal code, commune and activity."""
-    return employer_candidates(
-        employers.select("offer_id", "employer_name", "naf_code").join(
-            locations.select("offer_id", "postal_code", "commune_code"), "offer_id"
-        ),
-        "employer_name",
-        PLACE,
-    )
+    return employer_candidates(staged, "employer_name", place)
 
 
 def register_entries(register: DataFrame) -> DataFrame:
@@ -72,20 +66,35 @@ def stg_register_matches(matches: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
-def int_offer_employers(employers: DataFrame, locations: DataFrame, matches: DataFrame) -> DataFrame:
+def with_employers(staged: DataFrame, matches: DataFrame, place: list[str] = PLACE) -> DataFrame:
     """Every offer with its candidate and, where there is one, its register entry."""
-    keyed = with_candidate_id(
-        employers.select("offer_id", "employer_name", "naf_code")
-        .join(locations.select("offer_id", "postal_code", "commune_code"), "offer_id", "left")
-        .withColumn("normalized_employer_name", normalize_name("employer_name")),
-        CANDIDATE_KEY,
-    ).select(
-        "offer_id", F.when(F.col("normalized_employer_name").isNotNull(), F.col("employer_candidate_id")).alias("employer_candidate_id")
+    named = staged.withColumn("normalized_employer_name", normalize_name("employer_name"))
+    keyed = with_candidate_id(named, ["normalized_employer_name", *place]).withColumn(
+        "employer_candidate_id",
+        F.when(F.col("normalized_employer_name").isNotNull(), F.col("employer_candidate_id")),
     )
     found = matches.select(
-        "employer_candidate_id", "siren", "siret", "legal_name", "match_confidence", "match_status"
+        F.col("employer_candidate_id").alias("_id"),
+        "siren", "siret", "legal_name", "match_confidence",
+        F.col("match_status").alias("_status"),
+    )
+    # Most offers name no employer. Their join key is spread so that they do not all meet
+    # in one task; no candidate has such a key.
+    nobody = F.concat(F.lit("-"), F.pmod(F.xxhash64("offer_id"), F.lit(SPREAD)).cast("string"))
+    return (
+        lookup(
+            keyed.withColumn("_key", F.coalesce("employer_candidate_id", nobody)),
+            found,
+            F.col("_key") == F.col("_id"),
+            "left",
+        )
+        .withColumn("match_status", F.coalesce("_status", F.lit("unmatched")))
+        .drop("_key", "_id", "_status")
     )
-    return keyed.join(found, "employer_candidate_id", "left").select(
-        "offer_id", "employer_candidate_id", "siren", "siret", "legal_name", "match_confidence",
-        F.coalesce("match_status", F.lit("unmatched")).alias("match_status"),
+
+
+def int_offer_employers(staged: DataFrame, matches: DataFrame, place: list[str] = PLACE) -> DataFrame:
+    """The employer link alone: one row per offer."""
+    return with_employers(staged, matches, place).select(
+        "offer_id", "employer_candidate_id", "siren", "siret", "legal_name", "match_confidence", "match_status"
     )

@@ -11,40 +11,47 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobscape.functions.figures import salary_bounds
 from jobscape.operators.geo import lookup_left
-from jobscape.operators.scale import lookup
+from jobscape.plans.employers import with_employers
 
 
-def int_offer_places(
-    locations: DataFrame, communes: DataFrame, departments: DataFrame, regions: DataFrame, epcis: DataFrame
+PLACE_COLUMNS = [
+    "commune_code", "commune_name", "departement_code", "departement_name",
+    "region_code", "region_name", "epci_code", "epci_name",
+]
+
+
+def with_places(
+    staged: DataFrame, communes: DataFrame, departments: DataFrame, regions: DataFrame, epcis: DataFrame
 ) -> DataFrame:
     """Every offer with codes and names of its commune, department, region and body.
 
-    The lists are the staged ones; one row per offer since communes are not exploded."""
+    The lists are the staged ones, one row per commune, so offers are not repeated."""
     c = communes.select(
         F.col("commune_code").alias("_c"), "commune_name", F.col("departement_code").alias("_d"),
         F.col("region_code").alias("_r"), F.col("epci_code").alias("_e"),
     )
-    joined = lookup_left(
-        locations.select("offer_id", "commune_code"),
+    return lookup_left(
+        staged,
         [
             (c, "commune_code", "_c"),
             (departments.select("departement_code", "departement_name"), "_d", "departement_code"),
-            (regions, "_r", "region_code"),
-            (epcis, "_e", "epci_code"),
+            (regions.select("region_code", "region_name"), "_r", "region_code"),
+            (epcis.select("epci_code", "epci_name"), "_e", "epci_code"),
         ],
-    )
-    return joined.select(
-        "offer_id", "commune_code", "commune_name", "departement_code", "departement_name",
-        "region_code", "region_name", "epci_code", "epci_name",
-    )
+    ).drop("_c", "_d", "_r", "_e")
 
 
-def int_offers_enriched(offers: DataFrame, salaries: DataFrame, places: DataFrame, employers: DataFrame) -> DataFrame:
-    """Offer, salary, place and employer in one row. All parts share the key, so the
-    shuffle by offer is done once and reused by the chain of joins."""
-    return (
-        offers.join(salaries, "offer_id", "left").join(places, "offer_id", "left").join(employers, "offer_id", "left")
-    )
+def int_offer_places(staged: DataFrame, *lists: DataFrame) -> DataFrame:
+    """The place link alone: one row per offer."""
+    return with_places(staged, *lists).select("offer_id", *PLACE_COLUMNS)
+
+
+def int_offers_enriched(staged: DataFrame, lists: Sequence[DataFrame], matches: DataFrame) -> DataFrame:
+    """Offer, salary, place and employer in one row.
+
+    Place and employer are looked up on the staged row itself: small lists are broadcast
+    after a size check and the offers are never joined with each other."""
+    return with_employers(with_places(staged, *lists), matches)
 
 
 def mart_offers(enriched: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -73,11 +73,27 @@ def stg_employers(offers: DataFrame, columns: dict[str, str] = EMPLOYER, key: st
 
 
 def stg_salaries(offers: DataFrame, columns: dict[str, str] = SALARY, key: str = "id") -> DataFrame:
-    """The salary texts, all of them in one text, and a flag: ``label``, ``text`` or ``none``."""
-    texts = _slice(offers, columns, key)
-    raw = F.nullif(F.concat_ws(" | ", *columns), F.lit(""))
-    flag = F.when(presence_flag("salary_label") == 1, "label").when(raw.isNotNull(), "text").otherwise("none")
-    return texts.withColumns({"salary_raw_text": raw, "salary_quality_flag": flag})
+    return _with_salary_text(_slice(offers, columns, key), list(columns))
+
+
+def stg_whole(
+    offers: DataFrame,
+    offer: dict[str, str] = OFFER,
+    location: dict[str, str] = LOCATION,
+    employer: dict[str, str] = EMPLOYER,
+    salary: dict[str, str] = SALARY,
+    key: str = "id",
+) -> DataFrame:
+    """All four slices side by side. Later steps start here: the slices of one offer stand
+    in one source row, so nothing has to be joined back by offer."""
+    return _with_salary_text(_slice(offers, {**offer, **location, **employer, **salary}, key), list(salary))
+
+
+def _with_salary_text(df: DataFrame, texts: list[str]) -> DataFrame:
+    """All salary texts as one, and what there is: ``label``, ``text`` or ``none``."""
+    raw = F.nullif(F.concat_ws(" | ", *texts), F.lit(""))
+    flag = F.when(presence_flag(texts[0]) == 1, "label").when(raw.isNotNull(), "text").otherwise("none")
+    return df.withColumns({"salary_raw_text": raw, "salary_quality_flag": flag})
 
 
 def raw_offers(lines: DataFrame, run_id: str, ingested_at, source_system: str) -> DataFrame:
