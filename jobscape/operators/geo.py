@@ -1,4 +1,9 @@
-"""Place lookups: by code, by name, and the lists they need."""
+"""Place lookups: by code, by name, and the lists they need.
+
+No join here carries a broadcast hint. Hand in lists that were read from files or settled
+(``sinks.tables.settle``): Spark then knows their size, broadcasts the small ones and
+shuffles for the others, splitting hot keys at run time.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobscape.functions.text import fold_upper, json_first
-from jobscape.operators.scale import broadcast_if_small, lookup
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -18,7 +22,7 @@ def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 def explode_codes(df: DataFrame, codes: str, out: str) -> DataFrame:
     """One row per element of a list column, which is dropped; rows without elements go."""
     kept = [c for c in df.columns if c != codes]
-    return df.select(*kept, F.explode(codes).cast("string").alias(out))
+    return df.select(*kept, F.explode(F.col(codes).cast("array<string>")).alias(out))
 
 
 def first_code(codes: Column | str, as_json: bool = False) -> Column:
@@ -36,11 +40,10 @@ def code_name(df: DataFrame, code: str, name: str, code_as: str, name_as: str) -
 def lookup_left(facts: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
     """Chain of left joins ``(dimension, fact column, dimension column)``.
 
-    Unmatched rows stay, with null names. Each dimension is broadcast only after its
-    size was checked.
+    Unmatched rows stay, with null names.
     """
     for dim, left, right in dims:
-        facts = lookup(facts, dim, F.col(left) == F.col(right), "left")
+        facts = facts.join(dim, F.col(left) == F.col(right), "left")
     return facts
 
 
@@ -57,7 +60,7 @@ def name_index(df: DataFrame, keys: dict[str, str], values: Sequence[str]) -> Da
 def join_by_code(facts: DataFrame, places: DataFrame, left: str, right: str) -> DataFrame:
     """Inner join on a place code. One row per match, so a place listed under several
     postal codes repeats the fact."""
-    return lookup(facts, places, F.col(left) == F.col(right), "inner")
+    return facts.join(places, F.col(left) == F.col(right))
 
 
 def join_by_name(
@@ -75,7 +78,7 @@ def join_by_name(
     """
     same_city = fold_upper(city) == F.col(city_key)
     same_department = (fold_upper(department) == F.col(department_key)) | F.col(department).isNull()
-    return facts.join(broadcast_if_small(index), same_city & same_department, "inner")
+    return facts.join(index, same_city & same_department)
 
 
 def one_row_per_key(df: DataFrame, key: str, tie: str) -> DataFrame:

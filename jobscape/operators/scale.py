@@ -1,4 +1,4 @@
-"""Joins and limits that hold up when one key carries a large share of the rows."""
+"""First rows per key, also when one key carries a large share of the rows."""
 
 from __future__ import annotations
 
@@ -6,40 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A table is sent to every executor only below both bounds.
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 # Up to this rank one reducer can take the rows that all map tasks keep for a hot key.
 ONE_STEP_RANK = 10
 RANK_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """``df`` with a broadcast hint when it was counted to fit, else as it is.
-
-    Without the hint Spark joins by shuffle, and adaptive execution splits the
-    partitions that a hot key makes large. The count stops one row past the bound.
-    """
-    size = (
-        df.limit(max_rows + 1)
-        .select(F.octet_length(F.to_json(F.struct("*"))).alias("b"))
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"))
-        .first()
-    )
-    fits = size["n"] <= max_rows and size["bytes"] <= max_bytes
-    return F.broadcast(df) if fits else df
-
-
-def lookup(
-    facts: DataFrame, dim: DataFrame, on: Column | str | list[str], how: str = "left", **bounds: int
-) -> DataFrame:
-    """Join facts to a table expected to be small, with its size checked first."""
-    return facts.join(broadcast_if_small(dim, **bounds), on, how)
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row per key. Each map task keeps one row per key before the shuffle."""
     return _ranked(df, keys, order, 1)

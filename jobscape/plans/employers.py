@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from jobscape.operators.matching import employer_candidates, match_employers, normalize_name, with_candidate_id
-from jobscape.operators.scale import lookup
 
 PLACE = ["postal_code", "commune_code", "naf_code"]
 SPREAD = 4096
@@ -67,7 +66,9 @@ def stg_register_matches(matches: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def with_employers(staged: DataFrame, matches: DataFrame, place: list[str] = PLACE) -> DataFrame:
-    """Every offer with its candidate and, where there is one, its register entry."""
+    """Every offer with its candidate and, where there is one, its register entry.
+
+    ``matches`` is the kept match table, so it has a known size."""
     named = staged.withColumn("normalized_employer_name", normalize_name("employer_name"))
     keyed = with_candidate_id(named, ["normalized_employer_name", *place]).withColumn(
         "employer_candidate_id",
@@ -82,12 +83,8 @@ def with_employers(staged: DataFrame, matches: DataFrame, place: list[str] = PLA
     # in one task; no candidate has such a key.
     nobody = F.concat(F.lit("-"), F.pmod(F.xxhash64("offer_id"), F.lit(SPREAD)).cast("string"))
     return (
-        lookup(
-            keyed.withColumn("_key", F.coalesce("employer_candidate_id", nobody)),
-            found,
-            F.col("_key") == F.col("_id"),
-            "left",
-        )
+        keyed.withColumn("_key", F.coalesce("employer_candidate_id", nobody))
+        .join(found, F.col("_key") == F.col("_id"), "left")
         .withColumn("match_status", F.coalesce("_status", F.lit("unmatched")))
         .drop("_key", "_id", "_status")
     )

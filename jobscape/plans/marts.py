@@ -49,8 +49,8 @@ def int_offer_places(staged: DataFrame, *lists: DataFrame) -> DataFrame:
 def int_offers_enriched(staged: DataFrame, lists: Sequence[DataFrame], matches: DataFrame) -> DataFrame:
     """Offer, salary, place and employer in one row.
 
-    Place and employer are looked up on the staged row itself: small lists are broadcast
-    after a size check and the offers are never joined with each other."""
+    Place and employer are looked up on the staged row itself, so the offers are never
+    joined with each other."""
     return with_employers(with_places(staged, *lists), matches)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from jobscape.operators.dedupe import upsert
 from jobscape.operators.flatten import all_text
+from jobscape.session import scratch_path
 
 
 def layer_table(layer: str | None, name: str, default: str = "staging") -> str:
@@ -21,6 +22,20 @@ def materialize_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    A derived list that many rows are joined to is worked out once, survives the loss of
+    executors, and has a size Spark knows: it is broadcast when its files are below
+    ``spark.sql.autoBroadcastJoinThreshold`` and joined by shuffle otherwise, where adaptive
+    execution splits the partitions that a hot key makes large.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def truncate_load(df: DataFrame, name: str) -> None:
     """Replace the rows of a table that must exist; columns are matched by name."""
     spark = df.sparkSession

@@ -141,7 +141,8 @@ CODED_SQL = """offers AS (
          WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) * 13 END AS low_year,
     CASE WHEN l_linestatus = 'O' AND l_returnflag = 'A' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) + 1000 AS DOUBLE)
          WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) * 13 END AS high_year,
-    l_returnflag AS naf_code, l_linestatus AS industry_label
+    l_returnflag AS naf_code, l_linestatus AS industry_label,
+    CASE WHEN l_tax > 0.04 THEN 'E' ELSE 'D' END AS experience_required
   FROM lineitem)"""
 
 
