@@ -47,6 +47,12 @@ def _rule(selector: str) -> list[tuple]:
     return steps
 
 
+def _by_tag(rules: list[list[tuple]]) -> dict[str | None, list]:
+    """The numbered rules that can match each tag; under None those for any tag."""
+    tags = {steps[-1][0] for steps in rules} | {None}
+    return {t: [(i, steps) for i, steps in enumerate(rules) if steps[-1][0] in (t, None)] for t in tags}
+
+
 def _fits(step: tuple, tag: str, attrs: dict) -> bool:
     want_tag, classes, ident, attr, value = step
     return (
@@ -58,19 +64,24 @@ def _fits(step: tuple, tag: str, attrs: dict) -> bool:
 
 
 class _Selector(HTMLParser):
-    def __init__(self, rules: list[list[tuple]]):
+    def __init__(self, rules: dict[str | None, list]):
         super().__init__(convert_charrefs=True)
         self.rules, self.open, self.found, self.seen = rules, [], [], 0
+        self.deep = 0
+
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
 
     def handle_starttag(self, tag, attrs):
         while self.open and tag in ENDED_BY.get(self.open[-1]["tag"], ()):
             self._close()
         node = {"tag": tag, "attrs": dict(attrs), "pos": self.seen, "text": [], "hits": []}
         self.seen += 1
-        for i, steps in enumerate(self.rules):
+        for i, steps in self.rules.get(tag, self.rules[None]):
             scope = self._scope(steps, node)
             if scope is not None:
                 node["hits"].append((i, scope))
+        self.deep += bool(node["hits"])
         self.open.append(node)
         if tag in VOID:
             self._close()
@@ -99,12 +110,13 @@ class _Selector(HTMLParser):
                 pass
 
     def handle_data(self, data):
-        for node in self.open:
+        for node in self.open if self.deep else ():
             if node["hits"]:
                 node["text"].append(data)
 
     def _close(self):
         node = self.open.pop()
+        self.deep -= bool(node["hits"])
         for rule, scope in node["hits"]:
             self.found.append(
                 {
@@ -132,7 +144,7 @@ def html_select(html: Column | str, selectors: list[str]) -> Column:
     the position of the nearest enclosing element the chain named (-1 for none), its own
     position, its text and its attributes.
     """
-    rules = [_rule(s) for s in selectors]
+    rules = _by_tag([_rule(s) for s in selectors])
 
     @F.pandas_udf(ELEMENTS)
     def select(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -145,7 +157,9 @@ def html_select(html: Column | str, selectors: list[str]) -> Column:
                 rows.append(parser.result())
             yield pd.Series(rows, dtype=object)
 
-    return select(_col(html))
+    # Not deterministic for the optimizer: it would otherwise run the UDF once more for
+    # every filter it pushes below it.
+    return select.asNondeterministic()(_col(html))
 
 
 def mentions(html: Column | str, *marks: str) -> Column:

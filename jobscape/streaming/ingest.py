@@ -12,11 +12,12 @@ from jobscape.schemas import struct_of
 
 
 def landing_stream(
-    spark: SparkSession, landing: str, layout: str | T.StructType, archive: str | None = None, files_per_batch: int | None = None
+    spark: SparkSession, landing: str, layout: str | T.StructType, archive: str | None = None,
+    files_per_batch: int | None = None, pattern: str = "*.ndjson",
 ) -> DataFrame:
     """New line files of a folder as a stream. With ``archive`` a finished file is moved
     there by the next run; the checkpoint, not the move, keeps files from being read twice."""
-    reader = spark.readStream.schema(struct_of(layout)).option("mode", "FAILFAST").option("pathGlobFilter", "*.ndjson")
+    reader = spark.readStream.schema(struct_of(layout)).option("mode", "FAILFAST").option("pathGlobFilter", pattern)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_batch:
@@ -55,6 +56,11 @@ def version_path(root: str, batch: int) -> str:
     return f"{root}/version={batch:012d}"
 
 
+def latest_version(spark: SparkSession, root: str, query: StreamingQuery) -> DataFrame:
+    """The table as of the last batch a finished query ran."""
+    return spark.read.parquet(version_path(root, query.lastProgress["batchId"]))
+
+
 def _merge_into(root: str, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession

@@ -84,8 +84,7 @@ PLACE = ["commune_code", "naf_code"]
 
 
 def enriched(spark, sf):
-    """Offers with place and employer. Employers are looked up among the parts' makers by
-    name; the register stand-in lists one company per part of an even size."""
+    """Offers with place and employer; the register stand-in lists one company per part."""
     s = staged(spark, sf).withColumn("postal_code", F.col("commune_code"))
     found = matching.employer_candidates(s, "employer_name", ["postal_code", *PLACE])
     register = table(spark, sf, "part").select(
