@@ -57,7 +57,8 @@ def employer_candidates(spark, sf):
 
 
 def matches(spark, sf):
-    found = matching.match_employers(candidates(spark, sf), register_rows(spark, sf))
+    wanted = settle(candidates(spark, sf), "candidates")
+    found = matching.match_employers(wanted, register_rows(spark, sf))
     return found.select(
         "employer_candidate_id", "normalized_employer_name", "postal_code", "naf_code", "offer_count",
         "siret", "siren", "legal_name", "match_method", "match_confidence", "match_status",
@@ -86,7 +87,7 @@ PLACE = ["commune_code", "naf_code"]
 def enriched(spark, sf):
     """Offers with place and employer; the register stand-in lists one company per part."""
     s = staged(spark, sf).withColumn("postal_code", F.col("commune_code"))
-    found = matching.employer_candidates(s, "employer_name", ["postal_code", *PLACE])
+    found = settle(matching.employer_candidates(s, "employer_name", ["postal_code", *PLACE]), "candidates")
     register = table(spark, sf, "part").select(
         F.lpad(text("p_partkey"), 14, "0").alias("siret"),
         F.lpad(text("p_partkey"), 9, "0").alias("siren"),

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from jobscape.functions.html import attribute, html_select, of_rule
 from jobscape.operators import pages as ops, register as reg
-from workload.tables import money, table, text
+from workload.tables import facts, money, table, text
 
 AS_OF = dt.date(2026, 4, 6)
 
 
 def _links(spark, sf):
-    return table(spark, sf, "pages").select("page_id", html_select("html", ["nav li a"]).alias("links"))
+    return facts(spark, sf, "pages").select("page_id", html_select("html", ["nav li a"]).alias("links"))
 
 
 def page_links(spark, sf):
@@ -26,14 +26,14 @@ def page_links(spark, sf):
 
 
 def page_headings(spark, sf):
-    e = table(spark, sf, "pages").select("page_id", html_select("html", ["title", "h1"]).alias("e"))
+    e = facts(spark, sf, "pages").select("page_id", html_select("html", ["title", "h1"]).alias("e"))
     first = lambda i: F.get(of_rule("e", i), F.lit(0))["text"]
     return e.select("page_id", first(0).alias("title"), first(1).alias("heading"))
 
 
 def page_scripts(spark, sf):
     """Number of paragraphs, links and scripts per page; markup inside scripts is text."""
-    e = table(spark, sf, "pages").select("page_id", html_select("html", ["a[href]", "script", "div.ad"]).alias("e"))
+    e = facts(spark, sf, "pages").select("page_id", html_select("html", ["a[href]", "script", "div.ad"]).alias("e"))
     count = lambda i: F.size(of_rule("e", i))
     return e.select("page_id", count(0).alias("n_links"), count(1).alias("n_scripts"), count(2).alias("n_ads"))
 
@@ -87,7 +87,7 @@ def _company_pages(spark, sf):
         F.left("c_mktsegment", F.lit(1)),
         F.lit(';">2024</select></body></html>'),
     )
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), body.alias("html"))
+    return facts(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), body.alias("html"))
 
 
 def page_facts(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobscape.operators import profile
-from workload.tables import table, text
+from workload.tables import facts, table
 
 
 def _records(spark, sf):
@@ -23,7 +23,7 @@ def _records(spark, sf):
     with_null = F.to_json(record, {"ignoreNullFields": "false"})
     without = F.to_json(record)
     chosen = F.when(F.col("o_orderpriority") == "5-LOW", without).otherwise(with_null)
-    return table(spark, sf, "orders").select("o_orderkey", chosen.alias("raw_json"))
+    return facts(spark, sf, "orders").select("o_orderkey", chosen.alias("raw_json"))
 
 
 def _flat(df):
@@ -33,7 +33,7 @@ def _flat(df):
 
 
 def json_profile(spark, sf):
-    return _flat(profile.json_field_profile(table(spark, sf, "events"), "props", ["event_id"]))
+    return _flat(profile.json_field_profile(facts(spark, sf, "events"), "props", ["event_id"]))
 
 
 def json_profile_nested(spark, sf):

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from jobscape.operators.scale import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Days and windows are those of UTC, whatever the session was started with.
@@ -16,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A large table, ahead of heavy work per row."""
+    return spread(table(spark, sf_dir, name))
+
+
 def text(c) -> F.Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
@@ -89,7 +96,7 @@ def coded_offers(spark, sf_dir):
     """Line items as offers: the supplier is the commune, the part the employer."""
     status, flag = F.col("l_linestatus"), F.col("l_returnflag")
     null = F.lit(None).cast("string")
-    return table(spark, sf_dir, "lineitem").select(
+    return facts(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey")).alias("id"),
         F.when(flag == "A", "Alternance data").when(flag == "N", "Data engineer").alias("intitule"),
         F.concat(F.lit("Quantité "), text("l_quantity")).alias("description"),
@@ -164,7 +171,7 @@ def named_offers(spark, sf_dir):
         .otherwise(F.array(place))
     )
     price = F.col("o_totalprice")
-    return table(spark, sf_dir, "orders").select(
+    return facts(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderpriority").alias("title"),
         F.lit("d").alias("description"),
