@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobscape.functions.text import _col
+from jobscape.functions.text import _col, is_not_blank
 from jobscape.operators.scale import first_per_key
 
 # Accented capitals and their plain letters, and company forms that a
@@ -18,18 +18,30 @@ COMPANY_FORMS = ("SA", "SAS", "SASU", "SARL", "EURL", "SCI", "SNC", "SCOP")
 
 def normalize_name(c: Column | str) -> Column:
     """Comparable company name: upper case, no accents, signs or company forms; null when empty."""
-    words = F.regexp_replace(F.translate(F.upper(_col(c)), ACCENTED, PLAIN), "[^A-Z0-9]+", " ")
-    bare = F.regexp_replace(words, rf"\b({'|'.join(COMPANY_FORMS)})\b", " ")
-    return F.nullif(F.trim(F.regexp_replace(bare, " +", " ")), F.lit(""))
+    upper = F.upper(_col(c))
+    # Only names with letters beyond ASCII are longer in bytes than in characters.
+    plain = F.when(F.octet_length(upper) > F.length(upper), F.translate(upper, ACCENTED, PLAIN)).otherwise(upper)
+    words = F.regexp_replace(plain, "[^A-Z0-9]+", " ")
+    bare = F.regexp_replace(words, rf"(^| )({'|'.join(COMPANY_FORMS)})(?= |$)", "")
+    return F.nullif(F.trim(bare), F.lit(""))
 
 
 def employer_candidates(df: DataFrame, name: str, place: Sequence[str]) -> DataFrame:
-    """Distinct employers: normalized name and place columns, with their number of offers."""
-    named = df.withColumn("normalized_employer_name", normalize_name(name)).filter(
-        "normalized_employer_name is not null"
+    """Distinct employers: normalized name and place columns, with their number of offers.
+
+    Offers are counted per name as written before the names are normalized, so an employer
+    with very many offers is one row per task by then.
+    """
+    written = df.filter(is_not_blank(name)).groupBy(name, *place).agg(F.count(F.lit(1)).alias("_n"))
+    key = "normalized_employer_name"
+    # Rows without a normalized name sum to null: a test on the sum is made after grouping.
+    counted = (
+        written.withColumn(key, normalize_name(name))
+        .groupBy(key, *place)
+        .agg(F.sum(F.when(F.col(key).isNotNull(), F.col("_n"))).alias("offer_count"))
+        .filter("offer_count > 0")
     )
-    keys = ["normalized_employer_name", *place]
-    return with_candidate_id(named.groupBy(*keys).agg(F.count(F.lit(1)).alias("offer_count")), keys)
+    return with_candidate_id(counted, [key, *place])
 
 
 def with_candidate_id(df: DataFrame, keys: Sequence[str]) -> DataFrame:
