@@ -33,22 +33,22 @@ def keep_last(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) ->
     return first_per_key(df.filter(has_key(*keys)), keys, [F.col(c).desc() for c in order])
 
 
+def require_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """The rows as they are; a null key fails the query, as for a primary key.
+
+    The test is part of the key column itself, so no filter can be moved ahead of it."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    missing = F.raise_error(F.lit(f"null in key column {keys}"))
+    return df.withColumns({k: F.coalesce(k, missing.cast(df.schema[k].dataType)) for k in keys})
+
+
 def upsert(
     stored: DataFrame, incoming: DataFrame, keys: str | Sequence[str], order: Sequence[str]
 ) -> DataFrame:
-    """Stored rows replaced or extended by the last incoming row per key.
-
-    A missing key in the incoming rows is an error, as for a primary key.
-    """
+    """Stored rows replaced or extended by the last incoming row per key."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
-    checked = incoming.filter(
-        F.when(missing, F.raise_error(F.lit(f"null in key column {keys}"))).otherwise(F.lit(True))
-    )
     both = stored.withColumn("_new", F.lit(0)).unionByName(
-        checked.withColumn("_new", F.lit(1)), allowMissingColumns=True
+        require_keys(incoming, keys).withColumn("_new", F.lit(1)), allowMissingColumns=True
     )
     return first_per_key(both, keys, [F.col(c).desc() for c in ["_new", *order]]).drop("_new")
 

@@ -12,13 +12,13 @@ RANK_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores when its files come in fewer pieces than there are cores.
+    """``df`` over all cores when its files come in fewer pieces than half the cores.
 
     Meant ahead of per-row work that is heavy next to moving the row. Input of many pieces,
     the normal case on a cluster, stays where it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

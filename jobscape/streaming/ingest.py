@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from jobscape.operators.dedupe import upsert
+from jobscape.operators.dedupe import keep_last, require_keys
+from jobscape.operators.scale import first_per_key
 from jobscape.schemas import struct_of
 
 
@@ -36,38 +37,35 @@ def ingest(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+BATCH = "_batch"
+
+
 def upsert_stream(
     stream: DataFrame, root: str, keys: Sequence[str], order: Sequence[str], checkpoint: str
 ) -> StreamingQuery:
-    """Merge everything that has landed into the keyed table under ``root``, then stop.
+    """Add everything that has landed to the keyed table under ``root``, then stop.
 
-    Each batch writes a new version folder named by its number, so a repeated batch writes
-    the same folder again and readers never see half a version.
+    Each batch writes its last row per key to a folder named by its number: the cost is
+    that of the batch, not of the table, and a repeated batch writes the same folder again.
+    ``merged_rows`` reads the table; rewriting what it returns compacts it.
     """
+    keys, order = list(keys), list(order)
+
+    def add(batch: DataFrame, number: int) -> None:
+        rows = first_per_key(require_keys(batch, keys), keys, [F.col(c).desc() for c in order])
+        rows.write.mode("overwrite").parquet(f"{root}/{BATCH}={number}")
+
     return (
-        stream.writeStream.foreachBatch(_merge_into(root, list(keys), list(order)))
+        stream.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def version_path(root: str, batch: int) -> str:
-    return f"{root}/version={batch:012d}"
-
-
-def latest_version(spark: SparkSession, root: str, query: StreamingQuery) -> DataFrame:
-    """The table as of the last batch a finished query ran."""
-    return spark.read.parquet(version_path(root, query.lastProgress["batchId"]))
-
-
-def _merge_into(root: str, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        stored = spark.read.parquet(version_path(root, number - 1)) if number else batch.filter("false")
-        upsert(stored, batch, keys, order).write.mode("overwrite").parquet(version_path(root, number))
-
-    return merge
+def merged_rows(spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The keyed table as of its last batch: later batches win over earlier ones."""
+    return keep_last(spark.read.parquet(root), list(keys), [BATCH, *order]).drop(BATCH)
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:

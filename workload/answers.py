@@ -185,8 +185,9 @@ def daily_counts(spark, sf):
 
 
 def completion_report(spark, sf):
-    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    return reports.completion_report(d)
+    # Only whether a text is there counts, so only that goes into the join.
+    d = table(spark, sf, "documents").withColumn("text", F.when(F.col("text").isNotNull(), 1))
+    return reports.completion_report(d.join(table(spark, sf, "labels"), "doc_id", "left"))
 
 
 def row_counts(spark, sf):

@@ -17,8 +17,10 @@ def null_if_blank(spark, sf):
 
 
 def not_blank(spark, sf):
-    lines = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    return lines.filter(tx.is_not_blank("line")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    """Lines with content per document; counted inside the row, so nothing is shuffled."""
+    lines = F.filter(F.split("text", "\n"), lambda line: tx.is_not_blank(line))
+    d = table(spark, sf, "documents").select("doc_id", F.size(lines).cast("bigint").alias("n_lines"))
+    return d.filter("n_lines > 0")
 
 
 def safe_cast(spark, sf):
@@ -32,12 +34,13 @@ def safe_cast(spark, sf):
 
 
 def quality_flags(spark, sf):
-    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    return d.select(
+    # The text is reduced to its flag first, so that it stays out of the join.
+    d = table(spark, sf, "documents").select("doc_id", tx.keyword_flag("text", "the").alias("has_word"))
+    return d.join(table(spark, sf, "labels"), "doc_id", "left").select(
         "doc_id",
         tx.presence_flag("quality").alias("has_label"),
         tx.presence_flag("quality", "toxic").alias("has_any"),
-        tx.keyword_flag("text", "the").alias("has_word"),
+        "has_word",
     )
 
 

@@ -64,9 +64,8 @@ def stream_upsert(spark, sf):
     """The last event per user, merged batch by batch."""
     folder, root, checkpoint = _landing(spark, sf), scratch_path(spark, "versions"), scratch_path(spark, "state")
     stream = ingest.landing_stream(spark, folder, LANDED, pattern="*.json", files_per_batch=2)
-    query = ingest.upsert_stream(stream, root, ["user_id"], ["event_id"], checkpoint)
-    _finish(query)
-    return ingest.latest_version(spark, root, query)
+    _finish(ingest.upsert_stream(stream, root, ["user_id"], ["event_id"], checkpoint))
+    return ingest.merged_rows(spark, root, ["user_id"], ["event_id"])
 
 
 QUERIES = {
