@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from jobscape.functions.text import clean_trim, is_not_blank, json_first, to_whole_number
-from jobscape.operators.geo import code_name, distinct_rows, explode_codes, first_code, lookup_left, name_index
+from jobscape.functions.text import clean_trim, to_whole_number
+from jobscape.operators.geo import distinct_rows, explode_codes, first_code, lookup_left, name_index
 
 COMMUNE_COLUMNS = ["code", "nom", "codesPostaux", "codeDepartement", "codeRegion", "codeEpci", "population"]
 NAME_VALUES = [
@@ -30,6 +30,20 @@ def _with_names(
     )
 
 
+def commune_names(
+    communes: DataFrame, departments: DataFrame, regions: DataFrame, epcis: DataFrame
+) -> DataFrame:
+    """(code, departement_nom, region_nom, epci_nom) of every commune: the raw lists joined
+    among themselves, so that offers are joined to one list instead of four."""
+    named = _with_names(communes, departments, regions, epcis, distinct=False)
+    return named.select(
+        F.col("code"),
+        clean_trim("_departement_nom").alias("departement_nom"),
+        clean_trim("_region_nom").alias("region_nom"),
+        clean_trim("_epci_nom").alias("epci_nom"),
+    )
+
+
 def communes_by_postal_code(
     communes: DataFrame, departments: DataFrame, regions: DataFrame, epcis: DataFrame
 ) -> DataFrame:
@@ -78,6 +92,31 @@ def communes_by_name(places: DataFrame) -> DataFrame:
     )
 
 
+PLACE_COLUMNS = [
+    "commune_code", "commune_name", "departement_code", "departement_name",
+    "region_code", "region_name", "epci_code", "epci_name",
+]
+
+
+def staged_place_names(lists: dict[str, DataFrame]) -> DataFrame:
+    """One row per commune with codes and names of all its levels, from ``staged_places``.
+
+    A code that its list does not know is null, like its name."""
+    communes = lists["communes"].select(
+        "commune_code", "commune_name", F.col("departement_code").alias("_d"),
+        F.col("region_code").alias("_r"), F.col("epci_code").alias("_e"),
+    )
+    joined = lookup_left(
+        communes,
+        [
+            (lists["departments"].select("departement_code", "departement_name"), "_d", "departement_code"),
+            (lists["regions"].select("region_code", "region_name"), "_r", "region_code"),
+            (lists["epcis"].select("epci_code", "epci_name"), "_e", "epci_code"),
+        ],
+    )
+    return joined.select(*PLACE_COLUMNS)
+
+
 def staged_places(
     communes: DataFrame, departments: DataFrame, regions: DataFrame, epcis: DataFrame
 ) -> dict[str, DataFrame]:

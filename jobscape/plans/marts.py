@@ -10,48 +10,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobscape.functions.figures import salary_bounds
-from jobscape.operators.geo import lookup_left
 from jobscape.plans.employers import with_employers
+from jobscape.plans.geo import PLACE_COLUMNS
 
 
-PLACE_COLUMNS = [
-    "commune_code", "commune_name", "departement_code", "departement_name",
-    "region_code", "region_name", "epci_code", "epci_name",
-]
+def with_places(staged: DataFrame, places: DataFrame) -> DataFrame:
+    """Every offer with codes and names of its commune, department, region and body.
 
+    ``places`` is the kept result of ``staged_place_names``: one row per commune, so offers
+    are not repeated, and one join for all levels."""
+    known = places.withColumnRenamed("commune_code", "_c")
+    return staged.join(known, F.col("commune_code") == F.col("_c"), "left").drop("_c")
 
-def with_places(
-    staged: DataFrame, communes: DataFrame, departments: DataFrame, regions: DataFrame, epcis: DataFrame
-) -> DataFrame:
-    """Every offer with codes and names of its commune, department, region and body.
 
-    The lists are the staged ones, one row per commune, so offers are not repeated."""
-    c = communes.select(
-        F.col("commune_code").alias("_c"), "commune_name", F.col("departement_code").alias("_d"),
-        F.col("region_code").alias("_r"), F.col("epci_code").alias("_e"),
-    )
-    return lookup_left(
-        staged,
-        [
-            (c, "commune_code", "_c"),
-            (departments.select("departement_code", "departement_name"), "_d", "departement_code"),
-            (regions.select("region_code", "region_name"), "_r", "region_code"),
-            (epcis.select("epci_code", "epci_name"), "_e", "epci_code"),
-        ],
-    ).drop("_c", "_d", "_r", "_e")
-
-
-def int_offer_places(staged: DataFrame, *lists: DataFrame) -> DataFrame:
+def int_offer_places(staged: DataFrame, places: DataFrame) -> DataFrame:
     """The place link alone: one row per offer."""
-    return with_places(staged, *lists).select("offer_id", *PLACE_COLUMNS)
+    return with_places(staged, places).select("offer_id", *PLACE_COLUMNS)
 
 
-def int_offers_enriched(staged: DataFrame, lists: Sequence[DataFrame], matches: DataFrame) -> DataFrame:
+def int_offers_enriched(staged: DataFrame, places: DataFrame, matches: DataFrame) -> DataFrame:
     """Offer, salary, place and employer in one row.
 
     Place and employer are looked up on the staged row itself, so the offers are never
     joined with each other."""
-    return with_employers(with_places(staged, *lists), matches)
+    return with_employers(with_places(staged, places), matches)
 
 
 def mart_offers(enriched: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

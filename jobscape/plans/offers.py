@@ -16,7 +16,7 @@ from jobscape.functions.text import (
     presence_flag,
     to_id_string,
 )
-from jobscape.operators.geo import join_by_code, join_by_name, lookup_left, one_row_per_key
+from jobscape.operators.geo import join_by_code, join_by_name, one_row_per_key
 from jobscape.plans.geo import communes_by_name
 
 APPRENTICE_WORD = "ALTERNANCE"
@@ -147,28 +147,13 @@ VIEW_TEXT = {
 VIEW_AS_IS = {"nombre_postes": "nombrePostes", "alternance": "alternance", "accessible_th": "accessibleTH"}
 
 
-def offer_view(
-    offers: DataFrame, communes: DataFrame, departments: DataFrame, regions: DataFrame, epcis: DataFrame
-) -> DataFrame:
-    """Offers that name a commune, with place names where the commune is known."""
+def offer_view(offers: DataFrame, names: DataFrame) -> DataFrame:
+    """Offers that name a commune, with place names where the commune is known.
+
+    ``names`` is the kept result of ``commune_names``."""
     o = offers.select(
         F.col("lieuTravail.commune").alias("_commune"),
         *[clean_trim(F.col(src).cast("string")).alias(out) for out, src in VIEW_TEXT.items()],
         *[F.col(src).alias(out) for out, src in VIEW_AS_IS.items()],
     ).filter(is_not_blank("_commune"))
-
-    def dim(df: DataFrame, prefix: str, *more: str) -> DataFrame:
-        return df.select(F.col("code").alias(f"_{prefix}"), F.col("nom").alias(f"{prefix}_nom"), *more)
-
-    communes = dim(communes, "c", "codeDepartement", "codeRegion", "codeEpci").drop("c_nom")
-    joined = lookup_left(
-        o,
-        [
-            (communes, "_commune", "_c"),
-            (dim(departments, "departement"), "codeDepartement", "_departement"),
-            (dim(regions, "region"), "codeRegion", "_region"),
-            (dim(epcis, "epci"), "codeEpci", "_epci"),
-        ],
-    )
-    names = [clean_trim(f"{p}_nom").alias(f"{p}_nom") for p in ("departement", "region", "epci")]
-    return joined.select(*VIEW_TEXT, *VIEW_AS_IS, *names)
+    return o.join(names, F.col("_commune") == F.col("code"), "left").drop("_commune", "code")

@@ -99,7 +99,7 @@ def test_named_offers_from_label(spark, places, rows):
 
 
 def test_offer_view_keeps_unmatched(spark, rows):
-    got = offers.offer_view(fixtures.coded_offers(spark), *fixtures.place_lists(spark))
+    got = offers.offer_view(fixtures.coded_offers(spark), geo.commune_names(*fixtures.place_lists(spark)))
     # O3 and O4 name no commune; the code of O1 is compared as it stands; C1 is listed twice.
     assert rows(got.select("offre_id", "departement_nom", "region_nom")) == sorted(
         [

@@ -44,12 +44,11 @@ def staged(spark):
 
 
 @pytest.fixture
-def lists(spark):
+def places(spark):
     from tests import fixtures
 
     communes, departments, regions, epcis = fixtures.place_lists(spark)
-    staged = geo.staged_places(communes.distinct(), departments, regions, epcis)
-    return [staged[n] for n in ("communes", "departments", "regions", "epcis")]
+    return geo.staged_place_names(geo.staged_places(communes.distinct(), departments, regions, epcis))
 
 
 @pytest.fixture
@@ -98,9 +97,9 @@ def test_candidates_and_matches(staged, entries, rows):
     assert rows(searched.select("search_term", "commune_code", "n_found")) == [("ACME", "C1", 1), ("ACME", "C2", 1), ("BETTA", "C3", 0)]
 
 
-def test_enriched_has_one_row_per_offer(staged, lists, entries, rows):
+def test_enriched_has_one_row_per_offer(staged, places, entries, rows):
     matches = emp.raw_matches(emp.int_employer_candidates(staged), entries, "run-1")
-    got = marts.int_offers_enriched(staged, lists, matches)
+    got = marts.int_offers_enriched(staged, places, matches)
     assert rows(got.select("offer_id", "departement_code", "region_name", "epci_name", "siren")) == sorted(
         [
             ("O1", "01", "Norderie", "Métropole A", "9"), ("O2", "01", "Norderie", "Métropole A", "9"),
@@ -111,8 +110,8 @@ def test_enriched_has_one_row_per_offer(staged, lists, entries, rows):
     assert rows(marts.mart_offers(got, ["offer_id"])) == [(f"O{i}",) for i in range(1, 6)]
 
 
-def test_places_mart(staged, lists, rows):
-    offers = marts.with_places(staged, *lists)
+def test_places_mart(staged, places, rows):
+    offers = marts.with_places(staged, places)
     got = marts.mart_places(
         offers, ["region_name", "departement_code"], "created_at", "employer_name",
         F.col("contract_type") == "CDI", F.col("job_title") == "Alternance", F.col("salary_label").isNotNull(),
@@ -130,8 +129,8 @@ def test_places_mart(staged, lists, rows):
     )
 
 
-def test_employer_mart(staged, lists, rows):
-    offers = marts.with_places(staged, *lists).withColumn("siren", F.when(F.col("employer_name").ilike("acm%"), "9"))
+def test_employer_mart(staged, places, rows):
+    offers = marts.with_places(staged, places).withColumn("siren", F.when(F.col("employer_name").ilike("acm%"), "9"))
     got = marts.mart_employers(offers, "siren", "employer_name", "departement_code", "activity_sector_label", "employee_size_range")
     assert rows(got.select("employer_key", "n_offers", "n_zones", "zones", "size")) == [("9", 3, 1, "01", "10"), ("Betta", 1, 1, "02", "10")]
 

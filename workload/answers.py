@@ -31,9 +31,9 @@ def staged(spark, sf):
     return staging.stg_whole(coded_offers(spark, sf), OFFER, LOCATION, EMPLOYER, SALARY)
 
 
-def staged_lists(spark, sf):
+def known_places(spark, sf):
     lists = plans_geo.staged_places(*place_lists(spark, sf))
-    return [lists[n] for n in ("communes", "departments", "regions", "epcis")]
+    return settle(plans_geo.staged_place_names(lists), "places")
 
 
 def stg_employer_slice(spark, sf):
@@ -45,7 +45,7 @@ def stg_salary_slice(spark, sf):
 
 
 def offer_places(spark, sf):
-    return marts.int_offer_places(staged(spark, sf), *staged_lists(spark, sf))
+    return marts.int_offer_places(staged(spark, sf), known_places(spark, sf))
 
 
 def candidates(spark, sf):
@@ -103,7 +103,7 @@ def enriched(spark, sf):
     kept = settle(
         exact.select("employer_candidate_id", "siren", "siret", "legal_name", "match_confidence", "match_status"), "matches"
     )
-    return marts.with_employers(marts.with_places(s, *staged_lists(spark, sf)), kept, ["postal_code", *PLACE])
+    return marts.with_employers(marts.with_places(s, known_places(spark, sf)), kept, ["postal_code", *PLACE])
 
 
 def offers_enriched(spark, sf):
@@ -120,7 +120,7 @@ def mart_offers(spark, sf):
 
 
 def mart_geo(spark, sf):
-    offers = marts.with_places(staged(spark, sf), *staged_lists(spark, sf))
+    offers = marts.with_places(staged(spark, sf), known_places(spark, sf))
     rows = marts.mart_places(
         offers, ["region_name", "departement_name", "commune_code"], "created_at", "employer_name",
         F.col("contract_type") == "CDI", F.col("job_title").contains("Alternance"), F.col("salary_label").isNotNull(),
@@ -130,7 +130,7 @@ def mart_geo(spark, sf):
 
 
 def mart_employers(spark, sf):
-    offers = marts.with_places(staged(spark, sf), *staged_lists(spark, sf)).withColumn("siren", F.lit(None).cast("string"))
+    offers = marts.with_places(staged(spark, sf), known_places(spark, sf)).withColumn("siren", F.lit(None).cast("string"))
     return marts.mart_employers(offers, "siren", "employer_name", "departement_code", "activity_sector_label", "naf_code")
 
 
@@ -141,7 +141,7 @@ def salary_parse(spark, sf):
 
 
 def mart_salaries(spark, sf):
-    offers = marts.with_places(staged(spark, sf), *staged_lists(spark, sf))
+    offers = marts.with_places(staged(spark, sf), known_places(spark, sf))
     return marts.mart_salaries(offers, "salary_label", ["region_name", "contract_type"])
 
 

@@ -138,7 +138,8 @@ def offers_geo_left(spark, sf):
             ),
         }
     )
-    return plans_offers.offer_view(wide, *place_lists(spark, sf)).select(
+    names = settle(plans_geo.commune_names(*place_lists(spark, sf)), "names")
+    return plans_offers.offer_view(wide, names).select(
         "offre_id", "intitule", "commune_code", "entreprise_nom", "departement_nom", "region_nom", "epci_nom"
     )
 
