@@ -11,14 +11,18 @@ ONE_STEP_RANK = 10
 RANK_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores when its files come in fewer pieces than half the cores.
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan over all cores when its files come in fewer pieces than half the cores.
 
     Meant ahead of per-row work that is heavy next to moving the row. Input of many pieces,
-    the normal case on a cluster, stays where it is.
+    the normal case on a cluster, stays where it is. Rows go by their place in the scan,
+    which is the same whenever a piece is read again, and spreads copies of a row too.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if 2 * scan.rdd.getNumPartitions() > cores:
+        return scan
+    place = F.monotonically_increasing_id() % (128 * cores)
+    return scan.withColumn("_place", place).repartition(cores, "_place").drop("_place")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
