@@ -175,7 +175,7 @@ def list_items(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_offers_any(spark: SparkSession, folder: str, pattern: str = "offres_data_market_*") -> DataFrame:
+def read_offers_any(spark: SparkSession, folder: str, pattern: str = "offres_*") -> DataFrame:
     """Raw offers of a folder that mixes line files and wrapped documents, by suffix.
 
     The order columns are those of ``raw_lines``; a document counts as one block.

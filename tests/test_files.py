@@ -84,9 +84,9 @@ def test_json_list_missing_file(spark, tmp_path):
 
 def test_read_offers_any(spark, folder, rows):
     path = folder(
-        offres_data_market_1__ndjson=lines({"id": "a"}, {"id": "b"}),
-        offres_data_market_2__json='{"metadata": {}, "resultats": [{"id": "c"}, 5, "x", {"id": "d", "n": 1.0}]}',
-        offres_data_market_3__json='[{"id": "e"}, null]',
+        offres_1__ndjson=lines({"id": "a"}, {"id": "b"}),
+        offres_2__json='{"metadata": {}, "resultats": [{"id": "c"}, 5, "x", {"id": "d", "n": 1.0}]}',
+        offres_3__json='[{"id": "e"}, null]',
         other__json="[]",
     )
     raw = files.read_offers_any(spark, path)
@@ -99,7 +99,7 @@ def test_read_offers_any(spark, folder, rows):
 
 @pytest.mark.parametrize("content", ['{"metadata": {}}', '{"resultats": {"id": 1}}', "3"])
 def test_other_shapes_fail(spark, folder, content):
-    path = folder(offres_data_market_1__json=content)
+    path = folder(offres_1__json=content)
     with pytest.raises(Exception, match="expected a list or an object"):
         files.read_offers_any(spark, path).collect()
 
@@ -110,8 +110,8 @@ def test_payload_is_kept_as_it_stands(spark, folder):
 
 
 def test_latest_file(spark, folder):
-    path = folder(offres_data_market_20260406__json="[]", offres_data_market_20260408__json="[]", zz__json="[]")
-    assert files.latest_file(spark, path, "offres_data_market_*.json").endswith("20260408.json")
+    path = folder(offres_20260406__json="[]", offres_20260408__json="[]", zz__json="[]")
+    assert files.latest_file(spark, path, "offres_*.json").endswith("20260408.json")
     with pytest.raises(FileNotFoundError):
         files.latest_file(spark, path, "nothing_*")
 

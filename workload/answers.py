@@ -31,6 +31,23 @@ def staged(spark, sf):
     return staging.stg_whole(coded_offers(spark, sf), OFFER, LOCATION, EMPLOYER, SALARY)
 
 
+def stg_offer_slice(spark, sf):
+    rows = staging.stg_offers(coded_offers(spark, sf), OFFER)
+    return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("created_at", "updated_at")})
+
+
+def stg_location_slice(spark, sf):
+    return staging.stg_locations(coded_offers(spark, sf), LOCATION)
+
+
+def staged_communes(spark, sf):
+    return plans_geo.staged_places(*place_lists(spark, sf))["communes"]
+
+
+def staged_postal_codes(spark, sf):
+    return plans_geo.staged_places(*place_lists(spark, sf))["postal_codes"]
+
+
 def known_places(spark, sf):
     lists = plans_geo.staged_places(*place_lists(spark, sf))
     return settle(plans_geo.staged_place_names(lists), "places")
@@ -69,6 +86,25 @@ def employer_match(spark, sf):
     return matches(spark, sf).drop("employer_candidate_id", "siren", "legal_name")
 
 
+def register_search_results(spark, sf):
+    """What a search by name and place finds in the register, per candidate."""
+    wanted = candidates(spark, sf).withColumn("commune_code", F.col("naf_code"))
+    return emp.search_results(wanted, register_rows(spark, sf), "run-1").drop("search_id")
+
+
+def stg_register_matches(spark, sf):
+    wanted = candidates(spark, sf).withColumn("commune_code", F.col("naf_code"))
+    entries = register_rows(spark, sf).withColumns(
+        {
+            "trade_name": F.concat(F.lit("Chez "), "siren"),
+            "register_naf_code": F.lit("62.01Z"),
+            "employee_size_range": F.lit("10"),
+        }
+    )
+    found = emp.raw_matches(settle(wanted, "candidates"), entries, "run-1")
+    return emp.stg_register_matches(found, entries).drop("employer_candidate_id", "legal_name")
+
+
 def offer_employers(spark, sf):
     kept = settle(matches(spark, sf), "matches")
     linked = emp.int_offer_employers(employer_rows(spark, sf), kept, ["postal_code", "naf_code"])
@@ -200,6 +236,12 @@ def sample_non_null(spark, sf):
 
 
 QUERIES = {
+    "stg_offers": stg_offer_slice,
+    "stg_locations": stg_location_slice,
+    "staged_communes": staged_communes,
+    "staged_postal_codes": staged_postal_codes,
+    "register_search_results": register_search_results,
+    "stg_register_matches": stg_register_matches,
     "stg_employers": stg_employer_slice,
     "stg_salaries": stg_salary_slice,
     "offer_places": offer_places,
@@ -247,6 +289,21 @@ TREND = """WITH {offers}, m AS (SELECT date_trunc('{unit}', created) AS p, 1 AS
     CAST(count(DISTINCT e) FILTER (new = 1) AS BIGINT) AS n_companies FROM m GROUP BY p"""
 
 ORACLE = {
+    "stg_offers": f"""WITH {CODED_SQL} SELECT offer_id, job_title, strftime(created, '%Y-%m-%d') AS created_at,
+      strftime(updated, '%Y-%m-%d') AS updated_at, contract_type FROM offers""",
+    "stg_locations": f"WITH {CODED_SQL} SELECT offer_id, commune AS commune_code FROM offers",
+    "staged_communes": f"""WITH {COMMUNES_SQL} SELECT code AS commune_code, nom AS commune_name, dep AS departement_code, reg AS region_code,
+      CASE WHEN len(codes) = 0 THEN '[]' WHEN codes IS NOT NULL THEN '["' || codes[1] || '","' || codes[2] || '"]' END AS postal_codes_json,
+      population, epci AS epci_code FROM communes""",
+    "staged_postal_codes": f"WITH {COMMUNES_SQL} SELECT code AS commune_code, unnest(codes) AS code_postal FROM communes",
+    "register_search_results": f"""WITH {EMPLOYERS_SQL}, n AS (SELECT 'COMPAGNIE N ' || right(s_name, 3) AS name,
+        CAST(s_nationkey AS VARCHAR) AS postal_code, count(*) AS n FROM supplier GROUP BY 1, 2)
+      SELECT c.name AS search_term, c.postal_code, c.naf_code AS commune_code, CAST(coalesce(n.n, 0) AS BIGINT) AS n_found,
+        'run-1' AS run_id FROM candidates c LEFT JOIN n ON n.name = c.name AND n.postal_code = c.postal_code""",
+    "stg_register_matches": f"""WITH {EMPLOYERS_SQL} SELECT right(siret, 9) AS siren, siret, 'Chez ' || right(siret, 9) AS trade_name,
+      CASE WHEN siret IS NOT NULL THEN '62.01Z' END AS naf_code, postal_code, naf_code AS commune_code,
+      CASE WHEN siret IS NOT NULL THEN '10' END AS employee_size_range, match_method,
+      CAST(match_confidence AS DOUBLE) AS match_confidence, match_status FROM matches""",
     "stg_employers": f"WITH {CODED_SQL} SELECT offer_id, employer_name, naf_code, industry_label AS activity_sector_label FROM offers",
     "stg_salaries": f"""WITH {CODED_SQL} SELECT offer_id, salary_label, CAST(NULL AS VARCHAR) AS salary_comment,
       salary_label AS salary_raw_text, {FLAG} AS salary_quality_flag FROM offers""",

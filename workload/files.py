@@ -77,6 +77,21 @@ def json_list(spark, sf):
     return files.read_json_list(spark, path, "nom string, code string")
 
 
+def referentials_read(spark, sf):
+    """Regions and part types as list files, read as reference values."""
+    path = scratch_path(spark, "lists")
+    regions = table(spark, sf, "region").select(text("r_regionkey").alias("code"), F.col("r_name").alias("libelle"))
+    write_json_list(regions, path)
+    values = files.read_referentials(spark, path, pattern="*")
+    # Part file names change from run to run.
+    return values.select("key", "value")
+
+
+def checked_lines(spark, sf):
+    """Every line read whole and required to be an object of the layout."""
+    return files.read_ndjson_checked(spark, _written(spark, sf, "checked"), EVENT)
+
+
 def csv_report(spark, sf):
     path = scratch_path(spark, "report")
     write_csv_report(completion_report(table(spark, sf, "customer")), path, sep=";")
@@ -110,6 +125,8 @@ QUERIES = {
     "raw_with_lineage": raw_with_lineage,
     "wrapped_results": wrapped_results,
     "json_list": json_list,
+    "referentials_read": referentials_read,
+    "checked_lines": checked_lines,
     "csv_report": csv_report,
     "upsert_table": upsert_table,
     "view_rows": view_rows,
@@ -124,6 +141,9 @@ ORACLE = {
       '2026-04-06 07:00' AS ingested, true AS has_file FROM events""",
     "wrapped_results": "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS \"typeContrat\" FROM orders",
     "json_list": "SELECT n_name AS nom, CAST(n_nationkey AS VARCHAR) AS code FROM nation",
+    "referentials_read": """SELECT 'code' AS key, CAST(r_regionkey AS VARCHAR) AS value FROM region
+      UNION SELECT 'libelle', r_name FROM region""",
+    "checked_lines": "SELECT event_id, user_id, event_type, value FROM events",
     "csv_report": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS non_null_count, CAST(count(*) - count({c}) AS BIGINT) AS null_count,
       round(count({c}) * 100.0 / count(*), 2) AS completion_rate FROM customer"""

@@ -52,6 +52,10 @@ def observed_values(spark, sf):
     return profile.observed_values(_records(spark, sf), "raw_json", ["contrat.label", "langues[].libelle", "riche", "contrat"])
 
 
+def distinct_counts(spark, sf):
+    return profile.distinct_counts(_records(spark, sf), "raw_json", ["id", "contrat.label", "langues[].libelle", "date"])
+
+
 def _lists(spark, sf):
     lists = [
         profile.referential_values(table(spark, sf, "nation"), "ref_nation", ["n_nationkey", "n_name"]),
@@ -93,6 +97,7 @@ QUERIES = {
     "field_catalog": field_catalog,
     "observed_keys": observed_keys,
     "observed_values": observed_values,
+    "distinct_counts": distinct_counts,
     "referential_values": referential_values,
     "referential_coverage": referential_coverage,
 }
@@ -156,6 +161,11 @@ ORACLE = {
     "observed_values": """SELECT DISTINCT 'contrat.label' AS field_path, o_orderpriority AS value FROM orders WHERE o_orderstatus <> 'P'
       UNION SELECT 'langues[].libelle', 'fr' FROM orders UNION SELECT 'langues[].libelle', CASE WHEN o_orderstatus = 'F' THEN 'en' ELSE 'de' END FROM orders
       UNION SELECT 'riche', CASE WHEN o_totalprice > 100000 THEN 'true' ELSE 'false' END FROM orders""",
+    "distinct_counts": """SELECT 'id' AS field_path, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS n_values FROM orders
+      UNION ALL SELECT 'contrat.label', CAST(count(DISTINCT o_orderpriority) AS BIGINT) FROM orders WHERE o_orderstatus <> 'P'
+      UNION ALL SELECT 'langues[].libelle', CAST(count(DISTINCT v) AS BIGINT) FROM
+        (SELECT 'fr' AS v FROM orders UNION ALL SELECT CASE WHEN o_orderstatus = 'F' THEN 'en' ELSE 'de' END FROM orders)
+      UNION ALL SELECT 'date', CAST(count(DISTINCT o_orderdate) AS BIGINT) FROM orders WHERE o_orderstatus = 'O'""",
     "referential_values": """SELECT 'ref_nation' AS referential, 'n_nationkey' AS key, CAST(n_nationkey AS VARCHAR) AS value FROM nation
       UNION SELECT 'ref_nation', 'n_name', n_name FROM nation UNION SELECT 'ref_region', 'r_regionkey', CAST(r_regionkey AS VARCHAR) FROM region
       UNION SELECT 'ref_region', 'r_name', r_name FROM region UNION SELECT 'ref_part', 'p_brand', p_brand FROM part
