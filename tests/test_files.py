@@ -91,8 +91,8 @@ def test_read_offers_any(spark, folder, rows):
     )
     raw = files.read_offers_any(spark, path)
     got = files.raw_with_lineage(raw.orderBy(*files.READING_ORDER))
-    assert [(r["offer_id"], r["source_file"][-8:]) for r in got.collect()] == [
-        ("a", "1.ndjson"), ("b", "1.ndjson"), ("c", "t_2.json"), ("d", "t_2.json"), ("e", "t_3.json"),
+    assert [(r["offer_id"], r["source_file"].removeprefix("offres_")) for r in got.collect()] == [
+        ("a", "1.ndjson"), ("b", "1.ndjson"), ("c", "2.json"), ("d", "2.json"), ("e", "3.json"),
     ]
     assert rows(files.parse_records(raw, "id string, n double").filter("n is not null")) == [("d", 1.0)]
 

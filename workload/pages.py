@@ -210,8 +210,10 @@ LINK = r"""'<li><a href="([^"]*)">([^<]*)</a></li>'"""
 
 
 def _plain(x: str) -> str:
-    """Entities the pages use, and white space, as a browser shows them."""
-    return f"trim(regexp_replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '\\s+', ' ', 'g'))"
+    """Entities the pages use, with or without semicolon, and white space, as a browser shows them."""
+    for entity, sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{entity};?', '{sign}', 'g')"
+    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
 
 
 ESTABLISHMENTS = """SELECT CAST(c_custkey AS VARCHAR) AS siret, '' AS siren,
