@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from jobscape import schemas
 from jobscape.plans import daily

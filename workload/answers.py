@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from jobscape.operators import matching, quality, reports
 from jobscape.plans import employers as emp, geo as plans_geo, marts, staging
-from jobscape.functions import figures
 from jobscape.sinks.tables import settle
 from workload.tables import (
     CODED_SQL,

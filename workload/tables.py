@@ -97,7 +97,11 @@ def coded_offers(spark, sf_dir):
     status, flag = F.col("l_linestatus"), F.col("l_returnflag")
     null = F.lit(None).cast("string")
     return facts(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey")).alias("id"),
+        # Order and line repeat with other contents, so the id takes in what tells them apart.
+        F.concat_ws(
+            "-", text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey"),
+            F.date_format("l_shipdate", "yyyyMMdd"), money("l_extendedprice"),
+        ).alias("id"),
         F.when(flag == "A", "Alternance data").when(flag == "N", "Data engineer").alias("intitule"),
         F.concat(F.lit("Quantité "), text("l_quantity")).alias("description"),
         F.col("l_shipdate").alias("dateCreation"),
@@ -136,7 +140,8 @@ def salary_text():
 
 CODED_SQL = """offers AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
-      || '-' || CAST(l_suppkey AS VARCHAR) AS offer_id,
+      || '-' || CAST(l_suppkey AS VARCHAR) || '-' || strftime(l_shipdate, '%Y%m%d') || '-'
+      || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS offer_id,
     CASE l_returnflag WHEN 'A' THEN 'Alternance data' WHEN 'N' THEN 'Data engineer' END AS job_title,
     CAST(l_shipdate AS DATE) AS created, CAST(l_shipdate AS DATE) + CAST(l_linenumber AS INTEGER) AS updated,
     CASE WHEN l_linestatus = 'O' THEN 'CDI' ELSE 'CDD' END AS contract_type,
