@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -97,3 +97,72 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 # Which bytes separate words: space and the five controls from tab to carriage return.
 SPACE = np.zeros(256, np.bool_)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+class _Places(dict):
+    """The number of each word; a new word takes the next one and is noted."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.fresh.append(word)
+        return n
+
+
+class WordIds:
+    """Token ids of texts whose words are encoded on their own; words met before are remembered.
+
+    ``cut`` cuts a text into words quickly. A word for which ``odd`` holds shows that its text needs ``cut_odd``,
+    the slower and general way. ``encode`` gives the ids of words end to end and how many each has. The memory is
+    bounded: past ``limit`` words it starts anew.
+    """
+
+    def __init__(
+        self,
+        cut: Callable[[str], list[str]],
+        odd: Callable[[str], bool],
+        cut_odd: Callable[[str], list[str]],
+        encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+        limit: int = 500_000,
+    ):
+        self.cut, self.odd, self.cut_odd, self.encode, self.limit = cut, odd, cut_odd, encode, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.place = _Places()
+        self.place.fresh = []
+        self.ids = np.zeros(0, np.int32)
+        self.sizes = self.starts = np.zeros(0, np.int64)
+
+    def _numbers(self, split: list[list[str]], may_be_odd: bool) -> np.ndarray:
+        """The number of every word; words not met before are encoded, odd ones get the size -1."""
+        find = self.place.__getitem__
+        out = np.fromiter((n for words in split for n in map(find, words)), np.int64)
+        if fresh := self.place.fresh:
+            odd = np.fromiter(map(self.odd, fresh), np.bool_, len(fresh)) & may_be_odd
+            ids, own = self.encode([w for w, o in zip(fresh, odd.tolist()) if not o] if odd.any() else fresh)
+            sizes = np.full(len(fresh), -1)
+            sizes[~odd] = own
+            self.ids = np.concatenate((self.ids, ids))
+            self.sizes = np.concatenate((self.sizes, sizes))
+            used = np.maximum(self.sizes, 0)
+            self.starts = np.cumsum(used) - used
+            self.place.fresh = []
+        return out
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many each text has."""
+        if len(self.place) > self.limit:
+            self.forget()
+        split = [self.cut(t) if t else [] for t in texts]
+        of = self._numbers(split, True)
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        if (odd := self.sizes[of] < 0).any():
+            for i in np.unique(np.repeat(np.arange(len(split)), counts)[odd]).tolist():
+                split[i] = self.cut_odd(texts[i])
+            of = self._numbers(split, False)
+            counts = np.fromiter(map(len, split), np.int64, len(split))
+        sizes = self.sizes[of]
+        begin = np.cumsum(sizes) - sizes
+        flat = self.ids[np.repeat(self.starts[of] - begin, sizes) + np.arange(sizes.sum())] if len(of) else self.ids[:0]
+        row = np.repeat(np.arange(len(split)), counts)
+        return flat, np.bincount(row, sizes, len(split)).astype(np.int64)

@@ -5,17 +5,46 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobscape.llm import language_id, sentence_pieces
+from jobscape.llm import language_id, sentence_pieces, token_shards, warc
 from jobscape.llm.common import table
+from jobscape.session import scratch_path
 
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder = scratch_path(spark, "token-shards")
+    token_shards.write_shards(docs, folder, BYTE_MODEL, token_shards.train_dictionary(docs, BYTE_MODEL))
+    return token_shards.read_shards(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.fit(docs))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warc.register(spark)
+    folder = scratch_path(spark, "warc")
+    warc.page_records(table(spark, sf_dir, "pages"), "2026-01-01T00:00:00Z").write.format("warc").mode("append").save(folder)
+    # Payloads of responses are read; of revisits the headers alone.
+    responses = warc.read_archive(spark, folder).filter(F.col("record_type") == "response").select(
+        "record_id", F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"), "record_type", "refers_to",
+    )
+    revisits = warc.read_archive(spark, folder).filter(F.col("record_type") == "revisit").select(
+        "record_id", "payload_bytes", F.expr("substr(payload_digest, 8)").alias("payload_digest"), "record_type", "refers_to"
+    )
+    return responses.unionByName(revisits).select(
+        warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of("refers_to").alias("refers_to"),
+    )
+
+
 def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = sentence_pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
     return sentence_pieces.decode(ids, PIECE_MODEL).select(
@@ -26,5 +55,14 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op8_language_id, op10_sentence_pieces)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op5_token_shards, op8_language_id, op9_warc, op10_sentence_pieces)}
+ORACLE: dict[str, str] = {
+    "op9_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+        FROM f""",
+}

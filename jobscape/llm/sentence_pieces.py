@@ -23,14 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobscape.llm.common import chunks
+from jobscape.llm.common import WordIds, chunks
 
 MARK = "▁"
 SHIFT = 21  # a code point or a piece number plus the vocabulary size fits in so many bits
 SPREAD = 0x9E3779B97F4A7C15
 NONE = 1 << 40  # the rank of a pair that is no piece
-# Words a task keeps between chunks before it starts anew.
-CACHED_WORDS = 500_000
 
 
 class Pieces:
@@ -100,8 +98,7 @@ class Pieces:
         return self.merged[at], np.where(self.keys[at] == key, self.rank[at], NONE)
 
     def words(self, text: str) -> list[str]:
-        if not text:
-            return []
+        """The escaped text cut where no piece reaches across."""
         text = MARK + text.replace(" ", MARK)
         return re.findall(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n", text) if self.splits else [text]
 
@@ -202,43 +199,17 @@ def load(path: str) -> Pieces:
     return Pieces(path)
 
 
-class Encoder:
-    """Ids of texts, remembering the words met so far."""
-
-    def __init__(self, pieces: Pieces):
-        self.pieces = pieces
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.sizes = np.zeros(0, np.int64)
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and how many each text has."""
-        if len(self.place) > CACHED_WORDS:
-            self._forget()
-        split = [self.pieces.words(t or "") for t in texts]
-        fresh = list(dict.fromkeys(w for words in split for w in words if w not in self.place))
-        if fresh:
-            ids, sizes = self.pieces.merge(fresh)
-            self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh))))
-            self.ids = np.concatenate((self.ids, ids))
-            self.sizes = np.concatenate((self.sizes, sizes))
-            self.starts = np.cumsum(self.sizes) - self.sizes
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        of = np.fromiter((self.place[w] for words in split for w in words), np.int64, counts.sum())
-        sizes = self.sizes[of]
-        begin = np.cumsum(sizes) - sizes
-        flat = self.ids[np.repeat(self.starts[of] - begin, sizes) + np.arange(sizes.sum())] if len(of) else self.ids[:0]
-        row = np.repeat(np.arange(len(split)), counts)
-        return flat, np.bincount(row, sizes, len(split)).astype(np.int64)
-
-
 @lru_cache(2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str) -> WordIds:
     """One encoder per worker process, so that its words serve all tasks there."""
-    return Encoder(load(path))
+    pieces = load(path)
+    # Words between single blanks follow a space mark; words to be taken as they stand are told by a blank before them.
+    return WordIds(
+        cut=lambda text: text.split(" "),
+        odd=lambda word: not word or MARK in word or not pieces.splits,
+        cut_odd=lambda text: [" " + word for word in pieces.words(text)],
+        encode=lambda words: pieces.merge([w[1:] if w[0] == " " else MARK + w for w in words]),
+    )
 
 
 def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
