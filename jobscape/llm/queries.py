@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobscape.llm import language_id, main_text, sentence_pieces, token_shards, warc
+from jobscape.llm import decontamination, language_id, main_text, nearest, sentence_pieces, token_shards, warc
 from jobscape.llm.common import table
 from jobscape.session import scratch_path
 
@@ -13,6 +13,10 @@ BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
@@ -26,6 +30,11 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = nearest.usable(table(spark, sf_dir, "embeddings"))
+    return nearest.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.fit(docs))
@@ -59,7 +68,12 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_main_text, op5_token_shards, op8_language_id, op9_warc, op10_sentence_pieces)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op3_main_text, op5_token_shards, op7_nearest, op8_language_id, op9_warc, op10_sentence_pieces,
+    )
+}
 ORACLE: dict[str, str] = {
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
