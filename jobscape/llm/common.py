@@ -31,14 +31,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, bounds - bounds[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about ``limit`` bytes of ``column``; rows stay whole."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES, most_rows: int = 1 << 16
+) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``limit`` bytes of ``column``, and so many rows; rows stay whole."""
     for batch in batches:
         _, bounds = text_bytes(batch.column(column))
         start = 0
         while start < batch.num_rows:
             end = int(np.searchsorted(bounds, bounds[start] + limit, "right")) - 1
-            end = min(max(end, start + 1), batch.num_rows)
+            end = min(max(end, start + 1), start + most_rows, batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
 

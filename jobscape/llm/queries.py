@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobscape.llm import decontamination, language_id, main_text, nearest, sentence_pieces, token_shards, warc
+from jobscape.llm import decontamination, language_id, main_text, near_duplicates, nearest, sentence_pieces, token_shards, warc
 from jobscape.llm.common import table
 from jobscape.session import scratch_path
 
@@ -21,6 +21,10 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = scratch_path(spark, "token-shards")
@@ -71,7 +75,8 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_decontamination, op3_main_text, op5_token_shards, op7_nearest, op8_language_id, op9_warc, op10_sentence_pieces,
+        op1_decontamination, op3_main_text, op4_near_duplicates, op5_token_shards, op7_nearest, op8_language_id,
+        op9_warc, op10_sentence_pieces,
     )
 }
 ORACLE: dict[str, str] = {
