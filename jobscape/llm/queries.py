@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobscape.llm import decontamination, language_id, main_text, near_duplicates, nearest, sentence_pieces, token_shards, warc
+from jobscape.llm import decontamination, language_id, main_text, near_duplicates, nearest, repeats, sentence_pieces, token_shards, warc
 from jobscape.llm.common import table
 from jobscape.session import scratch_path
 
@@ -34,6 +34,15 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = nearest.usable(table(spark, sf_dir, "embeddings"))
     return nearest.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
@@ -75,7 +84,7 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_decontamination, op3_main_text, op4_near_duplicates, op5_token_shards, op7_nearest, op8_language_id,
+        op1_decontamination, op3_main_text, op4_near_duplicates, op5_token_shards, op6_repeats, op7_nearest, op8_language_id,
         op9_warc, op10_sentence_pieces,
     )
 }
