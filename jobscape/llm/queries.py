@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobscape.llm import decontamination, language_id, main_text, near_duplicates, nearest, repeats, sentence_pieces, token_shards, warc
+from jobscape.llm import decontamination, language_id, licenses, main_text, near_duplicates, nearest, repeats, sentence_pieces, token_shards, warc
 from jobscape.llm.common import table
 from jobscape.session import scratch_path
 
@@ -17,6 +17,19 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: under their source, language and order of length; those of up to three lines are licence files."""
+    docs = table(spark, sf_dir, "documents")
+    parts = [F.lit(""), F.col("source"), F.col("lang"), F.length(F.length("text").cast("string")).cast("string")]
+    files = docs.select(
+        F.col("doc_id").alias("file"),
+        F.concat(F.concat_ws("/", *(F.coalesce(p, F.lit("none")) for p in parts)), F.lit("/"), F.col("doc_id").cast("string")).alias("path"),
+        "text",
+        F.coalesce(F.size(F.split("text", "\n")) <= 3, F.lit(False)).alias("is_license_file"),
+    )
+    return licenses.scan(files).withColumnRenamed("file", "doc_id")
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
@@ -84,11 +97,49 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_decontamination, op3_main_text, op4_near_duplicates, op5_token_shards, op6_repeats, op7_nearest, op8_language_id,
+        op1_decontamination, op2_licenses, op3_main_text, op4_near_duplicates, op5_token_shards, op6_repeats, op7_nearest, op8_language_id,
         op9_warc, op10_sentence_pieces,
     )
 }
+_TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
+_COMMON = ", ".join(f"'{w}'" for w in licenses.COMMON)
 ORACLE: dict[str, str] = {
+    "op2_licenses": f"""
+        WITH files AS (
+            SELECT doc_id AS file, text, len(string_split(text, chr(10))) <= 3 AS is_license_file,
+                   '/' || coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/'
+                   || coalesce(CAST(length(CAST(length(text) AS VARCHAR)) AS VARCHAR), 'none') || '/' || doc_id AS path
+            FROM documents),
+        templates(license, text) AS (VALUES {_TEMPLATES}),
+        t_terms AS (SELECT license, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM templates),
+        telling AS (SELECT list(DISTINCT term) AS words FROM t_terms WHERE term NOT IN ({_COMMON})),
+        split AS (SELECT file, regexp_split_to_array(text, '\\r\\n|\\n|\\r') AS parts FROM files),
+        lines AS (SELECT file, unnest(range(len(parts))) AS line, unnest(parts) AS content FROM split),
+        words AS (SELECT file, line, regexp_extract_all(lower(content), '[a-z0-9]+') AS terms FROM lines),
+        found AS (SELECT file, line, terms FROM words, telling WHERE len(list_intersect(terms, words)) >= 2),
+        l_terms AS (SELECT file, line, unnest(terms) AS term FROM found),
+        needed AS (SELECT term FROM l_terms UNION SELECT term FROM t_terms),
+        d_terms AS (SELECT file, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS term FROM files),
+        df AS (SELECT term, count(*) AS df FROM d_terms WHERE term IN (FROM needed) GROUP BY term),
+        idf AS (SELECT term, ln((1 + (SELECT count(*) FROM files)) / (1 + coalesce(df, 0))) + 1 AS idf FROM needed LEFT JOIN df USING (term)),
+        l_raw AS (SELECT file, line, term, (1 + ln(count(*))) * any_value(idf) AS raw FROM l_terms JOIN idf USING (term) GROUP BY ALL),
+        l_vec AS (SELECT file, line, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY file, line)) AS weight FROM l_raw),
+        t_raw AS (SELECT license, term, (1 + ln(count(*))) * any_value(idf) AS raw FROM t_terms JOIN idf USING (term) GROUP BY ALL),
+        t_vec AS (SELECT license, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY license)) AS goal FROM t_raw),
+        cosine AS (SELECT file, line, license, round(sum(weight * goal), 4) AS score FROM l_vec JOIN t_vec USING (term) GROUP BY ALL),
+        own AS (SELECT file, license, score FROM cosine WHERE score >= 0.7
+                QUALIFY row_number() OVER (PARTITION BY file ORDER BY score DESC, license) = 1),
+        placed AS (SELECT file, path, is_license_file, regexp_replace(path, '/[^/]*$', '') AS folder FROM files),
+        of_folder AS (SELECT folder AS above, license AS inherited FROM placed JOIN own USING (file) WHERE is_license_file
+                      QUALIFY row_number() OVER (PARTITION BY folder ORDER BY score DESC, license) = 1),
+        near AS (SELECT DISTINCT folder, above, inherited FROM placed JOIN of_folder
+                 ON folder = above OR starts_with(folder, above || '/')),
+        nearest AS (SELECT folder, above, inherited FROM near
+                    QUALIFY row_number() OVER (PARTITION BY folder ORDER BY length(above) DESC) = 1)
+        SELECT file AS doc_id, path, coalesce(license, inherited) AS license, score,
+               CASE WHEN license IS NOT NULL THEN 'own' WHEN inherited IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+               CASE WHEN license IS NULL THEN above END AS inherited_from
+        FROM placed LEFT JOIN own USING (file) LEFT JOIN nearest USING (folder)""",
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
