@@ -1,35 +1,68 @@
-"""The corpus pipeline: documents in, cleaned and tokenised documents out.
+"""The corpus pipeline: documents in; documents of a known language, without near copies, repeated passages and
+benchmark passages, as token ids out.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and read again as
-the ``docs`` of the next. All but the last return the columns of documents.
+the ``docs`` of the next. All but the last return the columns of documents. Rows without doc_id pass the stages that
+compare documents. Columns beside those of documents are carried along.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobscape.llm import language_id, sentence_pieces
+from jobscape.llm import decontamination, language_id, near_duplicates, repeats, sentence_pieces
 from jobscape.sinks.tables import settle
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _rows_of(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is (left_semi) or is not (left_anti) among ``ids``, null included."""
+    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), how)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without text or letters go."""
     found = language_id.identify(docs, language_id.fit(docs))
-    keep = found.filter(F.col("lang_pred") != language_id.UNKNOWN).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
+    return _rows_of(docs, found.filter(F.col("lang_pred") != language_id.UNKNOWN), "left_semi")
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each group of near copies: five-word shingles, similarity 0.8."""
+    found = near_duplicates.near_duplicates(docs, words=5, percent=80)
+    return _rows_of(docs, found.filter("kept"), "left_semi")
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that an earlier document, or the same one before, has; emptied documents go."""
+    found = repeats.without_repeats(docs)
+    length: Column = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
+    return found.withColumn("n_chars", length) if length is not None else found
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _rows_of(docs, decontamination.contaminated_spans(docs, benchmark), "left_anti")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their piece numbers."""
-    return sentence_pieces.encode(docs, PIECE_MODEL)
+    """doc_id, the piece numbers of each text, their count, and the text they decode to."""
+    found = sentence_pieces.decode(sentence_pieces.encode(docs, PIECE_MODEL), PIECE_MODEL)
+    return found.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.col("decoded").alias("text"))
 
 
-STAGES = [("language_id", known_language), ("sentence_pieces", token_ids)]
+STAGES = [
+    ("language_id", known_language),
+    ("near_duplicates", one_of_near_copies),
+    ("repeats", without_repeats),
+    ("decontamination", decontaminated),
+    ("sentence_pieces", token_ids),
+]
 
-# No stage of the pipeline is expressible in SQL; tests compare them with brute force.
+# The stages are not expressible in SQL; the tests compare each with brute force.
 ORACLE_SQL = None
 
 

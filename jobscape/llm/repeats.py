@@ -310,15 +310,17 @@ def large_bucket_marks(contexts: DataFrame) -> DataFrame:
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """Texts compressed, for the way to a join."""
+    """``docs`` with its text compressed, for the way to a join."""
+    others = [c for c in docs.columns if c != "text"]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(others).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
         for batch in chunks(batches, "text"):
             texts = [pack.compress(t or b"") for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.binary())], names=["doc", "packed"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(texts, pa.binary())], names=[*others, "packed"])
 
-    return docs.mapInArrow(run, "doc long, packed binary")
+    return docs.select(*others, "text").mapInArrow(run, f"{kinds}, packed binary")
 
 
 def _contexts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
@@ -360,9 +362,9 @@ def repeated_marks(docs: DataFrame, limit: int = 512) -> DataFrame:
     return marks
 
 
-def remove_repeats(docs: DataFrame, limit: int = 512) -> DataFrame:
-    """doc_id, n_bytes, spans (start, end of the maximal removed runs) and kept (the other bytes) of every row."""
-    named = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
+def _cut(docs: DataFrame, limit: int, whole_characters: bool) -> DataFrame:
+    """``docs`` (doc, text and others) without text, with n_bytes, spans and kept."""
+    named = docs.select("doc", "text")
     texts = named.groupBy("doc").agg(F.min(F.xxhash64("text")).alias("x"), F.max(F.xxhash64("text")).alias("y"))
     unclear = settle(texts.filter("x <> y or doc is null").select("doc"), "unclear")
     clear = named.filter("doc is not null")
@@ -370,6 +372,8 @@ def remove_repeats(docs: DataFrame, limit: int = 512) -> DataFrame:
         clear = clear.join(unclear, "doc", "left_anti")
     marks = repeated_marks(clear, limit)
     lists = marks.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
+    others = [c for c in docs.columns if c != "text"]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(others).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -378,18 +382,53 @@ def remove_repeats(docs: DataFrame, limit: int = 512) -> DataFrame:
             for packed, marks in zip(batch.column("packed").to_pylist(), batch.column("marks").to_pylist()):
                 text = unpack.decompress(packed)
                 runs = merged((m["start"], m["end"]) for m in marks or ())
+                if whole_characters:
+                    runs = [run for run in (_whole(text, a, b) for a, b in runs) if run[0] < run[1]]
                 at = [0, *(x for run in runs for x in run), len(text)]
                 sizes.append(len(text))
                 kept.append(b"".join(text[a:b] for a, b in zip(at[::2], at[1::2])))
                 cut.append([{"start": a, "end": b} for a, b in runs])
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(cut, span), pa.array(kept, pa.binary())],
-                names=["doc_id", "n_bytes", "spans", "kept"],
+                [*(batch.column(c) for c in others), pa.array(sizes, pa.int64()), pa.array(cut, span), pa.array(kept, pa.binary())],
+                names=[*others, "n_bytes", "spans", "kept"],
             )
 
-    joined = _packed(named).join(lists, "doc", "left").select("doc", "packed", "marks")
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    joined = _packed(docs).join(lists, "doc", "left").select(*others, "packed", "marks")
+    return joined.mapInArrow(run, f"{kinds}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+
+
+def _whole(text: bytes, a: int, b: int) -> tuple[int, int]:
+    """The run without the characters that it holds in part only."""
+    while a < b and text[a] & 0xC0 == 0x80:
+        a += 1
+    while a < b < len(text) and text[b] & 0xC0 == 0x80:
+        b -= 1
+    return a, b
+
+
+def remove_repeats(docs: DataFrame, limit: int = 512) -> DataFrame:
+    """doc_id, n_bytes, spans (start, end of the maximal removed runs) and kept (the other bytes) of every row."""
+    return _cut(_keyed(docs), limit, False).withColumnRenamed("doc", "doc_id")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
+
+
+def without_repeats(docs: DataFrame, limit: int = 512) -> DataFrame:
+    """The rows of ``docs`` with the text that is left; characters that repeat only in part stay.
+
+    Rows whose text held something and has nothing left are left out.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = rows.select(
+        F.col("row.doc_id").cast("long").alias("doc"), F.col("row.text").cast("string").alias("text"),
+        F.col("row").dropFields("text").alias("row"), F.col("row.text").isNull().alias("empty"),
+    )
+    left = _cut(rows, limit, True).filter("n_bytes = 0 or octet_length(kept) > 0")
+    text = F.when(~F.col("empty"), F.col("kept").cast("string"))
+    return left.select(*(text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def merged(runs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
