@@ -25,8 +25,9 @@ def _rows_of(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without text or letters go."""
-    found = language_id.identify(docs, language_id.fit(docs))
-    return _rows_of(docs, found.filter(F.col("lang_pred") != language_id.UNKNOWN), "left_semi")
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    found = language_id.identify(rows, language_id.fit(docs), carried=("row",))
+    return found.filter(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

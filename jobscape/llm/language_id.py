@@ -181,9 +181,10 @@ def remainder():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
 
 
-def identify(docs: DataFrame, model: tuple[tuple[str, str], ...]) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every document."""
-    rows = docs.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), F.col("text").cast("string"))
+def identify(docs: DataFrame, model: tuple[tuple[str, str], ...], carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every document, and the ``carried`` columns."""
+    held_out = F.coalesce(remainder() == 1, F.lit(False)).alias("held_out")
+    rows = docs.select("doc_id", held_out, F.col("text").cast("string"), *carried)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([lang for lang, _ in model] or [UNKNOWN])
@@ -201,9 +202,10 @@ def identify(docs: DataFrame, model: tuple[tuple[str, str], ...]) -> DataFrame:
                 lang = np.where(letters > 0, names[best], UNKNOWN)
                 score = np.where(letters > 0, score, 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(lang.tolist(), pa.string()), pa.array(score)],
-                names=["doc_id", "held_out", "lang_pred", "score"],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(lang.tolist(), pa.string()), pa.array(score), *map(batch.column, carried)],
+                names=["doc_id", "held_out", "lang_pred", "score", *carried],
             )
 
+    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double{kinds}")

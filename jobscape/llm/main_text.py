@@ -103,7 +103,7 @@ def read_page(page: str) -> tuple[list[tuple[str, bool, bool]], list[tuple[int,
             if words:
                 top = stack[-1]
                 block = " ".join(words)
-                stack[-1].parts.append(block)
+                stack[-1].parts.append(DIGITS.sub("0", block))
                 if not top.drop:
                     blocks.append((block, top.article, top.main))
 
@@ -116,7 +116,7 @@ def read_page(page: str) -> tuple[list[tuple[str, bool, bool]], list[tuple[int,
             return
         parent.holds |= node.holds
         if node.parts:
-            whole = DIGITS.sub("0", "\x00".join((node.tag, *node.parts)))
+            whole = "\x00".join((node.tag, *node.parts))
             digest = hashlib.blake2b(whole.encode("utf-8", "surrogatepass"), digest_size=8).digest()
             number = int.from_bytes(digest, "little", signed=True)
             parent.parts.append(f"\x01{number}")

@@ -7,6 +7,8 @@ some substring, up to r / (number of substrings) bits; so probing every substrin
 every code within r, and nothing within r is missed. Those codes' vectors are ranked by their Euclidean distance in
 double precision.
 
+A query that finds fewer than ``k`` codes in a shard probes it again with a larger r.
+
 The rotations and r are fitted on ``sample`` vectors with the smallest hashed ids: r is the ``quantile`` of the
 Hamming distances at which the sample's own nearest neighbours lie. All rows are indexed. Rows are dealt over
 shards of about ``shard_rows`` by hashed id, queries over blocks, so that a task holds a bounded part of either; the
@@ -120,8 +122,11 @@ def nearest(
         for query, vector in zip(asked.column("vec_id").to_pylist(), asked.column("vector").to_numpy()):
             if index is None:
                 break
-            near = index.within(codes(vector[None, :])[0], codes.radius)
-            near = near[ids[near] != query]
+            code, radius = codes(vector[None, :])[0], codes.radius
+            near = index.within(code, radius)
+            while (near := near[ids[near] != query]).size < k and radius < bits:
+                radius = min(bits, 2 * radius + 8)
+                near = index.within(code, radius)
             gap = np.sqrt(((x[near] - vector) ** 2).sum(1))
             best = np.lexsort((ids[near], gap))[:k]
             out[0] += [query] * len(best)

@@ -184,7 +184,10 @@ class Pieces:
         """UTF-8 bytes of the decoded rows, end to end, and the length of each."""
         lengths = self.surface_len[ids]
         at = self.surface_at[ids]
-        first = (np.cumsum(sizes) - sizes)[sizes > 0]
+        first, end = (np.cumsum(sizes) - sizes)[sizes > 0], np.cumsum(sizes)[sizes > 0]
+        # The mark before a text is no blank; control pieces do not count as a beginning.
+        while (past := (lengths[first] == 0) & (first + 1 < end)).any():
+            first = first + past
         blank = first[self.starts_blank[ids[first]]]
         at[blank] += 1
         lengths[blank] -= 1
