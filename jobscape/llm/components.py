@@ -25,8 +25,9 @@ def connected(edges: DataFrame) -> DataFrame:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = settle(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # Edges now end in centres: a document has few of them as its larger end.
         large = settle(large.filter("u <> v").distinct(), "large-star")
-        least = settle(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v")))
         pairs = settle(small.filter("u <> v").distinct(), "small-star")

@@ -12,13 +12,17 @@ A pair at exactly 0.8 misses one tree of three levels with probability 0.36, twe
 refuses it with about 3e-6.
 
 Documents with equal sets are one class and take part once. Groups of near copies do not fall apart by branching, so
-comparing goes in two steps: first every document is checked against the one candidate that comes first, which
-joins such groups into components; then all candidate pairs between different components are checked. Pairs inside a
-component need no check, and no group is expanded into all its pairs. Nodes that stay large after ``levels`` more levels are
-compared in blocks, each block with each other, and nothing is dropped.
+comparing goes in two steps. First every document is checked against the candidate whose sketch is nearest, which
+joins such groups into components. Then the graph of candidates is cut into families (its connected components), and
+families that hold several components are compared on full sets: all candidate pairs between different components,
+the nearest first, until the components meet. Pairs inside a component need no check, no pair is sent anywhere before
+it is confirmed, and no group is expanded into all its pairs.
 
 Node counts are taken on the map side before any document is sent to a node, so no task sees more than ``limit``
-documents of one node. Sets travel only for documents with a candidate. Nothing but counts reaches the driver.
+documents of one node. Nodes that stay large after ``levels`` more levels are compared in blocks, each block with each
+other. Families are compared in blocks of about ``block`` documents; the largest component of a family is not
+compared with itself, so a family of one great group and some documents beside it stays linear. Nothing is dropped.
+Sets travel only for documents with a candidate. Nothing but counts reaches the driver.
 
 Rules: null texts and texts without words have the empty set, which is linked with nothing; texts with fewer words
 than a shingle are one shingle; rows without doc_id stand alone, with null as component; rows that repeat a doc_id
@@ -186,13 +190,15 @@ class _Nodes:
             yield pa.concat_batches(held)
 
 
-def _alike(part: pa.RecordBatch, percent: int, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j), i before j, of pairs in a node whose sizes and sketches allow the threshold (and groups differ)."""
+def _alike(part: pa.RecordBatch, percent: int, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places i before j of the pairs in a node whose sizes and sketches allow the threshold (and groups differ), and
+    the bits in which the sketches differ."""
     node, n = part.column("node").to_numpy(), part.column("n").to_numpy().astype(np.int64)
     s0, s1 = (part.column(c).to_numpy().view(np.uint64) for c in ("s0", "s1"))
     p = (1 + percent / 100) / 2
     most = int(BITS * (1 - p) + 4.5 * (BITS * p * (1 - p)) ** 0.5) + 1
-    left, right = [], []
+    none = np.zeros(0, np.int64)
+    out = [(none, none, none)]
     at, step = np.arange(len(node)), 1
     while len(at := at[at + step < len(node)]):
         # Rows of a node ascend by size: past a partner too large for i, all others are.
@@ -201,144 +207,173 @@ def _alike(part: pa.RecordBatch, percent: int, group: np.ndarray | None = None)
         good = differ <= most
         if group is not None:
             good &= group[at] != group[at + step]
-        left.append(at[good])
-        right.append(at[good] + step)
+        out.append((at[good], at[good] + step, differ[good]))
         step += 1
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+    left, right, differ = zip(*out)
+    return np.concatenate(left), np.concatenate(right), np.concatenate(differ)
 
 
-def first_partners(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows with a candidate in their node, and the first one before them (``best``), if any."""
+def partners(rows: DataFrame, percent: int) -> DataFrame:
+    """Documents with a candidate in their node: the nearest one, ``apart`` bits away, and the ``root`` of their group.
+
+    Groups are the connected parts of the node's candidate pairs, named by one of their documents.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _Nodes(batches):
-            left, right = _alike(part, percent)
-            best = np.full(part.num_rows, part.num_rows)
-            np.minimum.at(best, right, left)
+            left, right, differ = _alike(part, percent)
+            nearest = np.full(part.num_rows, np.iinfo(np.int64).max)
+            np.minimum.at(nearest, right, differ << 32 | left)
+            np.minimum.at(nearest, left, differ << 32 | right)
             live = np.union1d(left, right)
-            has = best[live] < part.num_rows
-            of = pa.array(np.where(has, best[live], 0), mask=~has)
+            root = np.arange(part.num_rows)
+            while True:
+                low = np.minimum(root[left], root[right])
+                if (low == root[left]).all() and (low == root[right]).all():
+                    break
+                np.minimum.at(root, left, low)
+                np.minimum.at(root, right, low)
+                root = root[root]
+            doc = part.column("doc")
             yield pa.RecordBatch.from_arrays(
-                [*part.take(pa.array(live)).columns, part.column("n").take(of), part.column("doc").take(of)],
-                names=["node", "doc", "n", "s0", "s1", "best_n", "best"],
-            )
+                [
+                    *(part.column(c).take(pa.array(live)) for c in ("doc", "n", "s0", "s1")), pa.array(nearest[live] >> 32, pa.int32()),
+                    doc.take(pa.array(nearest[live] & 0xFFFFFFFF)), doc.take(pa.array(root[live])),
+                ],
+                names=["doc", "n", "s0", "s1", "apart", "partner", "root"],
+            )
 
-    return _by_node(rows).mapInArrow(run, NODE_SCHEMA + ", best_n int, best long")
+    return _by_node(rows).mapInArrow(run, "doc long, n int, s0 long, s1 long, apart int, partner long, root long")
 
 
 def _by_node(rows: DataFrame) -> DataFrame:
     return rows.repartition("node").sortWithinPartitions("node", "n", "doc")
 
 
-def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) in a node that lie in different components."""
+def _blocks(rows: DataFrame, limit: int) -> DataFrame:
+    """Large nodes as pairs of blocks: each becomes a node of about ``limit`` rows."""
+    sizes = settle(rows.groupBy("node").agg(F.ceil(2 * F.count("*") / limit).cast("int").alias("blocks")), "large-nodes")
+    dealt = rows.join(sizes, "node").withColumn("own", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return other.withColumn("node", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))).drop("blocks", "own", "other")
+
+
+def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """doc and ``set`` of the documents in ``ids`` (doc)."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _Nodes(batches):
-            left, right = _alike(part, percent, part.column("component").to_numpy())
-            doc = part.column("doc").to_numpy()
-            pairs = np.unique(np.sort(np.stack((doc[left], doc[right])), axis=0), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+        for batch in chunks(batches, "text"):
+            values, sizes = shingle_sets(batch.column("text"), words)
+            ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.ListArray.from_arrays(ends, _signed(values))], names=["doc", "set"])
 
-    return _by_node(rows).mapInArrow(run, "a long, b long").distinct()
+    return rows.join(ids, "doc", "left_semi").mapInArrow(run, "doc long, set array<long>")
 
 
-def _mixed_nodes(rows: DataFrame) -> DataFrame:
-    """Rows (with component) of the nodes that hold more than one component."""
-    ends = rows.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("node")
-    return rows.join(settle(ends, "mixed-nodes"), "node", "left_semi")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that reach the threshold."""
+    set_of = lambda end: sets.select(F.col("doc").alias(end), F.col("set").alias(f"set_{end}"))
+    both = pairs.join(set_of("b"), "b").join(set_of("a"), "a")
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    union = F.size("set_a") + F.size("set_b") - shared
+    return both.filter(100 * shared >= percent * union).select("a", "b")
 
 
-def _with_component(rows: DataFrame, links: DataFrame) -> DataFrame:
-    return rows.join(links, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+def family_blocks(members: DataFrame, block: int) -> DataFrame:
+    """doc, component and ``node``, a pair of blocks, of the members (doc, component, family) of mixed families.
 
+    The largest component of a family has blocks of its own, which are paired with the other blocks only.
+    """
+    sizes = members.groupBy("family", "component").agg(F.count("*").alias("n"))
+    families = sizes.groupBy("family").agg(
+        F.count("*").alias("components"), F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("main")
+    ).filter("components > 1")
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    families = families.select(
+        "family", F.col("main.component").alias("main"), blocks(F.col("main.n")).alias("inner"), blocks(F.col("members") - F.col("main.n")).alias("outer")
+    )
+    rows = members.join(settle(families, "families"), "family").withColumn("inside", F.col("component") == F.col("main"))
+    # Outer blocks come first, then those of the main component.
+    own = F.when(F.col("inside"), F.col("outer") + F.pmod(F.xxhash64("doc"), "inner")).otherwise(F.pmod(F.xxhash64("doc"), "outer"))
+    others = F.when(F.col("inside"), F.sequence(F.lit(0), F.col("outer") - 1)).otherwise(F.sequence(F.lit(0), F.col("outer") + F.col("inner") - 1))
+    rows = rows.withColumn("own", own.cast("int")).withColumn("other", F.explode(others))
+    return rows.select("doc", "component", F.xxhash64("family", F.least("own", "other"), F.greatest("own", "other")).alias("node"))
 
-def _blocks(rows: DataFrame, limit: int) -> DataFrame:
-    """Large nodes as pairs of blocks: each becomes a node of about ``limit`` rows."""
-    sizes = settle(rows.groupBy("node").agg(F.ceil(2 * F.count("*") / limit).cast("int").alias("blocks")), "large-nodes")
-    dealt = rows.join(sizes, "node").withColumn("own", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
-    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return other.withColumn("node", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))).drop("blocks", "own", "other")
 
+def links_between(rows: DataFrame, percent: int) -> DataFrame:
+    """Confirmed pairs (a, b) that join different components in a pair of blocks (NODE_SCHEMA with component and set)."""
 
-class Linker:
-    """Confirms candidate pairs on full sets and keeps the components found so far."""
-
-    def __init__(self, docs: DataFrame, words: int, percent: int):
-        self.docs, self.words, self.percent = docs, words, percent
-        self.sets: DataFrame | None = None
-        self.edges: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def gather(self, ids: DataFrame) -> None:
-        """Sets of more documents (``doc``)."""
-        if self.sets is not None:
-            ids = ids.join(self.sets.select("doc").distinct(), "doc", "left_anti")
-        rows = self.docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
-        rows = rows.join(settle(ids.distinct(), "candidates"), "doc", "left_semi")
-        words = self.words
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in chunks(batches, "text"):
-                values, sizes = shingle_sets(batch.column("text"), words)
-                ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.ListArray.from_arrays(ends, _signed(values))], names=["doc", "set"])
-
-        found = settle(rows.mapInArrow(run, "doc long, set array<long>"), "sets")
-        self.sets = found if self.sets is None else self.sets.unionByName(found)
-
-    def confirm(self, pairs: DataFrame) -> None:
-        """Adds the pairs (a, b) that reach the threshold, and joins the components."""
-        set_of = lambda end: self.sets.select(F.col("doc").alias(end), F.col("set").alias(f"set_{end}"))
-        both = pairs.join(set_of("b"), "b").join(set_of("a"), "a")
-        shared = F.size(F.array_intersect("set_a", "set_b"))
-        union = F.size("set_a") + F.size("set_b") - shared
-        found = settle(both.filter(100 * shared >= self.percent * union).select("a", "b").distinct(), "links")
-        # Components so far stand for the links that made them.
-        known = [found] if self.links is None else [found, self.links.select(F.col("doc").alias("a"), F.col("component").alias("b"))]
-        edges = known[0] if len(known) == 1 else known[0].unionByName(known[1])
-        self.links = settle(connected(edges), "components")
-
-
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, limit: int = 1024, levels: int = 8) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _Nodes(batches, rows=1):
+            component = part.column("component").to_numpy()
+            left, right, differ = _alike(part, percent, component)
+            doc, sets = part.column("doc").to_numpy(), part.column("set")
+            bounds, values = sets.offsets.to_numpy(), sets.values.to_numpy()
+            parent: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while (up := parent.get(x, x)) != x:
+                    parent[x] = parent.get(up, up)
+                    x = up
+                return x
+
+            out: list[list[int]] = [[], []]
+            for k in np.argsort(differ, kind="stable").tolist():
+                i, j = int(left[k]), int(right[k])
+                x, y = find(int(component[i])), find(int(component[j]))
+                if x == y:
+                    continue
+                a, b = values[bounds[i] : bounds[i + 1]], values[bounds[j] : bounds[j + 1]]
+                shared = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+                if 100 * shared >= percent * (len(a) + len(b) - shared):
+                    parent[max(x, y)] = min(x, y)
+                    out[0].append(int(doc[i]))
+                    out[1].append(int(doc[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["a", "b"])
+
+    return _by_node(rows).mapInArrow(run, "a long, b long")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 5, percent: int = 80, limit: int = 4096, levels: int = 8, block: int = 256
+) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row; ``percent`` is the least similarity in hundredths."""
     own = settle(features(docs, words), "features")
     classes = settle(
         own.filter("n > 0").groupBy("n", "k0", "k1").agg(F.min("doc").alias("doc"), *(F.first(c).alias(c) for c in ("s0", "s1", "signature"))), "classes"
     )
-    linker = Linker(docs, words, percent)
-    rows, live = first_nodes(classes), []
+    rows, live = first_nodes(classes), None
     for level in range(levels + 1):
         large = settle(rows.groupBy("node").count().filter(F.col("count") > limit).select("node"), "large")
-        live.append(settle(first_partners(rows.join(large, "node", "left_anti"), percent), "partners"))
-        linker.gather(live[-1].select("doc"))
-        pairs = live[-1].filter("best is not null").groupBy("doc").agg(F.min(F.struct("best_n", "best")).alias("to"))
-        pairs = pairs.select(F.col("to.best").alias("a"), F.col("doc").alias("b"))
+        small = partners(rows.join(large, "node", "left_anti"), percent)
         more = not large.isEmpty()
         if more:
-            # Each document of a large node against the smallest set there, which joins a group of near copies.
-            held = settle(rows.join(large, "node", "left_semi"), "large-rows")
-            ends = held.groupBy("node").agg(F.min(F.struct("n", "doc", "s0", "s1")).alias("pivot"))
-            to_pivot = held.join(settle(ends, "pivots"), "node").filter("doc <> pivot.doc").filter(100 * F.col("pivot.n") >= percent * F.col("n"))
-            to_pivot = settle(to_pivot.select(F.col("pivot.doc").alias("a"), F.col("doc").alias("b")).distinct(), "to-pivot")
-            linker.gather(to_pivot.select(F.explode(F.array("a", "b")).alias("doc")))
-            pairs = pairs.unionByName(to_pivot)
-        linker.confirm(pairs)
+            rows = settle(rows.join(large, "node", "left_semi"), "large-rows")
+            if level == levels:
+                small, more = small.unionByName(partners(_blocks(rows, limit), percent)), False
+            else:
+                rows = next_nodes(rows, classes)
+        small = settle(small, "partners")
+        live = small if live is None else live.unionByName(small)
         if not more:
             break
-        held = settle(_mixed_nodes(_with_component(held, linker.links)).drop("component"), "mixed-rows")
-        if level == levels:
-            linker.gather(held.select("doc"))
-            live.append(_blocks(held, limit))
-        rows = next_nodes(held, classes)
-    candidates = live[0].select("node", "doc", "n", "s0", "s1")
-    for other in live[1:]:
-        candidates = candidates.unionByName(other.select("node", "doc", "n", "s0", "s1"))
-    rest = settle(cross_pairs(_mixed_nodes(settle(_with_component(candidates, linker.links), "candidate-rows")), percent), "cross-pairs")
-    linker.confirm(rest)
-
-    of_class = classes.select("n", "k0", "k1", "doc").join(linker.links, "doc", "left")
+    found = live.groupBy("doc", "n", "s0", "s1").agg(F.min(F.struct("apart", "partner")).alias("to"))
+    found = settle(found.select("doc", "n", "s0", "s1", F.col("to.partner").alias("partner")), "nearest-partners")
+    sets = settle(sets_of(docs, found.select("doc").distinct(), words), "sets")
+    nearest = found.select(F.greatest("doc", "partner").alias("a"), F.least("doc", "partner").alias("b")).distinct()
+    links = settle(connected(confirmed(nearest, sets, percent)), "components")
+
+    family = connected(live.select(F.col("doc").alias("a"), F.col("root").alias("b"))).withColumnRenamed("component", "family")
+    members = found.select("doc", "n", "s0", "s1").join(family, "doc").join(links, "doc", "left")
+    members = settle(members.withColumn("component", F.coalesce("component", "doc")), "members")
+    dealt = family_blocks(members.select("doc", "component", "family").distinct(), block)
+    dealt = dealt.join(members.select("doc", "n", "s0", "s1"), "doc").join(sets.filter(F.size("set") > 0), "doc")
+    more_links = links_between(dealt.select("node", "doc", "n", "s0", "s1", "component", "set"), percent)
+    edges = more_links.unionByName(links.select(F.col("doc").alias("a"), F.col("component").alias("b")))
+    links = settle(connected(edges), "components")
+
+    of_class = classes.select("n", "k0", "k1", "doc").join(links, "doc", "left")
     of_class = settle(of_class.select("n", "k0", "k1", F.coalesce("component", "doc").alias("component")), "class-components")
     placed = own.join(of_class, ["n", "k0", "k1"], "left").select(
         F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
