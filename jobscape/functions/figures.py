@@ -13,7 +13,7 @@ SCORE = r"^\d+/100$"
 NO_SCORE = "--/100"
 SECTOR_SUFFIX = " du secteur"
 CARBON_UNIT = " tCO2e"
-SALARY_AMOUNT = r"(\d+(?:\.\d+)?) Euros"
+SALARY_AMOUNT = r"(?<![\d.,])((?:\d{1,3}(?:[  \u00a0\u202f]\d{3})+|\d+)(?:[.,]\d+)?)[  \u00a0\u202f]?Euros"
 SALARY_MONTHS = r"sur (\d+(?:\.\d+)?) mois"
 SALARY_PERIOD = r"^\s*(Annuel|Mensuel|Horaire|Cachet|Autre)"
 
@@ -72,7 +72,7 @@ def salary_period(c: Column | str) -> Column:
 def salary_amounts(c: Column | str) -> Column:
     """Every amount of a salary label, as doubles."""
     found = F.regexp_extract_all(_col(c), F.lit(SALARY_AMOUNT), F.lit(1))
-    return F.transform(found, lambda x: x.try_cast("double"))
+    return F.transform(found, lambda x: fr_number(x))
 
 
 def salary_bounds(c: Column | str) -> list[Column]:

@@ -45,16 +45,16 @@ def require_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 def upsert(
     stored: DataFrame, incoming: DataFrame, keys: str | Sequence[str], order: Sequence[str]
 ) -> DataFrame:
-    """Stored rows replaced or extended by the last incoming row per key."""
+    """Stored rows replaced or extended by the last incoming row per key; a null key on either side fails the query."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    both = stored.withColumn("_new", F.lit(0)).unionByName(
+    both = require_keys(stored, keys).withColumn("_new", F.lit(0)).unionByName(
         require_keys(incoming, keys).withColumn("_new", F.lit(1)), allowMissingColumns=True
     )
     return first_per_key(both, keys, [F.col(c).desc() for c in ["_new", *order]]).drop("_new")
 
 
 def cap_per_search(
-    df: DataFrame, search: str | Sequence[str], date: str, tie: Sequence[str], cap: int = 3150
+    df: DataFrame, search: str | Sequence[str], date: str, tie: Sequence[str], cap: int
 ) -> DataFrame:
     """The newest ``cap`` rows of every search."""
     keys = [search] if isinstance(search, str) else list(search)

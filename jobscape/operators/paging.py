@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame, functions as F
 RANGE_SIZE, PAGE_SIZE, MAX_RESULTS, TEST_RESULTS = 150, 50, 3150, 200
 
 
-def _limit(total: str, cap: int, test_mode: bool):
-    return F.least(F.col(total).cast("bigint"), F.lit(TEST_RESULTS if test_mode else cap).cast("bigint"))
+def _planned(totals: DataFrame, total: str, cap: int) -> DataFrame:
+    """Searches with something to fetch, and how much; a search of unknown total plans nothing."""
+    known = totals.filter(F.col(total) > 0)
+    return known.withColumn("_limit", F.least(F.col(total).cast("bigint"), F.lit(cap).cast("bigint"))).filter("_limit > 0")
 
 
 def page_ranges(
-    totals: DataFrame, total: str, size: int = RANGE_SIZE, cap: int = MAX_RESULTS, test_mode: bool = False
+    totals: DataFrame, total: str, cap: int, size: int = RANGE_SIZE
 ) -> DataFrame:
     """Inclusive row ranges that fetch up to ``cap`` results of every search."""
-    planned = totals.withColumn("_limit", _limit(total, cap, test_mode)).filter("_limit > 0")
+    planned = _planned(totals, total, cap)
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("_limit") - 1, F.lit(size).cast("bigint"))
     return (
         planned.withColumn("range_start", F.explode(starts))
@@ -28,10 +30,10 @@ def page_ranges(
 
 
 def page_numbers(
-    totals: DataFrame, total: str, size: int = PAGE_SIZE, cap: int = MAX_RESULTS, test_mode: bool = False
+    totals: DataFrame, total: str, cap: int, size: int = PAGE_SIZE
 ) -> DataFrame:
     """Page numbers from 1 that fetch up to ``cap`` results of every search."""
-    planned = totals.withColumn("_limit", _limit(total, cap, test_mode)).filter("_limit > 0")
+    planned = _planned(totals, total, cap)
     last = F.ceil(F.col("_limit") / size).cast("bigint")
     return planned.withColumn("page", F.explode(F.sequence(F.lit(1).cast("bigint"), last))).drop("_limit")
 

@@ -30,7 +30,7 @@ REGISTER_COLUMNS = {
     "activity": "uniteLegale.activitePrincipaleUniteLegale",
     "city": "adresseEtablissement.libelleCommuneEtablissement",
     "postal_code": "adresseEtablissement.codePostalEtablissement",
-    "department": "adresseEtablissement.codePostalEtablissement",
+    "department": "codeDepartementEtablissement",
     "state": "uniteLegale.etatAdministratifUniteLegale",
     "key": "siret",
 }
@@ -64,8 +64,8 @@ def search_condition(
     """All given criteria at once; at least one besides the state is required.
 
     The name may stand in any of the name columns. The city is compared in upper case;
-    with ``city_exact=False`` a trailing star makes it a prefix. A department is the
-    start of the postal code.
+    with ``city_exact=False`` a trailing star makes it a prefix. A department is compared with its own column,
+    in upper case (``2A`` and ``2B`` share the postal codes that start with 20).
     """
     if not any([name, activity, city, postal_code, department]):
         raise ValueError("give at least one search criterion")
@@ -85,7 +85,7 @@ def search_condition(
     if postal_code:
         tests.append(text._col(columns["postal_code"]) == postal_code)
     if department:
-        tests.append(text._col(columns["department"]).startswith(department))
+        tests.append(text._col(columns["department"]) == department.upper())
     if state not in ("all", "active", "closed"):
         raise ValueError(f"unknown state {state}")
     if state != "all":
@@ -99,7 +99,7 @@ def search_condition(
 def register_search(
     register: DataFrame,
     columns: Mapping[str, str | Sequence[str]] = REGISTER_COLUMNS,
-    limit: int | None = 50,
+    limit: int | None = None,
     **criteria,
 ) -> DataFrame:
     """Rows meeting the criteria; the first ``limit`` by key (a top-k, not a sort)."""

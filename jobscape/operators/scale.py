@@ -6,47 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Up to this rank one reducer can take the rows that all map tasks keep for a hot key.
-ONE_STEP_RANK = 10
-RANK_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan over all cores when its files come in fewer pieces than half the cores.
-
-    Meant ahead of per-row work that is heavy next to moving the row. Input of many pieces,
-    the normal case on a cluster, stays where it is. Rows go by their place in the scan,
-    which is the same whenever a piece is read again, and spreads copies of a row too.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if 2 * scan.rdd.getNumPartitions() > cores:
-        return scan
-    place = F.monotonically_increasing_id() % (128 * cores)
-    return scan.withColumn("_place", place).repartition(cores, "_place").drop("_place")
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row per key. Each map task keeps one row per key before the shuffle."""
     return _ranked(df, keys, order, 1)
 
 
-def top_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, slices: int = 64
-) -> DataFrame:
+def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows per key, exact for any key size.
 
-    Every map task keeps n rows per key ahead of the shuffle (Spark does so up to the
-    rank in ``RANK_SETTING``, raised here when needed). For larger n the kept rows of a
-    key are first cut to n within ``slices`` groups of map tasks, so that the last step
-    sees at most ``n * slices`` rows of a hot key.
+    The rows of a key are first cut to n within slices, one per shuffle partition and dealt by map task, and the
+    survivors once more. So the last step sees at most n rows per slice of a hot key, and the plan is the same for
+    every n and every table.
     """
-    conf = df.sparkSession.conf
-    if n > int(conf.get(RANK_SETTING, "1000")):
-        conf.set(RANK_SETTING, str(n))
-    if n > ONE_STEP_RANK:
-        df = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
-        df = _ranked(df, [*keys, "_slice"], order, n).drop("_slice")
-    return _ranked(df, keys, order, n)
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
+    return _ranked(_ranked(sliced, [*keys, "_slice"], order, n).drop("_slice"), keys, order, n)
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

@@ -38,21 +38,32 @@ def raw_matches(candidates: DataFrame, entries: DataFrame, run_id: str) -> DataF
 
 
 def search_results(candidates: DataFrame, entries: DataFrame, run_id: str) -> DataFrame:
-    """Audit of the register searches: term, place and number of entries found by name."""
+    """Audit of the register searches, one row per term and place: what was asked and how many entries were found by name.
+
+    ``request_payload`` is the question as JSON. ``search_id`` hashes it with the run, so that a missing place and
+    an empty one differ; candidates that differ in their activity only share a search.
+    """
     keys = ["normalized_employer_name", "postal_code"]
     found = (
         entries.withColumn("normalized_employer_name", normalize_name("legal_name"))
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n_found"))
+        .agg(F.count(F.lit(1)).alias("n_found"), F.min("siret").alias("first_siret"))
     )
-    searched = candidates.join(found, keys, "left").select(
+    asked = candidates.select(*keys, "commune_code").distinct()
+    searched = asked.join(found, keys, "left").select(
         F.col("normalized_employer_name").alias("search_term"),
         "postal_code",
         "commune_code",
         F.coalesce("n_found", F.lit(0)).alias("n_found"),
         F.lit(run_id).alias("run_id"),
+        F.to_json(
+            F.struct(F.col("normalized_employer_name").alias("term"), "postal_code", "commune_code"), {"ignoreNullFields": "false"}
+        ).alias("request_payload"),
+        F.to_json(
+            F.struct(F.coalesce("n_found", F.lit(0)).alias("total"), "first_siret"), {"ignoreNullFields": "false"}
+        ).alias("response_payload"),
     )
-    return searched.withColumn("search_id", F.sha2(F.concat_ws("|", "run_id", "search_term", "postal_code", "commune_code"), 256))
+    return searched.withColumn("search_id", F.sha2(F.concat_ws("|", "run_id", "request_payload"), 256))
 
 
 def stg_register_matches(matches: DataFrame, entries: DataFrame) -> DataFrame:

@@ -62,6 +62,7 @@ category struct<tag string, label string>
 # Company register, one row per establishment.
 REGISTER = """
 siret string, siren string, dateCreationEtablissement string, trancheEffectifsEtablissement string,
+codeDepartementEtablissement string,
 uniteLegale struct<denominationUniteLegale string, nomUniteLegale string,
   prenomUsuelUniteLegale string, activitePrincipaleUniteLegale string,
   etatAdministratifUniteLegale string>,

@@ -4,23 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-LIST_ROWS = 100_000
-
-
 def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON object per line; nulls are written, text stays as it is."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def write_json_list(df: DataFrame, path: str, max_rows: int = LIST_ROWS) -> None:
-    """A reference list as one indented JSON list. Larger tables are refused: a list is one
-    value in one task, so they belong in ``write_ndjson``."""
-    rows = df.limit(max_rows + 1).count()
-    if rows > max_rows:
-        raise ValueError(f"more than {max_rows} rows; use write_ndjson")
-    whole = df.agg(F.collect_list(F.struct("*")).alias("rows"))
+def write_json_list(df: DataFrame, path: str) -> None:
+    """Reference lists: every part file is one indented JSON list of the rows of one partition.
+
+    A table of one partition gives one file. Partitions bound the lists, so no task holds more than its own rows.
+    """
+    rows = df.select(F.struct("*").alias("row")).withColumn("part", F.spark_partition_id())
+    lists = rows.groupBy("part").agg(F.collect_list("row").alias("rows"))
     options = {"pretty": "true", "ignoreNullFields": "false"}
-    whole.select(F.to_json("rows", options).alias("value")).write.mode("errorifexists").text(path)
+    lists.select(F.to_json("rows", options).alias("value")).write.mode("errorifexists").option("maxRecordsPerFile", 1).text(path)
 
 
 def write_csv_report(df: DataFrame, path: str, sep: str = ",") -> None:

@@ -191,9 +191,10 @@ def read_offers_any(spark: SparkSession, folder: str, pattern: str = "offres_*")
 
 
 def latest_file(spark: SparkSession, folder: str, pattern: str) -> str:
-    """Path of the last file by name. Only names are read."""
+    """Path of the file whose name comes last, wherever it lies. Only names are read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    last = files.agg(F.max("path").alias("path")).first()["path"]
+    name = F.element_at(F.split("path", "/"), -1)
+    last = files.agg(F.max_by("path", F.struct(name, F.col("path"))).alias("path")).first()["path"]
     if last is None:
         raise FileNotFoundError(f"no file like {pattern} in {folder}")
     return last

@@ -116,6 +116,13 @@ def test_latest_file(spark, folder):
         files.latest_file(spark, path, "nothing_*")
 
 
+def test_latest_file_goes_by_name_not_by_folder(spark, tmp_path):
+    for name in ("b/offres_1.json", "a/offres_2.json"):
+        (tmp_path / name).parent.mkdir()
+        (tmp_path / name).write_text("[]")
+    assert files.latest_file(spark, f"{tmp_path}/*", "offres_*.json").endswith("a/offres_2.json")
+
+
 def test_reading_order_across_blocks(spark, folder):
     """A file read in several blocks still yields its lines in file order."""
     path = folder(a__ndjson=lines(*[{"id": i} for i in range(3000)]), b__ndjson=lines({"id": 3000}))

@@ -11,12 +11,12 @@ from jobscape.operators import matching, pages, register
 
 PAGE = """<html><head><script>var x = "<dl><dt>no</dt></dl>";</script></head><body><!-- <dl><dt>no</dt></dl> -->
 <div class="co-legal-board wide"><dl><dt>Forme juridique</dt><dd><button>i</button><template> SAS &amp; Cie
- </template></dd></dl><dl><dt>Capital social</dt><dd>7 820,00 €</dd></dl></div>
+ </template></dd></dl><dl><dt>Capital social</dt><dd>4 615,00 €</dd></dl></div>
 <article class="ui-wrap"><div><div><dt>Activité principale déclarée</dt><dd><template>Conseil</template></dd></div>
 <div><dt>Type d'activité</dt><dd></dd></div></div></article>
-<ul><li data-type="revenue"><span>CA</span><span>3 %</span><span>38 330 000,00</span><span>9</span>
-<li data-type="netIncome"><span>6 370 000,50</span></ul>
-<div class="ui-tag" data-score="465">x</div>
+<ul><li data-type="revenue"><span>CA</span><span>3 %</span><span>12 345 000,00</span><span>9</span>
+<li data-type="netIncome"><span>2 718 000,50</span></ul>
+<div class="ui-tag" data-score="731">x</div>
 <ul id="coSovereigntyBoard"><li><div>Gouvernance</div><div>50/100</div><li><div>Achats</div><div>--/100</div></ul>
 <select data-co-score="1"><option value="2023" data-scores="A;A;A">2023<option value="2024" data-scores="C;;B">2024</select>
 </body></html>"""
@@ -31,8 +31,8 @@ def page(spark):
 def test_facts(page, rows):
     got = {r["label"]: r["value"] for r in pages.page_facts(page).collect()}
     assert got == {
-        "Forme juridique": "SAS & Cie", "Capital": "7 820,00 €", "Activité principale déclarée": "Conseil",
-        "Chiffre d'affaires": "38 330 000,00", "Résultats net": "6 370 000,50", "Bilan carbone": "465 tCO2e",
+        "Forme juridique": "SAS & Cie", "Capital": "4 615,00 €", "Activité principale déclarée": "Conseil",
+        "Chiffre d'affaires": "12 345 000,00", "Résultats net": "2 718 000,50", "Bilan carbone": "731 tCO2e",
     }
 
 
@@ -43,7 +43,7 @@ def test_scores(page, rows):
 
 def test_sheet(page):
     (got,) = pages.company_sheet(page, AS_OF).collect()
-    assert got["Résultats net"] == 6370000.5 and got["Type d'activité"] is None
+    assert got["Résultats net"] == 2718000.5 and got["Type d'activité"] is None
     assert [tuple(s) for s in got["sector_scores"]] == [("Gouvernance du secteur", "50/100")]
 
 
@@ -87,14 +87,15 @@ def test_label_pivot_and_first_item(spark, rows):
 @pytest.fixture
 def stock(spark):
     def entry(siret, name, last, naf, city, postal, state):
-        return (siret, siret[:9], "2020-01-01", None, (name, last, "Ida", naf, state), ("3", None, "RUE X", postal, city), [])
+        department = "2A" if postal.startswith("201") else postal[:2]
+        return (siret, siret[:9], "2020-01-01", None, department, (name, last, "Ida", naf, state), ("3", None, "RUE X", postal, city), [])
 
     return spark.createDataFrame(
         [
-            entry("00000000000003", "RENAULT SAS", None, "29.10Z", "BOULOGNE-BILLANCOURT", "92100", "A"),
-            entry("00000000000001", "LES AMIS DE RENAULT  SAS", None, "94.99Z", "PARIS", "75008", "F"),
-            entry("00000000000002", None, "RENAULT", "62.01Z", "PARIS", "75008", "A"),
-            entry("00000000000004", "RENAULTSAS", None, "62.02A", "LYON", "69001", None),
+            entry("00000000000003", "MOULINEX SAS", None, "29.10Z", "AJACCIO-PLAGE", "20100", "A"),
+            entry("00000000000001", "LES AMIS DE MOULINEX  SAS", None, "94.99Z", "PARIS", "75008", "F"),
+            entry("00000000000002", None, "MOULINEX", "62.01Z", "PARIS", "75008", "A"),
+            entry("00000000000004", "MOULINEXSAS", None, "62.02A", "LYON", "69001", None),
         ],
         schemas.REGISTER,
     )
@@ -103,18 +104,20 @@ def stock(spark):
 @pytest.mark.parametrize(
     "criteria, last_digits",
     [
-        ({"name": "renault sas"}, "13"),
-        ({"name": "renault"}, "123"),
-        ({"name": "renault", "state": "active"}, "23"),
-        ({"name": "renault", "state": "closed"}, "1"),
+        ({"name": "moulinex sas"}, "13"),
+        ({"name": "moulinex"}, "123"),
+        ({"name": "moulinex", "state": "active"}, "23"),
+        ({"name": "moulinex", "state": "closed"}, "1"),
         ({"activity": "62.0*"}, "24"),
         ({"activity": "29.10Z"}, "3"),
         ({"city": "paris"}, "12"),
-        ({"city": "boulogne*"}, ""),
-        ({"city": "boulogne*", "city_exact": False}, "3"),
+        ({"city": "ajaccio*"}, ""),
+        ({"city": "ajaccio*", "city_exact": False}, "3"),
         ({"postal_code": "75008", "activity": "94.99Z"}, "1"),
         ({"department": "69"}, "4"),
-        ({"name": "renault", "limit": 2}, "12"),
+        ({"department": "2a"}, "3"),
+        ({"department": "20"}, ""),
+        ({"name": "moulinex", "limit": 2}, "12"),
     ],
 )
 def test_register_search(stock, criteria, last_digits):
@@ -128,7 +131,7 @@ def test_search_needs_a_criterion(stock):
 
 
 def test_search_text_is_literal(stock):
-    assert register.register_search(stock, name="RENAULT.*").count() == 3
+    assert register.register_search(stock, name="MOULINEX.*").count() == 3
     with pytest.raises(ValueError):
         register.register_search(stock, name=".*")
 
@@ -136,7 +139,7 @@ def test_search_text_is_literal(stock):
 def test_establishment_rows(stock):
     got = register.establishment_rows(stock).filter("siret like '%2'").first()
     assert (got["nom_complet"], got["enseigne"], got["etat"], got["adresse"], got["effectifs"]) == (
-        "Ida RENAULT", "", "Actif", "3 RUE X", "Non renseigné",
+        "Ida MOULINEX", "", "Actif", "3 RUE X", "Non renseigné",
     )
     shown = register.display_columns(register.establishment_rows(stock), ["siret", "etat"])
     assert shown.columns == ["SIRET", "État Admin."]

@@ -55,9 +55,9 @@ def places(spark):
 def entries(spark):
     stock = spark.createDataFrame(
         [
-            ("00000000000009", "9", None, "11", ("ACME", None, None, "62.01Z", "A"), (None, None, None, "10001", None), [("Chez Acme",)]),
-            ("00000000000007", "7", None, None, ("Beta", None, None, None, "A"), (None, None, None, "10001", None), []),
-            ("00000000000001", "1", None, None, ("ACME", None, None, None, "A"), (None, None, None, "75001", None), []),
+            ("00000000000009", "9", None, "11", "75", ("ACME", None, None, "62.01Z", "A"), (None, None, None, "10001", None), [("Chez Acme",)]),
+            ("00000000000007", "7", None, None, "75", ("Beta", None, None, None, "A"), (None, None, None, "10001", None), []),
+            ("00000000000001", "1", None, None, "75", ("ACME", None, None, None, "A"), (None, None, None, "75001", None), []),
         ],
         schemas.REGISTER,
     )

@@ -25,11 +25,11 @@ def test_write_ndjson_keeps_nulls_and_letters(spark, tmp_path):
 
 def test_write_json_list(spark, tmp_path):
     df = spark.createDataFrame([("é", 1), (None, 2)], "a string, b int")
-    to_files.write_json_list(df, str(tmp_path / "out"))
-    (text,) = [t for t in texts(str(tmp_path / "out")) if t]
-    assert sorted(map(repr, json.loads(text))) == sorted(map(repr, [{"a": "é", "b": 1}, {"a": None, "b": 2}]))
-    with pytest.raises(ValueError, match="use write_ndjson"):
-        to_files.write_json_list(df, str(tmp_path / "two"), max_rows=1)
+    for name, partitions in (("one", 1), ("two", 2)):
+        to_files.write_json_list(df.repartition(partitions), str(tmp_path / name))
+        lists = [json.loads(t) for t in texts(str(tmp_path / name)) if t]
+        assert sorted(map(repr, sum(lists, []))) == sorted(map(repr, [{"a": "é", "b": 1}, {"a": None, "b": 2}]))
+        assert len(lists) <= partitions
 
 
 def test_write_csv(spark, tmp_path):
@@ -118,6 +118,28 @@ def test_upsert_stream(spark, tmp_path, rows):
     assert rows(got.select("id", "v")) == [("1", 2), ("2", 9), ("3", 2)]
 
 
+def test_a_root_has_one_checkpoint(spark, tmp_path, rows):
+    landing, root, state = (str(tmp_path / n) for n in ("raw", "table", "state"))
+    layout = "id string, v int, seq int"
+    add = lambda at, to: ingest.upsert_stream(ingest.landing_stream(spark, landing, layout), to, ["id"], ["seq"], at)
+    write(landing, "a.ndjson", {"id": "1", "v": 1, "seq": 1}, {"id": "2", "v": 1, "seq": 1})
+    run(add(state, root))
+    write(landing, "b.ndjson", {"id": "2", "v": 2, "seq": 2})
+    run(add(state, root))
+    with pytest.raises(Exception, match="another checkpoint"):
+        add(state + "2", root).awaitTermination()
+    got = lambda r: rows(ingest.merged_rows(spark, r, ["id"], ["seq"]).select("id", "v"))
+    assert got(root) == [("1", 1), ("2", 2)]
+    # Compacted rows take a new checkpoint, whose batches win over them.
+    ingest.compact(spark, root, root + "2", ["id"], ["seq"])
+    assert got(root + "2") == [("1", 1), ("2", 2)]
+    for name in os.listdir(landing):
+        os.remove(os.path.join(landing, name))
+    write(landing, "c.ndjson", {"id": "1", "v": 7, "seq": 0})
+    run(add(state + "3", root + "2"))
+    assert got(root + "2") == [("1", 7), ("2", 2)]
+
+
 def test_upsert_stream_refuses_missing_key(spark, tmp_path):
     landing, root, state = (str(tmp_path / n) for n in ("raw", "table", "state"))
     write(landing, "a.ndjson", {"v": 1, "seq": 1})

@@ -124,6 +124,9 @@ def test_score_year(value):
         ("Mensuel de 2300.0 Euros sur 12.0 mois", ("Mensuel", 2300.0, 2300.0, 27600.0, 27600.0)),
         ("Mensuel de 2300.0 Euros sur 13.0 mois", ("Mensuel", 2300.0, 2300.0, 29900.0, 29900.0)),
         ("Horaire de 12.5 Euros", ("Horaire", 12.5, 12.5, None, None)),
+        ("Annuel de 45000,00 Euros à 50000.0 Euros", ("Annuel", 45000.0, 50000.0, 45000.0, 50000.0)),
+        ("Annuel de 45 000.0 Euros à 51\u00a0500,50 Euros", ("Annuel", 45000.0, 51500.5, 45000.0, 51500.5)),
+        ("Annuel de 1\u202f000\u202f000 Euros", ("Annuel", 1e6, 1e6, 1e6, 1e6)),
         ("Selon profil", (None, None, None, None, None)),
         (None, (None, None, None, None, None)),
     ],
@@ -143,7 +146,3 @@ def test_company_name(value):
 @pytest.mark.parametrize("state, label", [("A", "Actif"), ("F", "Fermé"), (None, "Fermé")])
 def test_state_label(value, state, label):
     assert value(tx.state_label("a"), a=F.lit(state).cast("string")) == label
-
-
-def test_safe_column_name():
-    assert tx.safe_column_name("a.b-c") == "a__b_c"

@@ -86,9 +86,9 @@ def employer_match(spark, sf):
 
 
 def register_search_results(spark, sf):
-    """What a search by name and place finds in the register, per candidate."""
+    """What a search by name and place finds in the register, per search, under an id of its own."""
     wanted = candidates(spark, sf).withColumn("commune_code", F.col("naf_code"))
-    return emp.search_results(wanted, register_rows(spark, sf), "run-1").drop("search_id")
+    return emp.search_results(wanted, register_rows(spark, sf), "run-1")
 
 
 def stg_register_matches(spark, sf):
@@ -296,9 +296,12 @@ ORACLE = {
       population, epci AS epci_code FROM communes""",
     "staged_postal_codes": f"WITH {COMMUNES_SQL} SELECT code AS commune_code, unnest(codes) AS code_postal FROM communes",
     "register_search_results": f"""WITH {EMPLOYERS_SQL}, n AS (SELECT 'COMPAGNIE N ' || right(s_name, 3) AS name,
-        CAST(s_nationkey AS VARCHAR) AS postal_code, count(*) AS n FROM supplier GROUP BY 1, 2)
-      SELECT c.name AS search_term, c.postal_code, c.naf_code AS commune_code, CAST(coalesce(n.n, 0) AS BIGINT) AS n_found,
-        'run-1' AS run_id FROM candidates c LEFT JOIN n ON n.name = c.name AND n.postal_code = c.postal_code""",
+        CAST(s_nationkey AS VARCHAR) AS postal_code, count(*) AS n, lpad(CAST(min(s_suppkey) AS VARCHAR), 14, '0') AS siret
+        FROM supplier GROUP BY 1, 2), r AS (SELECT DISTINCT c.name AS search_term, c.postal_code, c.naf_code AS commune_code, CAST(coalesce(n.n, 0) AS BIGINT) AS n_found,
+        json_object('term', c.name, 'postal_code', c.postal_code, 'commune_code', c.naf_code)::VARCHAR AS request_payload,
+        json_object('total', coalesce(n.n, 0), 'first_siret', n.siret)::VARCHAR AS response_payload
+        FROM candidates c LEFT JOIN n ON n.name = c.name AND n.postal_code = c.postal_code)
+      SELECT *, 'run-1' AS run_id, sha256('run-1|' || request_payload) AS search_id FROM r""",
     "stg_register_matches": f"""WITH {EMPLOYERS_SQL} SELECT right(siret, 9) AS siren, siret, 'Chez ' || right(siret, 9) AS trade_name,
       CASE WHEN siret IS NOT NULL THEN '62.01Z' END AS naf_code, postal_code, naf_code AS commune_code,
       CASE WHEN siret IS NOT NULL THEN '10' END AS employee_size_range, match_method,

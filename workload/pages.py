@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from jobscape.functions.html import attribute, html_select, of_rule
 from jobscape.operators import pages as ops, register as reg
-from workload.tables import facts, money, table, text
+from workload.tables import money, table, text
 
 AS_OF = dt.date(2026, 4, 6)
 
 
 def _links(spark, sf):
-    return facts(spark, sf, "pages").select("page_id", html_select("html", ["nav li a"]).alias("links"))
+    return table(spark, sf, "pages").select("page_id", html_select("html", ["nav li a"]).alias("links"))
 
 
 def page_links(spark, sf):
@@ -26,14 +26,14 @@ def page_links(spark, sf):
 
 
 def page_headings(spark, sf):
-    e = facts(spark, sf, "pages").select("page_id", html_select("html", ["title", "h1"]).alias("e"))
+    e = table(spark, sf, "pages").select("page_id", html_select("html", ["title", "h1"]).alias("e"))
     first = lambda i: F.get(of_rule("e", i), F.lit(0))["text"]
     return e.select("page_id", first(0).alias("title"), first(1).alias("heading"))
 
 
 def page_scripts(spark, sf):
     """Number of paragraphs, links and scripts per page; markup inside scripts is text."""
-    e = facts(spark, sf, "pages").select("page_id", html_select("html", ["a[href]", "script", "div.ad"]).alias("e"))
+    e = table(spark, sf, "pages").select("page_id", html_select("html", ["a[href]", "script", "div.ad"]).alias("e"))
     count = lambda i: F.size(of_rule("e", i))
     return e.select("page_id", count(0).alias("n_links"), count(1).alias("n_scripts"), count(2).alias("n_ads"))
 
@@ -87,7 +87,7 @@ def _company_pages(spark, sf):
         F.left("c_mktsegment", F.lit(1)),
         F.lit(';">2024</select></body></html>'),
     )
-    return facts(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), body.alias("html"))
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), body.alias("html"))
 
 
 def page_facts(spark, sf):
@@ -124,7 +124,7 @@ SEARCH = {
     "activity": "c_mktsegment",
     "city": "city",
     "postal_code": "postal",
-    "department": "postal",
+    "department": "department",
     "state": "state",
     "key": "c_custkey",
 }
@@ -136,6 +136,7 @@ def _register(spark, sf):
         F.concat(F.lit("maison "), F.lower("c_mktsegment"), F.lit("-"), text("c_nationkey")).alias("nick"),
         F.concat(F.lit("CITY "), text("c_nationkey")).alias("city"),
         F.lpad(text("c_nationkey"), 5, "0").alias("postal"),
+        F.when(F.col("c_nationkey") == 10, "2A").otherwise(text("c_nationkey")).alias("department"),
         F.when(F.col("c_acctbal") > 0, "A").otherwise("F").alias("state"),
     )
 
@@ -148,7 +149,7 @@ def register_search(spark, sf):
 
 def register_search_place(spark, sf):
     return reg.register_search(
-        _register(spark, sf), SEARCH, limit=None, city="city 1*", city_exact=False, department="0001", state="closed"
+        _register(spark, sf), SEARCH, limit=None, city="city 1*", city_exact=False, department="2a", state="closed"
     ).select("c_custkey", "nick", "city")
 
 
@@ -253,7 +254,7 @@ ORACLE = {
     "register_search": """SELECT c_custkey, 'maison ' || lower(c_mktsegment) || '-' || CAST(c_nationkey AS VARCHAR) AS nick,
       'CITY ' || CAST(c_nationkey AS VARCHAR) AS city FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 0 ORDER BY c_custkey LIMIT 50""",
     "register_search_place": """SELECT c_custkey, 'maison ' || lower(c_mktsegment) || '-' || CAST(c_nationkey AS VARCHAR) AS nick,
-      'CITY ' || CAST(c_nationkey AS VARCHAR) AS city FROM customer WHERE c_nationkey BETWEEN 10 AND 19 AND c_acctbal <= 0""",
+      'CITY ' || CAST(c_nationkey AS VARCHAR) AS city FROM customer WHERE c_nationkey = 10 AND c_acctbal <= 0""",
     "establishment_rows": ESTABLISHMENTS,
     "display_columns": f'SELECT siret AS "SIRET", nom_complet AS nom, etat, ville AS "Ville" FROM ({ESTABLISHMENTS})',
 }
