@@ -25,6 +25,7 @@ takes no part. Hashes have 64 bits and are taken as equal strings in whole surro
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -219,7 +220,10 @@ def maximal_repeats(texts: list[bytes], least: int) -> Iterator[tuple[int, list[
     A repeat is maximal when its occurrences are followed by different bytes or ends, and preceded by different bytes
     or starts. The suffixes are sorted, and the intervals of their common-prefix lengths are closed by a stack.
     """
-    array = sorted((text[at:], k, at) for k, text in enumerate(texts) for at in range(len(text) - least + 1))
+    starts = [(text[at : at + least], k, at) for k, text in enumerate(texts) for at in range(len(text) - least + 1)]
+    met = Counter(start for start, _, _ in starts)
+    # A suffix whose start is unlike all others lies in no interval.
+    array = sorted((texts[k][at:], k, at) for start, k, at in starts if met[start] > 1)
     stack: list[list] = []  # length, first suffix, bytes met before the suffixes
 
     def before(i: int) -> set:
@@ -309,6 +313,27 @@ def large_bucket_marks(contexts: DataFrame) -> DataFrame:
     return later.select("doc", "start", (F.col("start") + WINDOW).alias("end"))
 
 
+def _joined(marks: DataFrame) -> DataFrame:
+    """Overlapping marks of a document joined, batch by batch, so that few are gathered afterwards."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            doc, start, end = (batch.column(c).to_numpy() for c in ("doc", "start", "end"))
+            new = np.concatenate(([True], doc[1:] != doc[:-1]))
+            # Ends rise over all rows once each document is set off from the one before.
+            shift = (np.cumsum(new) - 1) * (int(end.max()) + 1)
+            reach = np.maximum.accumulate(end + shift)
+            head = np.flatnonzero(np.concatenate(([True], (start + shift)[1:] > reach[:-1])) | new)
+            last = np.append(head[1:], len(doc)) - 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[head]), pa.array(start[head]), pa.array(reach[last] - shift[last])], names=["doc", "start", "end"]
+            )
+
+    return marks.repartition("doc").sortWithinPartitions("doc", "start").mapInArrow(run, MARK)
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """``docs`` with its text compressed, for the way to a join."""
     others = [c for c in docs.columns if c != "text"]
@@ -370,7 +395,7 @@ def _cut(docs: DataFrame, limit: int, whole_characters: bool) -> DataFrame:
     clear = named.filter("doc is not null")
     if not unclear.isEmpty():
         clear = clear.join(unclear, "doc", "left_anti")
-    marks = repeated_marks(clear, limit)
+    marks = _joined(repeated_marks(clear, limit))
     lists = marks.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
     others = [c for c in docs.columns if c != "text"]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(others).schema)
