@@ -52,10 +52,11 @@ def _landing(spark, sf):
 
 
 def stream_ingest(spark, sf):
-    """Line files of a landing folder into a table; a second run finds nothing new."""
+    """Line files of a landing folder into a table; a second run finds nothing new and archives what the first read."""
     folder, target, checkpoint = _landing(spark, sf), scratch_path(spark, "table"), scratch_path(spark, "state")
+    archive = scratch_path(spark, "archive")
     for _ in range(2):
-        stream = ingest.landing_stream(spark, folder, LANDED, pattern="*.json")
+        stream = ingest.landing_stream(spark, folder, LANDED, archive=archive, pattern="*.json")
         _finish(ingest.ingest(stream, target, checkpoint))
     return spark.read.parquet(target)
 
