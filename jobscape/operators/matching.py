@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobscape.functions.text import _col, is_not_blank
 from jobscape.operators.scale import first_per_key
+from jobscape.sinks.tables import settle
 
 # Accented capitals and their plain letters, and company forms that a
 # name may carry or not.
@@ -46,8 +47,9 @@ def employer_candidates(df: DataFrame, name: str, place: Sequence[str]) -> DataF
 
 def with_candidate_id(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``employer_candidate_id``: a hash of the key columns, the same in every run."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    return df.withColumn("employer_candidate_id", F.sha2(F.concat_ws("|", *parts), 256))
+    # As JSON a missing value and an empty one differ, and no value runs into the next.
+    parts = F.to_json(F.array(*(F.col(k).cast("string") for k in keys)))
+    return df.withColumn("employer_candidate_id", F.sha2(parts, 256))
 
 
 def one_edit_keys(name: Column | str) -> Column:
@@ -68,24 +70,31 @@ def match_employers(candidates: DataFrame, register: DataFrame, postal_code: str
     """One row per candidate with its register entry, method, confidence and status.
 
     ``candidates`` holds ``employer_candidate_id``, ``normalized_employer_name`` and the
-    postal code; ``register`` holds ``siret``, ``siren``, ``legal_name`` and the postal
-    code. Within a postal code an equal normalized name is an ``exact`` match (confidence
-    1); else a name one edit away is a ``fuzzy`` one (confidence 1 - 1/longer length);
+    postal code; ``register`` holds ``siret``, ``siren``, ``legal_name``, the postal
+    code and any details, which the match carries along. Within a postal code an equal normalized name is an ``exact``
+    match (confidence 1); else a name one edit away is a ``fuzzy`` one (confidence 1 - 1/longer length);
     ties go to the smallest siret. Both steps are equality joins, never all pairs.
+
+    The register is read and its names are normalized once, for postal codes that some candidate has, and
+    written: both joins read the result. Names are cut into forms only where a candidate is still open.
     """
     name = "normalized_employer_name"
     key = [name, postal_code]
+    details = [c for c in register.columns if c not in ("siret", "siren", "legal_name", postal_code)]
+    kept = ["siret", "siren", "legal_name", *details]
     wanted = candidates.select(*key).distinct()
     listed = (
-        register.select("siret", "siren", "legal_name", postal_code, normalize_name("legal_name").alias("_name"))
-        .filter(F.col("_name").isNotNull() & F.col(postal_code).isNotNull())
+        register.join(wanted.select(postal_code).distinct(), postal_code, "left_semi")
+        .select(*kept, postal_code, normalize_name("legal_name").alias("_name"))
+        .filter(F.col("_name").isNotNull())
     )
-    entries = first_per_key(listed, ["_name", postal_code], [F.col("siret").asc()])
+    entries = settle(first_per_key(listed, ["_name", postal_code], [F.col("siret").asc()]), "register-names")
 
-    exact = wanted.join(entries.withColumnRenamed("_name", name), key).withColumn("_edits", F.lit(0))
-    open_names = wanted.join(exact.select(*key), key, "left_anti")
+    exact = wanted.join(entries.withColumnRenamed("_name", name), key)
+    open_names = settle(wanted.join(entries.select(F.col("_name").alias(name), postal_code), key, "left_anti"), "open-names")
     left = open_names.withColumn("_form", F.explode(one_edit_keys(name)))
-    right = entries.withColumn("_form", F.explode(one_edit_keys("_name")))
+    near_entries = entries.join(open_names.select(postal_code).distinct(), postal_code, "left_semi")
+    right = near_entries.withColumn("_form", F.explode(one_edit_keys("_name")))
     near = (
         left.join(right, [postal_code, "_form"])
         .withColumn("_edits", F.levenshtein(F.col(name), F.col("_name"), 1))
@@ -93,9 +102,9 @@ def match_employers(candidates: DataFrame, register: DataFrame, postal_code: str
     )
     best = first_per_key(near, key, [F.col("_edits"), F.col("siret")])
     longer = F.greatest(F.length(name), F.length("_name"))
-    found = exact.select(*key, "siret", "siren", "legal_name", F.lit("exact").alias("match_method"), F.lit(1.0).alias("match_confidence")).unionByName(
+    found = exact.select(*key, *kept, F.lit("exact").alias("match_method"), F.lit(1.0).alias("match_confidence")).unionByName(
         best.select(
-            *key, "siret", "siren", "legal_name", F.lit("fuzzy").alias("match_method"),
+            *key, *kept, F.lit("fuzzy").alias("match_method"),
             F.round(1 - F.col("_edits") / longer, 4).alias("match_confidence"),
         )
     )

@@ -25,6 +25,7 @@ def register_entries(register: DataFrame) -> DataFrame:
         "siret",
         "siren",
         F.coalesce(f"{unit}.denominationUniteLegale", f"{unit}.nomUniteLegale").alias("legal_name"),
+        F.col(f"{unit}.categorieJuridiqueUniteLegale").alias("legal_category"),
         F.get("periodesEtablissement", F.lit(0))["enseigne1Etablissement"].alias("trade_name"),
         F.col(f"{unit}.activitePrincipaleUniteLegale").alias("register_naf_code"),
         F.col(f"{place}.codePostalEtablissement").alias("postal_code"),
@@ -66,11 +67,10 @@ def search_results(candidates: DataFrame, entries: DataFrame, run_id: str) -> Da
     return searched.withColumn("search_id", F.sha2(F.concat_ws("|", "run_id", "request_payload"), 256))
 
 
-def stg_register_matches(matches: DataFrame, entries: DataFrame) -> DataFrame:
-    """One row per candidate: the match with the details of its register entry."""
-    details = entries.select("siret", "trade_name", "register_naf_code", "employee_size_range")
-    return matches.join(details, "siret", "left").select(
-        "employer_candidate_id", "siren", "siret", "legal_name", "trade_name",
+def stg_register_matches(matches: DataFrame) -> DataFrame:
+    """One row per candidate: the match with the details of its register entry, which the match carries."""
+    return matches.select(
+        "employer_candidate_id", "siren", "siret", "legal_name", "legal_category", "trade_name",
         F.col("register_naf_code").alias("naf_code"),
         "postal_code", "commune_code", "employee_size_range", "match_method", "match_confidence", "match_status",
     )

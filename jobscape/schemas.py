@@ -65,7 +65,7 @@ siret string, siren string, dateCreationEtablissement string, trancheEffectifsEt
 codeDepartementEtablissement string,
 uniteLegale struct<denominationUniteLegale string, nomUniteLegale string,
   prenomUsuelUniteLegale string, activitePrincipaleUniteLegale string,
-  etatAdministratifUniteLegale string>,
+  etatAdministratifUniteLegale string, categorieJuridiqueUniteLegale string>,
 adresseEtablissement struct<numeroVoieEtablissement string, typeVoieEtablissement string,
   libelleVoieEtablissement string, codePostalEtablissement string,
   libelleCommuneEtablissement string>,

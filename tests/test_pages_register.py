@@ -88,7 +88,7 @@ def test_label_pivot_and_first_item(spark, rows):
 def stock(spark):
     def entry(siret, name, last, naf, city, postal, state):
         department = "2A" if postal.startswith("201") else postal[:2]
-        return (siret, siret[:9], "2020-01-01", None, department, (name, last, "Ida", naf, state), ("3", None, "RUE X", postal, city), [])
+        return (siret, siret[:9], "2020-01-01", None, department, (name, last, "Ida", naf, state, None), ("3", None, "RUE X", postal, city), [])
 
     return spark.createDataFrame(
         [

@@ -55,9 +55,9 @@ def places(spark):
 def entries(spark):
     stock = spark.createDataFrame(
         [
-            ("00000000000009", "9", None, "11", "75", ("ACME", None, None, "62.01Z", "A"), (None, None, None, "10001", None), [("Chez Acme",)]),
-            ("00000000000007", "7", None, None, "75", ("Beta", None, None, None, "A"), (None, None, None, "10001", None), []),
-            ("00000000000001", "1", None, None, "75", ("ACME", None, None, None, "A"), (None, None, None, "75001", None), []),
+            ("00000000000009", "9", None, "11", "75", ("ACME", None, None, "62.01Z", "A", "5710"), (None, None, None, "10001", None), [("Chez Acme",)]),
+            ("00000000000007", "7", None, None, "75", ("Beta", None, None, None, "A", None), (None, None, None, "10001", None), []),
+            ("00000000000001", "1", None, None, "75", ("ACME", None, None, None, "A", None), (None, None, None, "75001", None), []),
         ],
         schemas.REGISTER,
     )
@@ -80,13 +80,13 @@ def test_candidates_and_matches(staged, entries, rows):
         ("ACME", "C1", 2), ("ACME", "C2", 1), ("BETTA", "C3", 1),
     ]
     matches = emp.raw_matches(candidates, entries, "run-1")
-    got = emp.stg_register_matches(matches, entries).select(
-        "commune_code", "siret", "trade_name", "match_method", "match_confidence", "match_status"
+    got = emp.stg_register_matches(matches).select(
+        "commune_code", "siret", "legal_category", "trade_name", "match_method", "match_confidence", "match_status"
     )
     assert rows(got) == [
-        ("C1", "00000000000009", "Chez Acme", "exact", 1.0, "matched"),
-        ("C2", "00000000000009", "Chez Acme", "exact", 1.0, "matched"),
-        ("C3", "00000000000007", None, "fuzzy", 0.8, "matched"),
+        ("C1", "00000000000009", "5710", "Chez Acme", "exact", 1.0, "matched"),
+        ("C2", "00000000000009", "5710", "Chez Acme", "exact", 1.0, "matched"),
+        ("C3", "00000000000007", None, None, "fuzzy", 0.8, "matched"),
     ]
     linked = emp.int_offer_employers(staged, matches)
     assert rows(linked.select("offer_id", "siren", "match_status")) == [

@@ -95,13 +95,14 @@ def stg_register_matches(spark, sf):
     wanted = candidates(spark, sf).withColumn("commune_code", F.col("naf_code"))
     entries = register_rows(spark, sf).withColumns(
         {
+            "legal_category": F.lit("5499"),
             "trade_name": F.concat(F.lit("Chez "), "siren"),
             "register_naf_code": F.lit("62.01Z"),
             "employee_size_range": F.lit("10"),
         }
     )
     found = emp.raw_matches(settle(wanted, "candidates"), entries, "run-1")
-    return emp.stg_register_matches(found, entries).drop("employer_candidate_id", "legal_name")
+    return emp.stg_register_matches(found).drop("employer_candidate_id", "legal_name")
 
 
 def offer_employers(spark, sf):
@@ -134,9 +135,8 @@ def enriched(spark, sf):
         found.withColumn("_place", F.col("postal_code")).withColumn("postal_code", F.lit("-")),
         register.withColumn("postal_code", F.lit("-")),
     )
-    exact = by_name.filter("match_method = 'exact'")
     kept = settle(
-        exact.select("employer_candidate_id", "siren", "siret", "legal_name", "match_confidence", "match_status"), "matches"
+        by_name.filter("match_status = 'matched'").select("employer_candidate_id", "siren", "siret", "legal_name", "match_confidence", "match_status"), "matches"
     )
     return marts.with_employers(marts.with_places(s, known_places(spark, sf)), kept, ["postal_code", *PLACE])
 
@@ -303,6 +303,7 @@ ORACLE = {
         FROM candidates c LEFT JOIN n ON n.name = c.name AND n.postal_code = c.postal_code)
       SELECT *, 'run-1' AS run_id, sha256('run-1|' || request_payload) AS search_id FROM r""",
     "stg_register_matches": f"""WITH {EMPLOYERS_SQL} SELECT right(siret, 9) AS siren, siret, 'Chez ' || right(siret, 9) AS trade_name,
+      CASE WHEN siret IS NOT NULL THEN '5499' END AS legal_category,
       CASE WHEN siret IS NOT NULL THEN '62.01Z' END AS naf_code, postal_code, naf_code AS commune_code,
       CASE WHEN siret IS NOT NULL THEN '10' END AS employee_size_range, match_method,
       CAST(match_confidence AS DOUBLE) AS match_confidence, match_status FROM matches""",
