@@ -16,20 +16,23 @@ def connected(edges: DataFrame) -> DataFrame:
     plain joins, which adaptive execution splits, and of a minimum taken on the map side.
     """
     pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    pairs, mark = settle(pairs, "edges"), None
-    while True:
-        state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(state) == mark:
-            break
-        mark = tuple(state)
+    pairs = settle(pairs, "edges")
+    while not _are_stars(pairs):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = settle(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Edges now end in centres: a document has few of them as its larger end.
-        large = settle(large.filter("u <> v").distinct(), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v")))
-        pairs = settle(small.filter("u <> v").distinct(), "small-star")
-    roots = pairs.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "doc")
+        pairs = settle(small.filter("u <> v").distinct(), "stars")
+    roots = pairs.select(F.col("u").alias("doc"), F.col("v").alias("component"))
     return roots.unionByName(roots.select(F.col("component").alias("doc"), "component").distinct())
+
+
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether every larger end has one smaller end, which is no larger end itself."""
+    larger = pairs.select(F.col("u").alias("end"), F.lit(1).alias("larger"), F.lit(0).alias("smaller"))
+    smaller = pairs.select(F.col("v").alias("end"), F.lit(0).alias("larger"), F.lit(1).alias("smaller"))
+    ends = larger.unionByName(smaller).groupBy("end").agg(F.sum("larger").alias("larger"), F.max("smaller").alias("smaller"))
+    return ends.filter(F.col("larger") + F.col("smaller") * F.signum("larger") > 1).isEmpty()

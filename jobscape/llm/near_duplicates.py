@@ -35,9 +35,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from jobscape.llm.common import SPACE, chunks, lower_ascii, mixed, text_bytes, word_hashes
+from jobscape.llm.common import SPACE, chunks, lower_ascii, mixed, packed_texts, text_bytes, word_hashes
 from jobscape.llm.components import connected
 from jobscape.sinks.tables import settle
 
@@ -263,12 +264,16 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            values, sizes = shingle_sets(batch.column("text"), words)
+        unpack = zstandard.ZstdDecompressor()
+        for batch in chunks(batches, "packed", 1 << 20):
+            texts = pa.array([unpack.decompress(p) for p in batch.column("packed").to_pylist()], pa.binary())
+            values, sizes = shingle_sets(texts, words)
             ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.ListArray.from_arrays(ends, _signed(values))], names=["doc", "set"])
 
-    return rows.join(ids, "doc", "left_semi").mapInArrow(run, "doc long, set array<long>")
+    # The ids grow with the documents: they are not broadcast, however few they are.
+    wanted = packed_texts(rows).join(ids.hint("merge"), "doc", "left_semi")
+    return wanted.mapInArrow(run, "doc long, set array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from jobscape.llm.common import chunks, mixed, powers, spans, text_bytes
+from jobscape.llm.common import chunks, mixed, packed_texts, powers, spans, text_bytes
 from jobscape.sinks.tables import settle
 
 WINDOW, GRAM = 100, 32
@@ -334,20 +334,6 @@ def _joined(marks: DataFrame) -> DataFrame:
     return marks.repartition("doc").sortWithinPartitions("doc", "start").mapInArrow(run, MARK)
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """``docs`` with its text compressed, for the way to a join."""
-    others = [c for c in docs.columns if c != "text"]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(others).schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1)
-        for batch in chunks(batches, "text"):
-            texts = [pack.compress(t or b"") for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(texts, pa.binary())], names=[*others, "packed"])
-
-    return docs.select(*others, "text").mapInArrow(run, f"{kinds}, packed binary")
-
-
 def _contexts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """gram, doc, place and surroundings of the wanted records."""
     lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "place")).alias("wanted"))
@@ -367,11 +353,11 @@ def _contexts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["gram", "doc", "place", "around"])
 
-    joined = _packed(docs).join(lists, "doc").select("doc", "packed", "wanted")
+    joined = packed_texts(docs).join(lists, "doc").select("doc", "packed", "wanted")
     return joined.mapInArrow(run, "gram long, doc long, place long, around binary")
 
 
-def repeated_marks(docs: DataFrame, limit: int = 512) -> DataFrame:
+def repeated_marks(docs: DataFrame, limit: int = 8192) -> DataFrame:
     """(doc, start, end): every byte to remove lies in one; from ``docs`` with doc and text."""
     found = settle(sorted_out(anchors(docs)), "repeats")
     wanted = found.filter("gram is not null")
@@ -419,7 +405,7 @@ def _cut(docs: DataFrame, limit: int, whole_characters: bool) -> DataFrame:
                 names=[*others, "n_bytes", "spans", "kept"],
             )
 
-    joined = _packed(docs).join(lists, "doc", "left").select(*others, "packed", "marks")
+    joined = packed_texts(docs).join(lists, "doc", "left").select(*others, "packed", "marks")
     return joined.mapInArrow(run, f"{kinds}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
 
@@ -432,7 +418,7 @@ def _whole(text: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def remove_repeats(docs: DataFrame, limit: int = 512) -> DataFrame:
+def remove_repeats(docs: DataFrame, limit: int = 8192) -> DataFrame:
     """doc_id, n_bytes, spans (start, end of the maximal removed runs) and kept (the other bytes) of every row."""
     return _cut(_keyed(docs), limit, False).withColumnRenamed("doc", "doc_id")
 
@@ -441,7 +427,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
 
 
-def without_repeats(docs: DataFrame, limit: int = 512) -> DataFrame:
+def without_repeats(docs: DataFrame, limit: int = 8192) -> DataFrame:
     """The rows of ``docs`` with the text that is left; characters that repeat only in part stay.
 
     Rows whose text held something and has nothing left are left out.
