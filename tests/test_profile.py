@@ -29,7 +29,7 @@ def test_field_profile(records):
         got[p]["presence_count"], got[p]["non_null_count"], got[p]["presence_rate_pct"], got[p]["observed_types"],
         got[p]["suggested_type"], got[p]["examples"],
     )
-    assert line("id") == (4, 4, 100.0, ["float", "int"], "FLOAT64", ["1", "2", "3.0"])
+    assert line("id") == (4, 4, 100.0, ["float", "int"], "FLOAT64", ["1", "2", "3"])
     # Present with null counts as present; absent does not.
     assert line("nom") == (3, 2, 75.0, ["null", "str"], "STRING", ["a\\nb"])
     assert line("lieu.lat") == (2, 1, 50.0, ["float", "null"], "FLOAT64", ["1.5"])
@@ -37,7 +37,7 @@ def test_field_profile(records):
     assert line("tags[]") == (4, 3, 100.0, ["dict", "null"], "JSON", [])
     assert line("tags[].l") == (3, 3, 75.0, ["str"], "STRING", ["x", "y"])
     assert line("at")[3:5] == (["timestamp_str"], "TIMESTAMP")
-    assert line("ok")[3:] == (["bool"], "BOOL", ["True"])
+    assert line("ok")[3:] == (["bool"], "BOOL", ["true"])
     assert line("mix")[3:5] == (["dict", "int"], "JSON")
     assert line("non")[3:] == (["null"], "STRING", [])
 

@@ -118,7 +118,7 @@ def _row(path: str, present: str, filled: str, types: str, kind: str, values: st
 
 RECORDS = "r AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_orderpriority AS p, o_totalprice AS t, o_orderdate AS d FROM orders)"
 DATE = "strftime(d, '%Y-%m-%dT%H:%M:%SZ')"
-RICH = "CASE WHEN t > 100000 THEN 'True' ELSE 'False' END"
+RICH = "CASE WHEN t > 100000 THEN 'true' ELSE 'false' END"
 LABEL_SEEN, DATE_SEEN = "s <> 'P' OR p <> '5-LOW'", "s = 'O' OR p <> '5-LOW'"
 # The second list element alternates by status; the first is always fr.
 LANGUAGES = """(SELECT string_agg(v, '|' ORDER BY o, i) FROM (SELECT v, min(o) AS o, min(i) AS i FROM
