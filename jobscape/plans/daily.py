@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from jobscape import schemas
 from jobscape.operators import quality
+from jobscape.operators.dedupe import require_keys
 from jobscape.plans.geo import communes_by_postal_code
 from jobscape.plans.offers import coded_offers, named_offers
 from jobscape.sinks.tables import layer_table, materialize_table
@@ -25,14 +26,14 @@ STAGING = {
 
 
 def load_staging(spark: SparkSession, landing: Mapping[str, str], layer: str) -> dict[str, DataFrame]:
-    """Typed staging tables from their landing patterns; a full rebuild of each."""
+    """Typed staging tables from their landing patterns; a full rebuild of each.
+
+    Files are read once: a null in a required column fails the load itself.
+    """
     for name, path in landing.items():
         layout, unknown = STAGING[name]
         rows = read_ndjson(spark, path, layout, unknown)
-        missing = quality.check_required_columns(rows, layout) if schemas.required_columns(layout) else None
-        if missing is not None:
-            quality.require(missing, f"{name}: required column is null")
-        materialize_table(rows, layer_table(layer, name))
+        materialize_table(require_keys(rows, schemas.required_columns(layout)), layer_table(layer, name))
     return {name: spark.table(layer_table(layer, name)) for name in landing}
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 
@@ -73,10 +74,21 @@ def test_upsert_path_and_view(spark, tmp_path, rows):
     assert rows(spark.sql("select v from merged")) == [("b",)]
 
 
-def test_shared_dir_is_the_named_one(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_dir(spark) == (named.rstrip("/") if named else shared_dir(spark))
-    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+def session(master, named):
+    """Stands in for a session, whose shared folder is fixed when it starts."""
+    conf = SimpleNamespace(get=lambda key, default: named if key == "spark.checkpoint.dir" else default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"))
+
+
+def test_shared_dir_is_the_named_one():
+    cluster = session("spark://host:7077", "hdfs://host/shared/")
+    assert shared_dir(cluster) == "hdfs://host/shared"
+    paths = {scratch_path(cluster, "x") for _ in range(3)}
+    assert len(paths) == 3 and all(p.startswith("hdfs://host/shared/x-") for p in paths)
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(RuntimeError, match="every executor"):
+            shared_dir(session(master, None))
+    assert os.path.isdir(shared_dir(session("local[2]", None)))
 
 
 def write(folder, name, *records):
@@ -194,10 +206,8 @@ def test_daily_run(spark, tmp_path, rows):
 
 
 def test_required_column_stops_the_load(spark, tmp_path):
-    from jobscape.operators.quality import CheckFailed
-
     write(str(tmp_path / "in"), "a.ndjson", {"id": "1"}, {"intitule": "x"})
     spark.sql("create database staging_q")
-    with pytest.raises(CheckFailed, match="required"):
+    with pytest.raises(Exception, match="null in key column"):
         daily.load_staging(spark, {"coded_offers": f"{tmp_path}/in/*.ndjson"}, "staging_q")
     spark.sql("drop database staging_q cascade")
