@@ -25,7 +25,6 @@ takes no part. Hashes have 64 bits and are taken as equal strings in whole surro
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,8 +38,8 @@ from jobscape.sinks.tables import settle
 
 WINDOW, GRAM = 100, 32
 BASE = 0x9E3779B97F4A7C15
-STEP_BYTES = 2 << 20
-TASK_RECORDS = 500_000
+STEP_BYTES = 1 << 20
+TASK_RECORDS = 300_000
 # A place: where the windows of an anchor start, how far on the anchor lies, and how far on its last window starts.
 PLACE_BITS = 7
 
@@ -220,10 +219,13 @@ def maximal_repeats(texts: list[bytes], least: int) -> Iterator[tuple[int, list[
     A repeat is maximal when its occurrences are followed by different bytes or ends, and preceded by different bytes
     or starts. The suffixes are sorted, and the intervals of their common-prefix lengths are closed by a stack.
     """
-    starts = [(text[at : at + least], k, at) for k, text in enumerate(texts) for at in range(len(text) - least + 1)]
-    met = Counter(start for start, _, _ in starts)
-    # A suffix whose start is unlike all others lies in no interval.
-    array = sorted((texts[k][at:], k, at) for start, k, at in starts if met[start] > 1)
+    # A suffix whose start is unlike all others lies in no interval; hashes tell well enough which ones to leave out.
+    places = [(k, at) for k, text in enumerate(texts) for at in range(len(text) - least + 1)]
+    starts = np.fromiter((hash(texts[k][at : at + least]) for k, at in places), np.int64, len(places))
+    order = np.argsort(starts, kind="stable")
+    same = starts[order][1:] == starts[order][:-1]
+    shared = np.concatenate(([False], same)) | np.concatenate((same, [False])) if len(places) else same
+    array = sorted((texts[k][at:], k, at) for k, at in (places[i] for i in order[shared].tolist()))
     stack: list[list] = []  # length, first suffix, bytes met before the suffixes
 
     def before(i: int) -> set:
@@ -357,7 +359,7 @@ def _contexts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "gram long, doc long, place long, around binary")
 
 
-def repeated_marks(docs: DataFrame, limit: int = 8192) -> DataFrame:
+def repeated_marks(docs: DataFrame, limit: int = 4096) -> DataFrame:
     """(doc, start, end): every byte to remove lies in one; from ``docs`` with doc and text."""
     found = settle(sorted_out(anchors(docs)), "repeats")
     wanted = found.filter("gram is not null")
@@ -418,7 +420,7 @@ def _whole(text: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def remove_repeats(docs: DataFrame, limit: int = 8192) -> DataFrame:
+def remove_repeats(docs: DataFrame, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, spans (start, end of the maximal removed runs) and kept (the other bytes) of every row."""
     return _cut(_keyed(docs), limit, False).withColumnRenamed("doc", "doc_id")
 
@@ -427,7 +429,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
 
 
-def without_repeats(docs: DataFrame, limit: int = 8192) -> DataFrame:
+def without_repeats(docs: DataFrame, limit: int = 4096) -> DataFrame:
     """The rows of ``docs`` with the text that is left; characters that repeat only in part stay.
 
     Rows whose text held something and has nothing left are left out.
