@@ -25,9 +25,13 @@ def _rows_of(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without text or letters go."""
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    found = language_id.identify(rows, language_id.fit(docs), carried=("row",))
-    return found.filter(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
+    found = language_id.identify(rows, language_id.fit(docs), carried=("_text",))
+    rejected = found.filter(F.col("lang_pred") == language_id.UNKNOWN).select(F.col("doc_id").alias("_id"), "_text").distinct()
+    # Written first: Spark then knows how few they are, and need not move the texts.
+    rejected = settle(rejected, "rejected")
+    same = docs["doc_id"].eqNullSafe(rejected["_id"]) & (F.xxhash64(docs["text"]) == rejected["_text"])
+    return docs.join(rejected, same, "left_anti")
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +55,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the piece numbers of each text, their count, and the text they decode to."""
-    found = sentence_pieces.decode(sentence_pieces.encode(docs, PIECE_MODEL), PIECE_MODEL)
+    found = sentence_pieces.encode_and_decode(docs, PIECE_MODEL)
     return found.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.col("decoded").alias("text"))
 
 

@@ -30,7 +30,6 @@ UNKNOWN = "und"
 BLOCK = 512
 # Letters with a class of their own; the rest share the classes after them.
 OWN_LETTERS, SHARED = 110, 15
-CLASSES = 1 + OWN_LETTERS + SHARED
 
 
 @lru_cache(1)
@@ -75,35 +74,35 @@ def _automaton(codes: list[int]) -> list[dict[int, int]]:
     return edges
 
 
-def _dense(codes: np.ndarray) -> np.ndarray:
+def _dense(codes: np.ndarray, classes: int) -> np.ndarray:
     """Per state and class: twice the next row's offset, plus 1 where a piece ends before the character."""
     edges = _automaton(codes.tolist())
     lost = len(edges)  # the state after a character that the labelled text lacks; the next one starts a piece
-    start = np.full(CLASSES, lost, np.int64)
+    start = np.full(classes, lost, np.int32)
     start[list(edges[0])] = list(edges[0].values())
-    out = np.tile(start * CLASSES * 2 + 1, (lost + 1, 1))
+    out = np.tile(start * (classes * 2) + 1, (lost + 1, 1))
     out[0] -= 1
     for state, own in enumerate(edges):
         if own:
-            out[state, list(own)] = np.fromiter(own.values(), np.int64, len(own)) * (CLASSES * 2)
-    return out.reshape(-1).astype(np.int32)
+            out[state, list(own)] = np.fromiter(own.values(), np.int32, len(own)) * (classes * 2)
+    return out.reshape(-1)
 
 
-@lru_cache(2)
+@lru_cache(1)
 def _tables(model: tuple[tuple[str, str], ...]) -> tuple[np.ndarray, list[tuple[str, np.ndarray, float]]]:
     """Class of each code point, and the automaton of each language."""
     low, letter = _letters()
     points = low[_points("".join(text for _, text in model))]
     seen, counts = np.unique(points[letter[points]], return_counts=True)
     own = seen[np.lexsort((seen, -counts))][:OWN_LETTERS]
-    classes = np.where(letter[low], 1 + OWN_LETTERS + low % SHARED, 0).astype(np.uint8)
+    classes = np.where(letter[low], 1 + len(own) + low % SHARED, 0).astype(np.uint8)
     direct = np.zeros(0x110000, np.uint8)
     direct[own] = 1 + np.arange(len(own))
     classes = np.where(direct[low] > 0, direct[low], classes)
     out = []
     for lang, text in model:
         codes = _squeezed(classes[_points(text)])[0]
-        out.append((lang, _dense(codes), float(np.log2(len(codes) + 2))))
+        out.append((lang, _dense(codes, 1 + len(own) + SHARED), float(np.log2(len(codes) + 2))))
     return classes, out
 
 
@@ -188,7 +187,7 @@ def identify(docs: DataFrame, model: tuple[tuple[str, str], ...], carried: tuple
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([lang for lang, _ in model] or [UNKNOWN])
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", 2 << 20):
             if not model:
                 lang, score = np.full(batch.num_rows, UNKNOWN), np.zeros(batch.num_rows)
             else:

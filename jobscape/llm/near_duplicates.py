@@ -99,7 +99,7 @@ def features(docs: DataFrame, words: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).filter("doc is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", 2 << 20):
             values, sizes = shingle_sets(batch.column("text"), words)
             row = np.repeat(np.arange(len(sizes)), sizes)
             names = []

@@ -85,8 +85,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = sentence_pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
-    return sentence_pieces.decode(ids, PIECE_MODEL).select(
+    return sentence_pieces.encode_and_decode(table(spark, sf_dir, "documents"), PIECE_MODEL).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

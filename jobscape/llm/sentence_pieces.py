@@ -212,6 +212,7 @@ def encoder(path: str) -> WordIds:
         odd=lambda word: not word or MARK in word or not pieces.splits,
         cut_odd=lambda text: [" " + word for word in pieces.words(text)],
         encode=lambda words: pieces.merge([w[1:] if w[0] == " " else MARK + w for w in words]),
+        limit=100_000,
     )
 
 
@@ -225,7 +226,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str | Column =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(path)
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", 1 << 20):
             flat, sizes = ids_of(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("key"), _lists(flat, sizes)], names=["key", "ids"])
 
@@ -233,6 +234,28 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str | Column =
     return rows.mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
+def encode_and_decode(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
+    """The key, ``ids`` and ``decoded``, the text of the ids, of every row, in one pass over the texts."""
+    rows = docs.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of, pieces = encoder(path), load(path)
+        for batch in chunks(batches, "text", 1 << 20):
+            flat, sizes = ids_of(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), _lists(flat, sizes), _texts(pieces, flat.astype(np.int64), sizes)], names=["key", "ids", "decoded"]
+            )
+
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(run, f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)
+
+
+def _texts(pieces: Pieces, flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    flat, lengths = pieces.surfaces(flat, sizes)
+    data, at = flat.tobytes(), np.append(0, np.cumsum(lengths)).tolist()
+    return pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])], pa.string())
+
+
 def decode(encoded: DataFrame, path: str, key: str = "doc_id", step: int = 500_000) -> DataFrame:
     """The key, ``ids`` and ``decoded``, the text of the ids, of every row."""
     rows = encoded.select(F.col(key).alias("key"), "ids")
@@ -249,11 +272,8 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", step: int = 500_0
                 part = batch.slice(start, end - start)
                 own = part.column("ids")
                 sizes = own.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                flat, lengths = pieces.surfaces(own.flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes)
-                data = flat.tobytes()
-                at = np.append(0, np.cumsum(lengths)).tolist()
-                texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
-                yield pa.RecordBatch.from_arrays([part.column("key"), own, pa.array(texts, pa.string())], names=["key", "ids", "decoded"])
+                texts = _texts(pieces, own.flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes)
+                yield pa.RecordBatch.from_arrays([part.column("key"), own, texts], names=["key", "ids", "decoded"])
                 start = end
 
     kind = rows.schema["key"].dataType.simpleString()

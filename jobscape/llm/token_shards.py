@@ -46,6 +46,32 @@ FOOTER_BYTES = struct.calcsize(FOOTER)
 READ_BYTES = 8 << 20
 # No token of a byte-level vocabulary reaches over this place: a blank starts the word after it.
 CUT = re.compile(r"(?= [A-Za-zÀ-ɏ])")
+# Points, commas and line ends that stand alone after a word are words of their own; in these texts some do not.
+UNCLEAR = re.compile(r"(?:[^\w\s]|_)[.,]|\s[\n.,]|\n\s|\x00")
+
+
+def _kinds() -> bytes:
+    """A letter for the kind of each UTF-8 byte: a word, b blank, p point or comma, n line end, s other sign, u beyond ASCII."""
+    out = bytearray(b"s" * 128 + b"u" * 128)
+    for i in range(128):
+        if chr(i).isalnum():
+            out[i] = ord("a")
+    for c, kind in ((" ", "b"), (".", "p"), (",", "p"), ("\n", "n")):
+        out[ord(c)] = ord(kind)
+    return bytes(out)
+
+
+KINDS = _kinds()
+BAD = (b"sp", b"pp", b"bp", b"np", b"bn", b"nb", b"nn", b"sn", b"ns")
+# Beyond ASCII a byte does not tell letters from signs and blanks.
+OPEN = (b"up", b"un", b"nu")
+
+
+def unclear(text: str) -> bool:
+    kinds = text.encode("utf-8", "surrogatepass").translate(KINDS)
+    if "\0" in text or any(pair in kinds for pair in BAD):
+        return True
+    return any(pair in kinds for pair in OPEN) and UNCLEAR.search(text) is not None
 
 
 @lru_cache(2)
@@ -57,23 +83,29 @@ def encoder(path: str) -> tuple[WordIds, int]:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-    # Words follow a blank, but for those told by a blank before them, which are taken as they stand.
+    # Words follow a blank, but for those told by a zero before them, which are taken as they stand.
     def cut(text: str) -> list[str]:
-        words = text.split(" ")
-        words[0] = " " + words[0]
+        if unclear(text):
+            return cut_odd(text)
+        words = text.replace(".", " \0.").replace(",", " \0,").replace("\n", " \0\n").split(" ")
+        words[0] = "\0" + words[0]
         return words
 
+    def cut_odd(text: str) -> list[str]:
+        return ["\0" + w for w in CUT.split(text) if w]
+
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        words = [w[1:] if w[0] == " " else " " + w for w in words]
+        words = [w[1:] if w[0] == "\0" else " " + w for w in words]
         found = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.int32, sizes.sum()), sizes
 
     words = WordIds(
         cut=cut,
-        odd=lambda word: not word or word[0] != " " and word[0].isspace(),
-        cut_odd=lambda text: [" " + w for w in CUT.split(text) if w],
+        odd=lambda word: not word or word[0].isspace(),
+        cut_odd=cut_odd,
         encode=encode,
+        limit=300_000,
     )
     return words, 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
 
@@ -132,7 +164,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, dictionary: bytes
         pack = zstandard.ZstdCompressor(level=3, **_dictionary(dictionary))
         ids, tokens, starts, at, width = [], [], [], len(MAGIC), encoder(tokenizer)[1]
         out = None
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", 1 << 20):
             if out is None:
                 out = store.open_output_stream(f"{root}/{name}")
                 out.write(MAGIC)
