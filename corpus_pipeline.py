@@ -17,27 +17,29 @@ from jobscape.sinks.tables import settle
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _rows_of(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is (left_semi) or is not (left_anti) among ``ids``, null included."""
-    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), how)
+def _with_text_hash(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
 
 
-def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without text or letters go."""
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
-    found = language_id.identify(rows, language_id.fit(docs), carried=("_text",))
-    rejected = found.filter(F.col("lang_pred") == language_id.UNKNOWN).select(F.col("doc_id").alias("_id"), "_text").distinct()
+def _without(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """Rows of ``docs`` not among ``found`` (doc_id, ``_text``); the text tells apart rows without id or of one id."""
     # Written first: Spark then knows how few they are, and need not move the texts.
-    rejected = settle(rejected, "rejected")
+    rejected = settle(found.select(F.col("doc_id").alias("_id"), "_text").distinct(), name)
     same = docs["doc_id"].eqNullSafe(rejected["_id"]) & (F.xxhash64(docs["text"]) == rejected["_text"])
     return docs.join(rejected, same, "left_anti")
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language; those without text or letters go."""
+    found = language_id.identify(_with_text_hash(docs), language_id.fit(docs), carried=("_text",))
+    return _without(docs, found.filter(F.col("lang_pred") == language_id.UNKNOWN), "rejected")
+
+
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of near copies: five-word shingles, similarity 0.8."""
     found = near_duplicates.near_duplicates(docs, words=5, percent=80)
-    return _rows_of(docs, found.filter("kept"), "left_semi")
+    ids = found.filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +52,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _rows_of(docs, decontamination.contaminated_spans(docs, benchmark), "left_anti")
+    found = decontamination.contaminated_spans(_with_text_hash(docs), benchmark, carried=("_text",))
+    return _without(docs, found, "contaminated")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,10 +108,11 @@ class Index:
         return None
 
 
-def contaminated_spans(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 4 << 20) -> DataFrame:
+def contaminated_spans(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 4 << 20, carried: tuple[str, ...] = ()) -> DataFrame:
     """A row for each place where a document repeats an item.
 
-    doc_id, item_id, the bounds of the passage in the UTF-8 text (byte_start, byte_end), ``words`` compared and ``matched``.
+    doc_id, item_id, the bounds of the passage in the UTF-8 text (byte_start, byte_end), ``words`` compared and ``matched``,
+    and the ``carried`` columns of the document.
     """
     items = benchmark.filter(F.length("text") > 0).select(
         F.col("item_id").cast("long").alias("item_id"),
@@ -121,16 +122,16 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-int(size) // block_bytes))
     block = F.pmod(F.xxhash64("item_id", "nth"), F.lit(n_blocks))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), *carried)
     found = None
     for k in range(n_blocks):
         part = sorted((r.item_id if r.item_id is not None else -1, r.nth, r.text) for r in items.filter(block == k).collect())
-        own = _search(rows, [i for i, _, _ in part], [t for _, _, t in part])
+        own = _search(rows, [i for i, _, _ in part], [t for _, _, t in part], carried)
         found = own if found is None else found.unionByName(own)
     return found
 
 
-def _search(rows: DataFrame, item_ids: list[int], texts: list[str]) -> DataFrame:
+def _search(rows: DataFrame, item_ids: list[int], texts: list[str], carried: tuple[str, ...]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(texts)
         for batch in chunks(batches, "text"):
@@ -146,10 +147,12 @@ def _search(rows: DataFrame, item_ids: list[int], texts: list[str]) -> DataFrame
             if out:
                 # Pieces of a long item that overlap find the same passage.
                 doc, *rest = zip(*sorted(set(out)))
+                of_doc = [batch.column(c).take(pa.array(doc)) for c in ("doc_id", *carried)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(doc)), *(pa.array(c, pa.int64()) for c in rest)],
-                    names=["doc_id", "item_id", "byte_start", "byte_end", "words", "matched"],
+                    [of_doc[0], *(pa.array(c, pa.int64()) for c in rest), *of_doc[1:]],
+                    names=["doc_id", "item_id", "byte_start", "byte_end", "words", "matched", *carried],
                 )
 
+    kinds = "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in carried)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, item_id long, byte_start long, byte_end long, words long, matched long")
+    return rows.mapInArrow(run, f"doc_id {kind}, item_id long, byte_start long, byte_end long, words long, matched long{kinds}")

@@ -66,6 +66,14 @@ def test_odd_rows_pass_every_stage(spark, folder):
     assert sorted(str(r.doc_id) for r in docs.collect()) == sorted(["1", "6", "8", "10", "10", "11", "None"])
 
 
+def test_decontamination_keeps_clean_rows_that_share_an_id(spark, folder):
+    leak = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
+    rows = [(i, text) for i in (None, 1) for text in (f"before {leak} after", "a clean text of its own", None)]
+    docs = spark.createDataFrame([(i, text, "en", "a", None) for i, text in rows], odd.SCHEMA)
+    got = corpus_pipeline.decontaminated(spark, docs, folder).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(((i, t) for i, t in rows if t is None or "before" not in t), key=str)
+
+
 def test_empty_table(spark, folder):
     docs = odd.nothing(spark)
     for _, stage in corpus_pipeline.STAGES:
