@@ -1,8 +1,8 @@
 """Main text of web pages, with site templates found by counting element subtrees per host.
 
 Two passes over the pages. The first hashes every block element outside the article (its tag, its text with digits
-made alike, its inner blocks) and Spark counts on how many pages of a host each hash occurs. Subtrees on at least
-``min_pages`` pages and ``share`` of the host's pages are its template. The second pass takes the text of each page
+made alike, its inner blocks) and Spark counts on how many different pages of a host each hash occurs. Subtrees on at
+least ``min_pages`` pages and ``share`` of the host's pages are its template; copies of one page count once in both. The second pass takes the text of each page
 without them, and without what its markup names as something else than the article: menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments.
 
@@ -12,7 +12,7 @@ subtrees, whatever its size, so its list is one bounded value, joined to the pag
 splits a host with many pages.
 
 Rules: a null or empty page has the empty text; a null url or one without host belongs to the host ''; repeated rows
-are answered alike (and each counts as a page). Character references are decoded, white space inside a block becomes
+are answered alike. Character references are decoded, white space inside a block becomes
 one space, and blocks are joined by one space.
 """
 
@@ -194,24 +194,27 @@ def _host() -> F.Column:
 
 def host_templates(pages: DataFrame, min_pages: int, share: float) -> DataFrame:
     """host and ``template``, the hashes of the subtrees that recur on its pages."""
-    rows = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html"))
+    page = F.coalesce(F.col("html").cast("string"), F.lit(""))
+    rows = pages.select(_host().alias("host"), page.alias("html"), F.xxhash64(page).alias("copy"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "html"):
-            hosts, numbers = [], []
-            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                found = {number for number, may, _, _ in read_page(page)[1] if may} if page else set()
+            hosts, copies, numbers = [], [], []
+            for host, page, copy in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "copy"))):
+                found = {number for number, may, _, _ in read_page(page)[1] if may}
                 hosts += [host] * (len(found) + 1)
+                copies += [copy] * (len(found) + 1)
                 numbers += [None, *found]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(numbers, pa.int64())], names=["host", "subtree"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(copies, pa.int64()), pa.array(numbers, pa.int64())], names=["host", "copy", "subtree"]
+            )
 
-    # The row without subtree counts the page itself.
+    # The row without subtree counts the page itself. Copies become one row before they are counted.
+    found = rows.mapInArrow(run, "host string, copy long, subtree long").distinct()
     counts = settle(
-        rows.mapInArrow(run, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(
-            (F.col("n") >= min_pages) | F.col("subtree").isNull()
-        ),
+        found.groupBy("host", "subtree").agg(F.count("*").alias("n")).filter((F.col("n") >= min_pages) | F.col("subtree").isNull()),
         "subtree-counts",
-    )
+    )
     totals = counts.filter("subtree is null").select("host", F.col("n").alias("n_pages"))
     recurring = counts.filter("subtree is not null").join(totals, "host").filter(F.col("n") >= share * F.col("n_pages"))
     return recurring.groupBy("host").agg(F.collect_list("subtree").alias("template"))

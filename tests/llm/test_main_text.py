@@ -56,5 +56,16 @@ def test_templates_are_counted_per_host(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    copy = "<div>menu</div><main><p>Text of copies</p></main>"
+    rows = [(i, "http://a.org/x", copy) for i in range(6)]
+    rows += [(10 + i, "http://a.org/x", f"<div>menu</div><main><p>own {'x' * i}</p></main>") for i in range(6)]
+    rows += [(20 + i, "http://b.org/x", f"<div>menu</div><p>own {'x' * i}</p>") for i in range(4)]
+    rows += [(30 + i, "http://b.org/x", "<p>copy</p>") for i in range(20)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "Text of copies" for i in range(6)) and got[12] == "own xx"
+    assert got[22] == "own xx" and got[33] == "copy"
+
+
 def test_no_pages(spark):
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
