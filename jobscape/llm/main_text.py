@@ -1,14 +1,16 @@
 """Main text of web pages, with site templates found by counting element subtrees per host.
 
-Two passes over the pages. The first hashes every block element outside the article (its tag, its text with digits
-made alike, its inner blocks) and Spark counts on how many different pages of a host each hash occurs. Subtrees on at
-least ``min_pages`` pages and ``share`` of the host's pages are its template; copies of one page count once in both. The second pass takes the text of each page
+Two passes over the pages. The first hashes every block element (its tag, its text, its inner blocks) and Spark counts
+on how many different pages of a host each hash occurs. Subtrees on at least ``min_pages`` pages and ``share`` of the
+host's pages are its template; copies of one page count once in both. Digits count as alike outside the article. The second pass takes the text of each page
 without them, and without what its markup names as something else than the article: menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments.
 
-The article is the outermost ``article`` elements, else ``main``, else the whole body. Inside it nothing is deleted
-for recurring, so a paragraph that many pages share stays. A host has at most (blocks of a page / share) template
-subtrees, whatever its size, so its list is one bounded value, joined to the pages by host; adaptive execution
+The article is the outermost ``article`` elements, else ``main``, else the whole body; it chooses among what the
+template leaves. Inside ``article`` subtrees are counted apart, over different texts of articles, so what copied
+articles share stays however their pages differ. The element itself is no template, nor are list items and table
+cells on their own; an article that would lose all its text keeps it. A host has at most (blocks of a page / share)
+template subtrees of each kind, whatever its size, so its list is one bounded value, joined to the pages by host; adaptive execution
 splits a host with many pages.
 
 Rules: a null or empty page has the empty text; a null url or one without host belongs to the host ''; repeated rows
@@ -42,6 +44,8 @@ INLINE = frozenset(
 )
 # Starting one of the keys ends an open element of the values.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+# Parts of a list or table, which recur with their values; the whole may be a template.
+PARTS = frozenset("li dt dd caption colgroup thead tbody tfoot tr td th".split())
 SCOPES = frozenset("ul ol dl table article section div body main nav aside header footer form select".split())
 # What is never the article: by element, by role, by the words of class and id.
 ASIDE = frozenset("nav footer aside form button select dialog menu head fieldset input".split())
@@ -85,14 +89,19 @@ class _Open:
         self.holds = tag in ("article", "main", "body", "html")
 
 
-def read_page(page: str) -> tuple[list[tuple[str, bool, bool]], list[tuple[int, bool, int, int]]]:
+def _number(text: str) -> int:
+    digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return int.from_bytes(digest, "little", signed=True)
+
+
+def read_page(page: str) -> tuple[list[tuple[str, bool, bool]], list[tuple[int, bool, bool, int, int]]]:
     """Blocks of text, each with: inside an article, inside main; and the subtrees.
 
-    A subtree is its hash, whether it may belong to a template, and the bounds of its blocks; blocks in named
-    non-articles are left out.
+    A subtree is its hash, whether it may belong to a template, whether it is inside an article, and the bounds of
+    its blocks; blocks in named non-articles are left out.
     """
     blocks: list[tuple[str, bool, bool]] = []
-    subtrees: list[tuple[int, bool, int, int]] = []
+    subtrees: list[tuple[int, bool, bool, int, int]] = []
     stack = [_Open("", True, False, False, False, 0)]
     text: list[str] = []
 
@@ -103,7 +112,7 @@ def read_page(page: str) -> tuple[list[tuple[str, bool, bool]], list[tuple[int,
             if words:
                 top = stack[-1]
                 block = " ".join(words)
-                stack[-1].parts.append(DIGITS.sub("0", block))
+                top.parts.append(block if top.article else DIGITS.sub("0", block))
                 if not top.drop:
                     blocks.append((block, top.article, top.main))
 
@@ -116,11 +125,11 @@ def read_page(page: str) -> tuple[list[tuple[str, bool, bool]], list[tuple[int,
             return
         parent.holds |= node.holds
         if node.parts:
-            whole = "\x00".join((node.tag, *node.parts))
-            digest = hashlib.blake2b(whole.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-            number = int.from_bytes(digest, "little", signed=True)
+            # Hashes inside an article and outside differ, so a teaser does not make its paragraph a template.
+            number = _number("\x00".join(("\x02" + node.tag if node.article else node.tag, *node.parts)))
             parent.parts.append(f"\x01{number}")
-            subtrees.append((number, not node.article and not node.holds, node.first, len(blocks)))
+            may = not node.holds and not (node.article and node.tag in PARTS)
+            subtrees.append((number, may, node.article, node.first, len(blocks)))
 
     at, end = 0, len(page)
     while at < end:
@@ -179,12 +188,14 @@ def read_page(page: str) -> tuple[list[tuple[str, bool, bool]], list[tuple[int,
 
 def main_text(page: str, template: frozenset[int]) -> str:
     blocks, subtrees = read_page(page)
-    for number, may, first, last in subtrees:
+    gone = [False] * len(blocks)
+    for number, may, _, first, last in subtrees:
         if may and number in template:
-            blocks[first:last] = [None] * (last - first)
-    left = [b for b in blocks if b]
-    chosen = [b for b in left if b[1]] or [b for b in left if b[2]] or left
-    return " ".join(b[0] for b in chosen)
+            gone[first:last] = [True] * (last - first)
+    article = [k for k, b in enumerate(blocks) if b[1]]
+    left = [k for k, away in enumerate(gone) if not away]
+    chosen = [k for k in article if not gone[k]] or article or [k for k in left if blocks[k][2]] or left
+    return " ".join(blocks[k][0] for k in chosen)
 
 
 def _host() -> F.Column:
@@ -193,30 +204,37 @@ def _host() -> F.Column:
 
 
 def host_templates(pages: DataFrame, min_pages: int, share: float) -> DataFrame:
-    """host and ``template``, the hashes of the subtrees that recur on its pages."""
+    """host and ``template``, the hashes of the subtrees that recur on its pages or in its articles."""
     page = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(_host().alias("host"), page.alias("html"), F.xxhash64(page).alias("copy"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "html"):
-            hosts, copies, numbers = [], [], []
+            hosts, inside, copies, numbers = [], [], [], []
             for host, page, copy in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "copy"))):
-                found = {number for number, may, _, _ in read_page(page)[1] if may}
-                hosts += [host] * (len(found) + 1)
-                copies += [copy] * (len(found) + 1)
-                numbers += [None, *found]
+                blocks, subtrees = read_page(page)
+                article = [b[0] for b in blocks if b[1]]
+                for within, whole in ((False, copy), (True, _number("\x00".join(article)))):
+                    if within and not article:
+                        continue
+                    found = {number for number, may, own, _, _ in subtrees if may and own == within}
+                    hosts += [host] * (len(found) + 1)
+                    inside += [within] * (len(found) + 1)
+                    copies += [whole] * (len(found) + 1)
+                    numbers += [None, *found]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(copies, pa.int64()), pa.array(numbers, pa.int64())], names=["host", "copy", "subtree"]
+                [pa.array(hosts, pa.string()), pa.array(inside, pa.bool_()), pa.array(copies, pa.int64()), pa.array(numbers, pa.int64())],
+                names=["host", "inside", "copy", "subtree"],
             )
 
-    # The row without subtree counts the page itself. Copies become one row before they are counted.
-    found = rows.mapInArrow(run, "host string, copy long, subtree long").distinct()
+    # The row without subtree counts the page, or its article. Copies become one row before they are counted.
+    found = rows.mapInArrow(run, "host string, inside boolean, copy long, subtree long").distinct()
     counts = settle(
-        found.groupBy("host", "subtree").agg(F.count("*").alias("n")).filter((F.col("n") >= min_pages) | F.col("subtree").isNull()),
+        found.groupBy("host", "inside", "subtree").agg(F.count("*").alias("n")).filter((F.col("n") >= min_pages) | F.col("subtree").isNull()),
         "subtree-counts",
     )
-    totals = counts.filter("subtree is null").select("host", F.col("n").alias("n_pages"))
-    recurring = counts.filter("subtree is not null").join(totals, "host").filter(F.col("n") >= share * F.col("n_pages"))
+    totals = counts.filter("subtree is null").select("host", "inside", F.col("n").alias("n_all"))
+    recurring = counts.filter("subtree is not null").join(totals, ["host", "inside"]).filter(F.col("n") >= share * F.col("n_all"))
     return recurring.groupBy("host").agg(F.collect_list("subtree").alias("template"))
 
 

@@ -67,5 +67,21 @@ def test_copies_of_a_page_are_one_page(spark):
     assert got[22] == "own xx" and got[33] == "copy"
 
 
+def test_unnamed_boxes_inside_the_article(spark):
+    box = "<div><p>Our reader letter</p><p>comes on Sundays</p></div>"
+    table = "<table><tr><td>7<td>own {0}</table><ul><li>salt<li>own {0}</ul>"
+    rows = [(i, "http://a.org/x", f"<div>m{i}</div><article><p>own {'x' * i}</p>{box}{table.format('y' * i)}</article>") for i in range(6)]
+    # Copies in pages that differ, and an article of nothing but the box.
+    rows += [(10 + i, "http://a.org/x", f"<div>m{'z' * i}</div><article><p>of copies</p>{box}</article><p>after") for i in range(6)]
+    rows += [(20, "http://a.org/x", f"<article>{box}</article><p>after</p>")]
+    rows += [(30 + i, "http://b.org/x", f"<article><p>of copies</p></article><p>{'z' * i}</p>") for i in range(6)]
+    # A paragraph that is a teaser elsewhere is no template where it is the article's.
+    rows += [(40 + i, "http://c.org/x", f"<p>teaser</p><article><p>{'x' * i or 'teaser'}</p></article>") for i in range(6)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[2] == "own xx 7 own yy salt own yy" and got[12] == "of copies"
+    assert got[20] == "Our reader letter comes on Sundays" and got[33] == "of copies"
+    assert got[40] == "teaser" and got[42] == "xx"
+
+
 def test_no_pages(spark):
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
