@@ -17,7 +17,8 @@ Documents are range partitioned and sorted by id; a task writes its shard under
 returns one manifest row, so a repeated task leaves at most an unlisted file. The manifest (one row per shard) is
 written as Parquet beside the shards, and names the shards in order; places of documents are sums over it.
 
-Rules: a null or empty text holds the end id alone; rows without doc_id come first; rows that repeat a doc_id follow
+Rules: the string of an added token in a text is that token, as the library has it by default; a null or empty text
+holds the end id alone; rows without doc_id come first; rows that repeat a doc_id follow
 one another in the order of their texts; an empty table gives no shards. Other columns are not looked at.
 """
 
@@ -28,7 +29,7 @@ import os
 import re
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -75,13 +76,13 @@ def unclear(text: str) -> bool:
 
 
 @lru_cache(2)
-def encoder(path: str) -> tuple[WordIds, int]:
-    """An encoder per worker process, and bytes per id."""
+def encoder(path: str) -> tuple[Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]], int]:
+    """An encoder per worker process (ids of all texts end to end, and how many each has), and bytes per id."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
 
     # Words follow a blank, but for those told by a zero before them, which are taken as they stand.
     def cut(text: str) -> list[str]:
@@ -107,7 +108,22 @@ def encoder(path: str) -> tuple[WordIds, int]:
         encode=encode,
         limit=300_000,
     )
-    return words, 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
+
+    # Texts with an added token are taken whole, and not remembered.
+    def ids_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        whole = [i for i, t in enumerate(texts) if t and any(a in t for a in added)]
+        if not whole:
+            return words(texts)
+        there = set(whole)
+        flat, sizes = words([None if i in there else t for i, t in enumerate(texts)])
+        found = [e.ids for e in tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)]
+        own = np.fromiter(map(len, found), np.int64, len(found))
+        begin = (np.cumsum(sizes) - sizes)[whole]
+        flat = np.insert(flat, np.repeat(begin, own), np.fromiter((i for ids in found for i in ids), np.int32, own.sum()))
+        sizes[whole] = own
+        return flat, sizes
+
+    return ids_of, 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
 
 
 def _serialized(path: str, texts: list[str | None], end_id: int) -> Iterator[bytes]:

@@ -56,6 +56,24 @@ def test_round_trip_of_odd_rows(spark, library):
         ts.read_document(folder, first.file, 0, dictionary + b"x")
 
 
+def test_added_tokens_are_as_in_the_plain_library(spark):
+    plain = Tokenizer.from_file(PATH)
+    rng = random.Random(3)
+    parts = ["<|endoftext|>", " ", "\n", "a", "word", ".", "é", "<|endoftext", "|>"]
+    texts = ["a<|endoftext|>b", None, "plain text", "<|endoftext|>", "", " <|endoftext|> <|endoftext|>\n"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(2000)]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 50256, 65]
+    ids, sizes = ts.encoder(PATH)[0](texts)
+    ends = np.cumsum(sizes)
+    assert [ids[a:b].tolist() for a, b in zip(ends - sizes, ends)] == want
+    back = round_trip(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))[3]
+    start = 0
+    for r, own in zip(sorted(back.collect(), key=lambda r: r.doc_id), want):
+        assert (r.start, np.frombuffer(r.ids, "<u4").tolist()) == (start, [*own, 0])
+        start += r.n_tokens
+
+
 def test_no_documents(spark):
     assert round_trip(spark, odd.nothing(spark))[3].count() == 0
 
