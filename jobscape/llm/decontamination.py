@@ -3,8 +3,10 @@
 A seed is the hash of some of the next few words, chosen by a fixed mask; the words at the other places may differ.
 Seeds of benchmark items and of documents that agree (a join on the hash, done inside each task against one block of
 the benchmark) propose an alignment of a document with an item, without gaps. The alignment is then verified around
-the hit: with ``+1`` for an equal word and ``-2`` for a substituted one, the best run of words must hold at least
-``least`` equal words (or ``SHORT_SHARE`` of a shorter item). So a passage is found when every third word at most is replaced.
+the hit: with ``EQUAL`` for an equal word and ``CHANGED`` for a substituted one, the best run of words must hold at least
+``LEAST`` equal words (or ``SHORT_SHARE`` of a shorter item). Two equal words outweigh a substituted one, and every 14 words
+with substitutions three or more apart hold a seed, so a passage of 17 words is found when every third word at most is replaced
+(a lone equal word at either end is left out, so shorter ones may not reach ``LEAST``).
 
 Words are runs of ASCII letters and digits (upper case counts as lower case) and of non-ASCII characters;
 punctuation and white space separate them. Whole documents are searched.
@@ -30,6 +32,7 @@ from jobscape.llm.common import chunks, lower_ascii, mixed, spans, text_bytes, w
 # Places of a seed's words that count (1) and that may differ (0). Fixed values.
 MASKS = ("1101011", "11001011", "101100011")
 LEAST, SHORT_SHARE, MIN_WORDS = 10, 0.8, 8
+EQUAL, CHANGED = 10, -19
 PIECE, PIECE_OVERLAP = 60_000, 4_000
 FILTER_BITS = 22
 
@@ -98,7 +101,7 @@ class Index:
         begin, end = max(low, first), min(high, first + int(self.counts[item]))
         own = self.hashes[self.starts[item] + begin - first : self.starts[item] + end - first]
         equal = hashes[begin:end] == own
-        total = np.cumsum(np.where(equal, 1, -2))
+        total = np.cumsum(np.where(equal, EQUAL, CHANGED))
         lowest = np.minimum.accumulate(np.concatenate(([0], total[:-1])))
         last = int(np.argmax(total - lowest))
         start = int(np.argmin(np.concatenate(([0], total[: last + 1]))[: last + 1]))

@@ -67,6 +67,25 @@ def test_finds_passages_with_changed_words(spark):
             assert len(passage.split()) == r.words >= r.matched
 
 
+def test_every_third_or_fourth_word_replaced(spark):
+    rng = random.Random(6)
+    docs, want = [], {}
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(n))) for k, n in enumerate((17, 18, 19, 20, 31, 59))]
+    for k, text in items:
+        for period in (3, 4, 0):
+            for shift in range(period or 3):
+                copy, at = text.split(), shift
+                while at < len(copy):
+                    copy[at] = f"new{at}"
+                    at += period or rng.choice((3, 4, 5))
+                want[len(docs)] = (k, sum(not w.startswith("new") for w in copy))
+                docs.append((len(docs), " ".join(["before", *copy, "after"])))
+    got = dc.contaminated_spans(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)).collect()
+    assert {r.doc_id: r.item_id for r in got} == {i: k for i, (k, _) in want.items()}
+    # A lone equal word at either end is left out.
+    assert all(want[r.doc_id][1] - 2 <= r.matched <= want[r.doc_id][1] for r in got)
+
+
 def test_clean_documents_and_long_items(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     long = " ".join(f"q{i}" for i in range(30_000))
