@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobscape.llm import decontamination, language_id, licenses, main_text, near_duplicates, nearest, repeats, sentence_pieces, token_shards, warc
+from jobscape.llm import decontamination, language_id, licenses, main_text, near_duplicates, nearest, repeats, sentence_pieces, token_alignment, token_shards, warc
 from jobscape.llm.common import table
 from jobscape.session import scratch_path
 
@@ -93,11 +93,16 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.align(table(spark, sf_dir, "documents"), BYTE_MODEL, PIECE_MODEL, keep_groups=False)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_licenses, op3_main_text, op4_near_duplicates, op5_token_shards, op6_repeats, op7_nearest, op8_language_id,
-        op9_warc, op10_sentence_pieces,
+        op9_warc, op10_sentence_pieces, op13_token_alignment,
     )
 }
 _TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
