@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobscape.llm import decontamination, language_id, licenses, main_text, near_duplicates, nearest, repeats, sentence_pieces, token_alignment, token_shards, warc
+from jobscape.llm import decontamination, filter_audit, language_id, licenses, main_text, near_duplicates, nearest, packing, repeats, sentence_pieces, token_alignment, token_shards, warc
 from jobscape.llm.common import table
 from jobscape.session import scratch_path
 
 BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +94,14 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"), WORD_MODEL, keep_ids=False)
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_alignment.align(table(spark, sf_dir, "documents"), BYTE_MODEL, PIECE_MODEL, keep_groups=False)
     return found.withColumnRenamed("groups", "groups_sha256")
@@ -102,7 +111,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_licenses, op3_main_text, op4_near_duplicates, op5_token_shards, op6_repeats, op7_nearest, op8_language_id,
-        op9_warc, op10_sentence_pieces, op13_token_alignment,
+        op9_warc, op10_sentence_pieces, op11_filter_audit, op12_packing, op13_token_alignment,
     )
 }
 _TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
@@ -144,6 +153,39 @@ ORACLE: dict[str, str] = {
                CASE WHEN license IS NOT NULL THEN 'own' WHEN inherited IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
                CASE WHEN license IS NULL THEN above END AS inherited_from
         FROM placed LEFT JOIN own USING (file) LEFT JOIN nearest USING (folder)""",
+    "op11_filter_audit": """
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM d),
+        e AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+        b AS (SELECT doc_id, part,
+                     CAST(len(words) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+                     + 4 * CAST(100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) AS INT)
+                     + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(doc_id > first, false) AS INT) AS bits
+              FROM w JOIN e USING (text)),
+        l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+              FROM labels GROUP BY doc_id),
+        c AS (SELECT part, bits, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+              FROM b LEFT JOIN l USING (doc_id) GROUP BY ALL),
+        f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        o AS (SELECT f1.letter || f2.letter || f3.letter || f4.letter || f5.letter AS filter_order,
+                     [f1.bit, f2.bit, f3.bit, f4.bit, f5.bit] AS own
+              FROM f f1, f f2, f f3, f f4, f f5 WHERE f1.bit + f2.bit + f3.bit + f4.bit + f5.bit = 31
+              AND len(list_distinct([f1.bit, f2.bit, f3.bit, f4.bit, f5.bit])) = 5),
+        s AS (SELECT filter_order, CAST(step AS INT) AS step, own[step] AS own, CAST(coalesce(list_sum(own[1:step - 1]), 0) AS INT) AS before
+              FROM o, range(1, 6) r(step)),
+        t AS (SELECT part, filter_order, step, own,
+                     coalesce(sum(n) FILTER (bits & (own | before) = 0), 0) AS kept,
+                     coalesce(sum(n) FILTER (bits & own <> 0 AND bits & before = 0), 0) AS removed,
+                     coalesce(sum(n) FILTER (bits & own <> 0 AND bits & before <> 0), 0) AS redundant,
+                     coalesce(sum(n) FILTER (bits = own), 0) AS unique_fails,
+                     coalesce(sum(n) FILTER (bits & own <> 0 AND bits & before = 0 AND good), 0) AS good_lost,
+                     coalesce(sum(n) FILTER (bits & own <> 0 AND bits & before = 0 AND toxic), 0) AS toxic_lost
+              FROM c, s GROUP BY ALL)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+        FROM t""",
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
