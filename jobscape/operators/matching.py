@@ -66,17 +66,87 @@ def one_edit_keys(name: Column | str) -> Column:
     return F.array_distinct(F.array_append(shorter, n))
 
 
-def match_employers(candidates: DataFrame, register: DataFrame, postal_code: str = "postal_code") -> DataFrame:
+# The characters of normalized names. Their pairs are numbered, so the list of frequencies has a bounded size.
+LETTERS = " ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+LEAST_PERCENT = 85
+
+
+def most_edits(longer: Column, least_percent: int) -> Column:
+    """How many edits leave two names, the longer one of this length, alike by so many percent."""
+    return F.floor(longer * (100 - least_percent) / 100).cast("int")
+
+
+def _letter_pairs(name: Column) -> Column:
+    at = F.sequence(F.lit(1), F.length(name) - 1)
+    pairs = F.transform(at, lambda i: F.substring(name, i, F.lit(2)))
+    return F.when(F.length(name) > 1, pairs).otherwise(F.array().cast("array<string>"))
+
+
+def _pair_number(letters: Column) -> Column:
+    """The number of a pair of letters; a character outside ``LETTERS`` counts as 0."""
+    place = lambda i: F.position(F.substring(letters, i, 1), F.lit(LETTERS))
+    return place(1) * (len(LETTERS) + 1) + place(2)
+
+
+def pair_ranks(names: DataFrame, name: str) -> list[int]:
+    """By pair number, how many of the ``names`` hold it: one count per pair of letters, whatever the number of names."""
+    pairs = names.select(F.explode(F.array_distinct(_letter_pairs(F.col(name)))).alias("letters"))
+    counts = dict(pairs.groupBy(_pair_number(F.col("letters")).alias("pair")).count().collect())
+    return [counts.get(i, 0) for i in range((len(LETTERS) + 1) ** 2)]
+
+
+def rare_pairs(names: DataFrame, name: str, ranks: list[int], least_percent: int) -> DataFrame:
+    """``names`` once for each of the rarest letter pairs of its name: ``_letters``, ``_nth`` occurrence and place ``_at``.
+
+    A partner of a name of n letters has at most n / share letters and is at most k edits away. An edit touches two
+    pairs, so both names have one of their 2 k + 1 rarest pairs in common, in whatever order pairs count as rare.
+    """
+    pairs = _letter_pairs(F.col(name))
+    earlier = lambda p, i: F.size(F.filter(F.slice(pairs, F.lit(1), i), lambda q: q == p))
+    numbered = F.transform(
+        pairs,
+        lambda p, i: F.struct(F.get(F.lit(ranks), _pair_number(p)).alias("rank"), p.alias("letters"), earlier(p, i).alias("nth"), i.alias("at")),
+    )
+    longest = F.floor(F.length(name) * 100 / least_percent)
+    rarest = F.slice(F.array_sort(numbered), F.lit(1), 2 * most_edits(longest, least_percent) + 1)
+    return names.withColumn("_pair", F.explode(rarest)).select(
+        *names.columns, F.col("_pair.letters").alias("_letters"), F.col("_pair.nth").alias("_nth"), F.col("_pair.at").alias("_at")
+    )
+
+
+def ratio_candidates(left: DataFrame, right: DataFrame, name: str, other: str, block: str, least_percent: int = LEAST_PERCENT) -> DataFrame:
+    """Pairs of ``left`` and ``right`` rows of one block whose names may be alike by ``least_percent``, more than one edit apart.
+
+    A set-similarity join with a prefix filter: only names that share one of their rarest letter pairs, about as far
+    from the start, and that are about as long, meet. A pair may come more than once.
+    """
+    if not 70 <= least_percent <= 100:
+        raise ValueError("names alike by less than 70 percent need not share a rare pair of letters")
+    # Two edits are within the bound from this length on.
+    least_length = -(-200 // (100 - least_percent)) * least_percent // 100 if least_percent < 100 else 1 << 30
+    long = [df.filter(F.length(c) >= least_length) for df, c in ((left, name), (right, other))]
+    ranks = pair_ranks(long[0].select(name).union(long[1].select(other)), name)
+    (a, b) = (rare_pairs(df, c, ranks, least_percent) for df, c in zip(long, (name, other)))
+    b = b.withColumnRenamed("_at", "_other_at")
+    edits = most_edits(F.greatest(F.length(name), F.length(other)), least_percent)
+    near = (F.abs(F.col("_at") - F.col("_other_at")) <= edits) & (F.abs(F.length(name) - F.length(other)) <= edits)
+    return a.join(b, [block, "_letters", "_nth"]).filter(near).drop("_letters", "_nth", "_at", "_other_at")
+
+
+def match_employers(
+    candidates: DataFrame, register: DataFrame, postal_code: str = "postal_code", least_percent: int = LEAST_PERCENT
+) -> DataFrame:
     """One row per candidate with its register entry, method, confidence and status.
 
     ``candidates`` holds ``employer_candidate_id``, ``normalized_employer_name`` and the
     postal code; ``register`` holds ``siret``, ``siren``, ``legal_name``, the postal
     code and any details, which the match carries along. Within a postal code an equal normalized name is an ``exact``
-    match (confidence 1); else a name one edit away is a ``fuzzy`` one (confidence 1 - 1/longer length);
-    ties go to the smallest siret. Both steps are equality joins, never all pairs.
+    match (confidence 1); else the name with the fewest edits is a ``fuzzy`` one (confidence 1 - edits/longer length),
+    when it is one edit away or alike by ``least_percent``; ties go to the smallest siret. All steps are equality
+    joins, never all pairs: one edit by forms with one character left out, more by shared rare letter pairs.
 
     The register is read and its names are normalized once, for postal codes that some candidate has, and
-    written: both joins read the result. Names are cut into forms only where a candidate is still open.
+    written: all joins read the result. Names are cut into forms only where a candidate is still open.
     """
     name = "normalized_employer_name"
     key = [name, postal_code]
@@ -92,16 +162,19 @@ def match_employers(candidates: DataFrame, register: DataFrame, postal_code: str
 
     exact = wanted.join(entries.withColumnRenamed("_name", name), key)
     open_names = settle(wanted.join(entries.select(F.col("_name").alias(name), postal_code), key, "left_anti"), "open-names")
-    left = open_names.withColumn("_form", F.explode(one_edit_keys(name)))
     near_entries = entries.join(open_names.select(postal_code).distinct(), postal_code, "left_semi")
+    left = open_names.withColumn("_form", F.explode(one_edit_keys(name)))
     right = near_entries.withColumn("_form", F.explode(one_edit_keys("_name")))
+    one_edit = left.join(right, [postal_code, "_form"]).drop("_form")
+    several = ratio_candidates(open_names, near_entries, name, "_name", postal_code, least_percent)
+    longer = F.greatest(F.length(name), F.length("_name"))
+    allowed = F.greatest(F.lit(1), most_edits(longer, least_percent))
     near = (
-        left.join(right, [postal_code, "_form"])
-        .withColumn("_edits", F.levenshtein(F.col(name), F.col("_name"), 1))
-        .filter("_edits >= 0")
+        one_edit.unionByName(several.select(*one_edit.columns))
+        .withColumn("_edits", F.levenshtein(F.col(name), F.col("_name")))
+        .filter(F.col("_edits") <= allowed)
     )
     best = first_per_key(near, key, [F.col("_edits"), F.col("siret")])
-    longer = F.greatest(F.length(name), F.length("_name"))
     found = exact.select(*key, *kept, F.lit("exact").alias("match_method"), F.lit(1.0).alias("match_confidence")).unionByName(
         best.select(
             *key, *kept, F.lit("fuzzy").alias("match_method"),

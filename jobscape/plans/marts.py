@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobscape.functions.figures import salary_bounds
+from jobscape.operators.scale import first_per_key
 from jobscape.plans.employers import with_employers
 from jobscape.plans.geo import PLACE_COLUMNS
 
@@ -117,18 +118,29 @@ def offer_salaries(offers: DataFrame, label: str) -> DataFrame:
     return offers.select("*", *salary_bounds(label))
 
 
-def mart_salaries(offers: DataFrame, label: str, segment: Sequence[str]) -> DataFrame:
-    """Per segment: offers, labels present, labels read, lowest, highest and mean yearly pay."""
+def mart_salaries(offers: DataFrame, label: str, segment: Sequence[str], company: str | None = None) -> DataFrame:
+    """Per segment: offers, labels present, labels read, lowest, highest and mean yearly pay, and the salary text.
+
+    The text is the label most offers of the segment carry, the first in the alphabet among equals. With ``company``
+    the companies of the segment are counted; a segment may have the company as one of its columns.
+    """
     rows = offer_salaries(offers, label)
     middle = (F.col("salary_low_year") + F.col("salary_high_year")) / 2
-    return rows.groupBy(*segment).agg(
+    # Labels are counted map-side before the commonest is looked for, so a large segment is no single task.
+    texts = rows.filter(F.col(label).isNotNull()).groupBy(*segment, label).agg(F.count(F.lit(1)).alias("_n"))
+    commonest = first_per_key(texts, segment, [F.col("_n").desc(), F.col(label)])
+    commonest = commonest.select(*(F.col(c).alias(f"_{c}") for c in segment), F.col(label).alias("salary_text"))
+    figures = rows.groupBy(*segment).agg(
         F.count(F.lit(1)).alias("n_offers"),
+        *([F.count_distinct(company).alias("n_companies")] if company else []),
         F.count(label).alias("n_labels"),
         F.count("salary_low_year").alias("n_read"),
         F.round(F.min("salary_low_year"), 2).alias("lowest_year"),
         F.round(F.max("salary_high_year"), 2).alias("highest_year"),
         F.round(F.avg(middle), 2).alias("mean_year"),
     )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in segment]
+    return figures.join(commonest, same, "left").drop(*(f"_{c}" for c in segment))
 
 
 def mart_trend(offers: DataFrame, created: str, updated: str, employer: str, unit: str = "day") -> DataFrame:

@@ -189,6 +189,57 @@ def test_match_equals_brute_force(spark):
     assert got == expected
 
 
+@pytest.mark.parametrize("least_percent", [75, 85])
+def test_match_by_ratio_equals_brute_force(spark, least_percent):
+    import random
+
+    rng = random.Random(least_percent)
+    stems = ["MENUISERIE DURAND ET FILS", "BOULANGERIE DU CENTRE", "TRANSPORTS MARTIN", "GARAGE DE LA GARE 12", "A B C", "AAAAAAAAAAAA"]
+
+    def changed(text):
+        letters = list(text)
+        for _ in range(rng.randint(0, 7)):
+            at = rng.randrange(len(letters) + 1)
+            letters[at : at + rng.randint(0, 1)] = rng.choice(["", "X", "A", "E 1"])
+        return " ".join("".join(letters).split()) or "Z"
+
+    wanted = sorted({(changed(rng.choice(stems)), rng.choice(["1", "2"])) for _ in range(150)})
+    listed = [(f"{i:014d}", changed(rng.choice(stems)), rng.choice(["1", "2", "3"])) for i in range(150)]
+    candidates = spark.createDataFrame(
+        [(str(i), n, p) for i, (n, p) in enumerate(wanted)],
+        "employer_candidate_id string, normalized_employer_name string, postal_code string",
+    )
+    stock = spark.createDataFrame([(s, s[:9], n, p) for s, n, p in listed], "siret string, siren string, legal_name string, postal_code string")
+    got = {
+        (r["normalized_employer_name"], r["postal_code"]): (r["siret"], r["match_confidence"])
+        for r in matching.match_employers(candidates, stock, least_percent=least_percent).collect()
+    }
+    expected = {}
+    for name, postal in wanted:
+        near = []
+        for siret, other, p in listed:
+            n, longer = edits(name, other), max(len(name), len(other))
+            if p == postal and n <= max(1, (100 - least_percent) * longer // 100):
+                near.append((n, siret, round(1 - n / longer, 4)))
+        expected[name, postal] = min(near)[1:] if near else (None, None)
+    assert got == expected and any(c and c < 1 - 1 / 20 for _, c in got.values())
+
+
+def test_few_pairs_meet_within_a_postal_code(spark):
+    import random
+
+    rng = random.Random(5)
+    names = sorted({"".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(20)) for _ in range(600)})
+    near = [n[:3] + "0" + n[4:12] + "00" + n[14:] for n in names]
+    left = spark.createDataFrame([(n, "1") for n in near], "name string, postal string")
+    right = spark.createDataFrame([(n, "1") for n in names], "other string, postal string")
+    met = matching.ratio_candidates(left, right, "name", "other", "postal", 85)
+    assert met.distinct().filter("levenshtein(name, other) = 3").count() == len(names)
+    assert met.count() < 600 * 600 / 20
+    with pytest.raises(ValueError, match="70 percent"):
+        matching.ratio_candidates(left, right, "name", "other", "postal", 60)
+
+
 def test_pending(spark, rows):
     c = spark.createDataFrame([("1",), ("2",)], "employer_candidate_id string")
     assert rows(matching.pending_candidates(c, c.filter("employer_candidate_id = '1'"))) == [("2",)]

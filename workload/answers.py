@@ -93,14 +93,14 @@ def register_search_results(spark, sf):
 
 def stg_register_matches(spark, sf):
     wanted = candidates(spark, sf).withColumn("commune_code", F.col("naf_code"))
-    entries = register_rows(spark, sf).withColumns(
-        {
-            "legal_category": F.lit("5499"),
-            "trade_name": F.concat(F.lit("Chez "), "siren"),
-            "register_naf_code": F.lit("62.01Z"),
-            "employee_size_range": F.lit("10"),
-        }
+    details = table(spark, sf, "supplier").select(
+        F.lpad(text("s_suppkey"), 14, "0").alias("siret"),
+        F.when(F.col("s_acctbal") > 0, text("s_nationkey")).alias("legal_category"),
+        F.concat(F.lit("Chez "), "s_name").alias("trade_name"),
+        F.concat(F.right(text("s_suppkey"), F.lit(2)), F.lit("Z")).alias("register_naf_code"),
+        text(F.floor(F.col("s_acctbal") / 1000)).alias("employee_size_range"),
     )
+    entries = register_rows(spark, sf).join(details, "siret")
     found = emp.raw_matches(settle(wanted, "candidates"), entries, "run-1")
     return emp.stg_register_matches(found).drop("employer_candidate_id", "legal_name")
 
@@ -121,20 +121,16 @@ PLACE = ["commune_code", "naf_code"]
 
 
 def enriched(spark, sf):
-    """Offers with place and employer; the register stand-in lists one company per part."""
+    """Offers with place and employer; the register stand-in lists a company per part, where its first supplier is."""
     s = staged(spark, sf).withColumn("postal_code", F.col("commune_code"))
     found = settle(matching.employer_candidates(s, "employer_name", ["postal_code", *PLACE]), "candidates")
-    register = table(spark, sf, "part").select(
-        F.lpad(text("p_partkey"), 14, "0").alias("siret"),
-        F.lpad(text("p_partkey"), 9, "0").alias("siren"),
-        F.concat(F.lit("SOCIETE "), text("p_partkey"), F.lit(" SA")).alias("legal_name"),
-        F.col("p_brand").alias("postal_code"),
-    )
-    # The stand-in register has no place codes of its own: names alone identify a company.
-    by_name = matching.match_employers(
-        found.withColumn("_place", F.col("postal_code")).withColumn("postal_code", F.lit("-")),
-        register.withColumn("postal_code", F.lit("-")),
-    )
+    register = table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.min("l_suppkey").alias("place")).select(
+        F.lpad(text("l_partkey"), 14, "0").alias("siret"),
+        F.lpad(text("l_partkey"), 9, "0").alias("siren"),
+        F.concat(F.lit("SOCIETE "), text("l_partkey"), F.lit(" SA")).alias("legal_name"),
+        text("place").alias("postal_code"),
+    )
+    by_name = matching.match_employers(found, register)
     kept = settle(
         by_name.filter("match_status = 'matched'").select("employer_candidate_id", "siren", "siret", "legal_name", "match_confidence", "match_status"), "matches"
     )
@@ -165,8 +161,7 @@ def mart_geo(spark, sf):
 
 
 def mart_employers(spark, sf):
-    offers = marts.with_places(staged(spark, sf), known_places(spark, sf)).withColumn("siren", F.lit(None).cast("string"))
-    return marts.mart_employers(offers, "siren", "employer_name", "departement_code", "activity_sector_label", "naf_code")
+    return marts.mart_employers(enriched(spark, sf), "siren", "employer_name", "departement_code", "activity_sector_label", "naf_code")
 
 
 def salary_parse(spark, sf):
@@ -177,7 +172,13 @@ def salary_parse(spark, sf):
 
 def mart_salaries(spark, sf):
     offers = marts.with_places(staged(spark, sf), known_places(spark, sf))
-    return marts.mart_salaries(offers, "salary_label", ["region_name", "contract_type"])
+    return marts.mart_salaries(offers, "salary_label", ["region_name", "contract_type"], "employer_name")
+
+
+def mart_salaries_by_company(spark, sf):
+    offers = marts.with_places(staged(spark, sf), known_places(spark, sf)).filter("employer_name is not null")
+    # Means of one or two offers end in half a cent, which the two engines round differently.
+    return marts.mart_salaries(offers, "salary_label", ["region_name", "contract_type", "employer_name"]).drop("mean_year")
 
 
 def mart_trend(spark, sf):
@@ -254,6 +255,7 @@ QUERIES = {
     "mart_employers": mart_employers,
     "salary_parse": salary_parse,
     "mart_salaries": mart_salaries,
+    "mart_salaries_by_company": mart_salaries_by_company,
     "mart_trend": mart_trend,
     "mart_trend_weekly": mart_trend_weekly,
     "accepted_values": accepted_values,
@@ -273,10 +275,18 @@ NAMED = """placed AS (SELECT o.*, c.nom AS commune_name, CAST(n.n_nationkey AS V
   FROM offers o LEFT JOIN communes c ON c.code = o.commune LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = c.dep
   LEFT JOIN region r ON CAST(r.r_regionkey AS VARCHAR) = c.reg LEFT JOIN region e ON 'E' || CAST(e.r_regionkey AS VARCHAR) = c.epci)"""
 PLACED = f"WITH {COMMUNES_SQL}, {CODED_SQL}, {NAMED}"
-MAPPED = f"""{PLACED}, full_rows AS (SELECT p.*, s.siret FROM placed p LEFT JOIN
-  (SELECT lpad(CAST(p_partkey AS VARCHAR), 14, '0') AS siret, 'Société ' || CAST(p_partkey AS VARCHAR) AS name FROM part) s
-  ON s.name = p.employer_name)"""
+MAPPED = f"""{PLACED}, listed AS (SELECT lpad(CAST(l_partkey AS VARCHAR), 14, '0') AS siret, 'SOCIETE ' || l_partkey AS name,
+    CAST(min(l_suppkey) AS VARCHAR) AS place FROM lineitem GROUP BY l_partkey),
+  asked AS (SELECT DISTINCT replace(employer_name, 'Société', 'SOCIETE') AS name, commune FROM offers WHERE employer_name IS NOT NULL),
+  near AS (SELECT a.name, a.commune, l.siret,
+      row_number() OVER (PARTITION BY a.name, a.commune ORDER BY levenshtein(a.name, l.name), l.siret) AS rn
+    FROM asked a JOIN listed l ON l.place = a.commune
+      AND levenshtein(a.name, l.name) <= greatest(1, greatest(length(a.name), length(l.name)) * 15 // 100)),
+  full_rows AS (SELECT p.*, s.siret FROM placed p LEFT JOIN near s
+    ON s.rn = 1 AND s.name = replace(p.employer_name, 'Société', 'SOCIETE') AND s.commune = p.commune)"""
 FLAG = "CASE WHEN salary_label IS NULL THEN 'none' ELSE 'label' END"
+FIGURES = """CAST(count(p.salary_label) AS BIGINT) AS n_labels, CAST(count(low_year) AS BIGINT) AS n_read, round(min(low_year), 2) AS lowest_year,
+  round(max(high_year), 2) AS highest_year, round(avg((low_year + high_year) / 2), 2) AS mean_year"""
 LEVEL = """SELECT '{level}' AS level, {zones}, strftime(date_trunc('year', created), '%Y-%m-%d') AS period,
   CAST(count(*) AS BIGINT) AS n_offers, CAST(count(DISTINCT employer_name) AS BIGINT) AS n_companies,
   round(count(*) FILTER (contract_type = 'CDI') / count(*), 4) AS permanent_share,
@@ -302,11 +312,12 @@ ORACLE = {
         json_object('total', coalesce(n.n, 0), 'first_siret', n.siret)::VARCHAR AS response_payload
         FROM candidates c LEFT JOIN n ON n.name = c.name AND n.postal_code = c.postal_code)
       SELECT *, 'run-1' AS run_id, sha256('run-1|' || request_payload) AS search_id FROM r""",
-    "stg_register_matches": f"""WITH {EMPLOYERS_SQL} SELECT right(siret, 9) AS siren, siret, 'Chez ' || right(siret, 9) AS trade_name,
-      CASE WHEN siret IS NOT NULL THEN '5499' END AS legal_category,
-      CASE WHEN siret IS NOT NULL THEN '62.01Z' END AS naf_code, postal_code, naf_code AS commune_code,
-      CASE WHEN siret IS NOT NULL THEN '10' END AS employee_size_range, match_method,
-      CAST(match_confidence AS DOUBLE) AS match_confidence, match_status FROM matches""",
+    "stg_register_matches": f"""WITH {EMPLOYERS_SQL} SELECT right(siret, 9) AS siren, siret, 'Chez ' || s_name AS trade_name,
+      CASE WHEN s_acctbal > 0 THEN CAST(s_nationkey AS VARCHAR) END AS legal_category,
+      right(CAST(s_suppkey AS VARCHAR), 2) || 'Z' AS naf_code, postal_code, naf_code AS commune_code,
+      CAST(CAST(floor(s_acctbal / 1000) AS BIGINT) AS VARCHAR) AS employee_size_range, match_method,
+      CAST(match_confidence AS DOUBLE) AS match_confidence, match_status
+      FROM matches LEFT JOIN supplier ON lpad(CAST(s_suppkey AS VARCHAR), 14, '0') = siret""",
     "stg_employers": f"WITH {CODED_SQL} SELECT offer_id, employer_name, naf_code, industry_label AS activity_sector_label FROM offers",
     "stg_salaries": f"""WITH {CODED_SQL} SELECT offer_id, salary_label, CAST(NULL AS VARCHAR) AS salary_comment,
       salary_label AS salary_raw_text, {FLAG} AS salary_quality_flag FROM offers""",
@@ -330,8 +341,9 @@ ORACLE = {
         LEVEL.format(level="departement_name", zones="region_name, departement_name, CAST(NULL AS VARCHAR) AS commune_code", group="region_name, departement_name"),
         LEVEL.format(level="commune_code", zones="region_name, departement_name, commune AS commune_code", group="region_name, departement_name, commune"),
     ]),
-    "mart_employers": f"""{PLACED}, z AS (SELECT employer_name AS employer_key, departement_code AS zone, count(*) AS n,
-        max(industry_label) AS sector, max(naf_code) AS size FROM placed WHERE employer_name IS NOT NULL GROUP BY 1, 2)
+    "mart_employers": f"""{MAPPED}, z AS (SELECT coalesce(right(siret, 9), employer_name) AS employer_key, departement_code AS zone,
+        count(*) AS n, max(industry_label) AS sector, max(naf_code) AS size FROM full_rows
+        WHERE coalesce(siret, employer_name) IS NOT NULL GROUP BY 1, 2)
       SELECT employer_key, CAST(sum(n) AS BIGINT) AS n_offers, CAST(count(zone) AS BIGINT) AS n_zones,
         coalesce(string_agg(zone, ',' ORDER BY zone), '') AS zones, max(sector) AS sector, max(size) AS size FROM z GROUP BY 1""",
     "salary_parse": f"""WITH {CODED_SQL} SELECT offer_id, salary_label,
@@ -339,9 +351,17 @@ ORACLE = {
       round(CASE WHEN salary_label LIKE 'Mensuel%' THEN low_year / 13 ELSE low_year END, 2) AS salary_low,
       round(CASE WHEN salary_label LIKE 'Mensuel%' THEN high_year / 13 ELSE high_year END, 2) AS salary_high,
       round(low_year, 2) AS salary_low_year, round(high_year, 2) AS salary_high_year FROM offers""",
-    "mart_salaries": f"""{PLACED} SELECT region_name, contract_type, CAST(count(*) AS BIGINT) AS n_offers,
-      CAST(count(salary_label) AS BIGINT) AS n_labels, CAST(count(low_year) AS BIGINT) AS n_read, round(min(low_year), 2) AS lowest_year,
-      round(max(high_year), 2) AS highest_year, round(avg((low_year + high_year) / 2), 2) AS mean_year FROM placed GROUP BY 1, 2""",
+    "mart_salaries": f"""{PLACED}, t AS (SELECT region_name, contract_type, salary_label, row_number() OVER (PARTITION BY region_name,
+        contract_type ORDER BY count(*) DESC, salary_label) AS rn FROM placed WHERE salary_label IS NOT NULL GROUP BY 1, 2, 3)
+      SELECT p.region_name, p.contract_type, CAST(count(*) AS BIGINT) AS n_offers,
+      CAST(count(DISTINCT employer_name) AS BIGINT) AS n_companies, {FIGURES}, any_value(t.salary_label) AS salary_text FROM placed p
+      LEFT JOIN t ON rn = 1 AND t.region_name IS NOT DISTINCT FROM p.region_name AND t.contract_type = p.contract_type GROUP BY 1, 2""",
+    "mart_salaries_by_company": f"""{PLACED}, named AS (SELECT * FROM placed WHERE employer_name IS NOT NULL),
+      t AS (SELECT region_name, contract_type, employer_name, salary_label, row_number() OVER (PARTITION BY region_name, contract_type,
+        employer_name ORDER BY count(*) DESC, salary_label) AS rn FROM named WHERE salary_label IS NOT NULL GROUP BY 1, 2, 3, 4)
+      SELECT p.region_name, p.contract_type, p.employer_name, CAST(count(*) AS BIGINT) AS n_offers, {FIGURES.split(", round(avg")[0]},
+      any_value(t.salary_label) AS salary_text FROM named p LEFT JOIN t ON rn = 1 AND t.region_name IS NOT DISTINCT FROM p.region_name
+      AND t.contract_type = p.contract_type AND t.employer_name = p.employer_name GROUP BY 1, 2, 3""",
     "mart_trend": TREND.format(offers=CODED_SQL, unit="day"),
     "mart_trend_weekly": TREND.format(offers=CODED_SQL, unit="week"),
     "accepted_values": """SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem

@@ -237,12 +237,13 @@ EMPLOYERS_SQL = """employers AS (
   SELECT name, postal_code, min(siret) AS siret FROM (
     SELECT lpad(CAST(s_suppkey AS VARCHAR), 14, '0') AS siret, 'COMPAGNIE N ' || right(s_name, 3) AS name,
       CAST(s_nationkey AS VARCHAR) AS postal_code FROM supplier) GROUP BY 1, 2), best AS (
-  SELECT name, postal_code, siret, edits FROM (
-    SELECT w.name, w.postal_code, e.siret, levenshtein(w.name, e.name) AS edits,
+  SELECT name, postal_code, siret, edits, entry_name FROM (
+    SELECT w.name, w.postal_code, e.siret, e.name AS entry_name, levenshtein(w.name, e.name) AS edits,
       row_number() OVER (PARTITION BY w.name, w.postal_code ORDER BY levenshtein(w.name, e.name), e.siret) AS rn
     FROM (SELECT DISTINCT name, postal_code FROM candidates) w
-    JOIN entries e ON e.postal_code = w.postal_code AND levenshtein(w.name, e.name) <= 1) WHERE rn = 1), matches AS (
-  SELECT c.*, b.siret, CASE WHEN b.edits = 0 THEN 'exact' WHEN b.edits = 1 THEN 'fuzzy' END AS match_method,
-    CASE WHEN b.edits = 0 THEN 1.0 WHEN b.edits = 1 THEN round(1 - 1.0 / length(c.name), 4) END AS match_confidence,
+    JOIN entries e ON e.postal_code = w.postal_code
+      AND levenshtein(w.name, e.name) <= greatest(1, greatest(length(w.name), length(e.name)) * 15 // 100)) WHERE rn = 1), matches AS (
+  SELECT c.*, b.siret, CASE WHEN b.edits = 0 THEN 'exact' WHEN b.edits > 0 THEN 'fuzzy' END AS match_method,
+    CASE WHEN b.edits = 0 THEN 1.0 WHEN b.edits > 0 THEN round(1 - b.edits / greatest(length(c.name), length(b.entry_name)), 4) END AS match_confidence,
     CASE WHEN b.siret IS NULL THEN 'unmatched' ELSE 'matched' END AS match_status
   FROM candidates c LEFT JOIN best b ON b.name = c.name AND b.postal_code = c.postal_code)"""
