@@ -116,3 +116,35 @@ def test_flatten_one_level_keeps_parent(nested):
     assert got.columns == ["id", "lieu", "lieu__code", "lieu__pos", "tags", "ok"]
     assert tuple(got.collect()[1]) == ("2", "", "", "", '["é"]', "")
     assert got.first()["lieu"] == '{"code":"69","pos":{"lat":1.5}}'
+
+
+def test_records_are_read_and_parsed_once(spark, records):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    listed = spark.createDataFrame([("r", "code", "69")], "referential string, key string, value string")
+    passed = records.mapInArrow(counted, records.schema)
+    report = profile.json_field_profile(passed, "raw", ["n"], referentials=listed, hints={"lieu.code": ("r", "code")})
+    rows = report.collect()
+    assert reads.value == len(RECORDS) + 1
+    assert "MapInArrow" not in report._jdf.queryExecution().executedPlan().toString()
+    states = profile.field_states(records, "raw", ["n"], 120, True, 3, ["lieu.code"])
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan.split("MapInArrow")[0]
+    assert {(r["referential"], r["coverage_pct"]) for r in rows if r["field_path"] == "lieu.code"} == {("r.code", 50.0)}
+    assert all(r["referential"] is None for r in rows if r["field_path"] != "lieu.code")
+    before = reads.value
+    profile.field_catalog(passed, "raw", ["n"]).collect()
+    assert reads.value - before == len(RECORDS) + 1
+
+
+def test_values_of_a_hinted_path_pass_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(profile, "HELD_VALUES", 10)
+    df = spark.createDataFrame([(i, json.dumps({"v": i % 70})) for i in range(500)], "n int, raw string").repartition(3)
+    states = profile.field_states(df, "raw", ["n"], 120, True, 3, ["v"])
+    assert states.filter("value is not null").select("value").distinct().count() == 70
+    assert {r["n"] for r in states.filter("value is not null").select("n").collect()} == {0}

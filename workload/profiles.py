@@ -8,6 +8,15 @@ from jobscape.operators import profile
 from workload.tables import table
 
 
+RECORD_HINTS = {
+    "contrat.code": ("ref_line", "l_linestatus"),
+    "langues[].libelle": ("ref_nation", "n_name"),
+    "id": ("ref_customer", "c_custkey"),
+    "contrat.label": ("ref_line", "no_such_key"),
+    "contrat.unseen": ("ref_line", "l_linestatus"),
+}
+
+
 def _records(spark, sf):
     """Orders as nested JSON: an absent key, a null, a list of records, two number types."""
     status = F.col("o_orderstatus")
@@ -40,6 +49,18 @@ def json_profile_nested(spark, sf):
     return _flat(profile.json_field_profile(_records(spark, sf), "raw_json", ["o_orderkey"]))
 
 
+def json_profile_referentials(spark, sf):
+    """The nested profile with reference lists beside: line statuses, nation names, customer keys."""
+    lists = (
+        profile.referential_values(table(spark, sf, "lineitem"), "ref_line", ["l_linestatus"])
+        .unionByName(profile.referential_values(table(spark, sf, "nation"), "ref_nation", ["n_name"]))
+        .unionByName(profile.referential_values(table(spark, sf, "customer"), "ref_customer", ["c_custkey"]))
+    )
+    return _flat(
+        profile.json_field_profile(_records(spark, sf), "raw_json", ["o_orderkey"], referentials=lists, hints=RECORD_HINTS)
+    )
+
+
 def field_catalog(spark, sf):
     return profile.field_catalog(_records(spark, sf), "raw_json", ["o_orderkey"])
 
@@ -94,6 +115,7 @@ def referential_coverage(spark, sf):
 QUERIES = {
     "json_profile": json_profile,
     "json_profile_nested": json_profile_nested,
+    "json_profile_referentials": json_profile_referentials,
     "field_catalog": field_catalog,
     "observed_keys": observed_keys,
     "observed_values": observed_values,
@@ -143,7 +165,17 @@ def _catalog(path: str, kind: str, present: str, value: str, filled: str) -> str
       CAST(count(*) FILTER ({present}) AS BIGINT) AS presence_count, min_by({value}, k) FILTER ({filled}) AS example_value FROM r"""
 
 
+COVERED = """SELECT 'contrat.code' AS field_path, 'ref_line.l_linestatus' AS referential,
+    round(count(*) FILTER (s IN (SELECT l_linestatus FROM lineitem)) * 100.0 / count(*), 2) AS coverage_pct FROM (SELECT DISTINCT s FROM r)
+  UNION ALL SELECT 'langues[].libelle', 'ref_nation.n_name', 0.0
+  UNION ALL SELECT 'id', 'ref_customer.c_custkey', round(count(*) FILTER (k IN (SELECT c_custkey FROM customer)) * 100.0 / count(*), 2)
+    FROM (SELECT DISTINCT k FROM r)
+  UNION ALL SELECT 'contrat.label', 'ref_line.no_such_key', NULL"""
+
+
 ORACLE = {
+    "json_profile_referentials": f"""WITH {RECORDS}, p AS ({" UNION ALL ".join(PROFILE_ROWS)}), c AS ({COVERED})
+      SELECT * FROM p LEFT JOIN c USING (field_path)""",
     "json_profile": """WITH e AS (SELECT event_id, json_extract_string(props, '$.k') AS v FROM events),
       x AS (SELECT string_agg(v, '|' ORDER BY o) AS examples FROM (SELECT v, min(event_id) AS o FROM e GROUP BY v ORDER BY o LIMIT 3))
       SELECT 'k' AS field_path, CAST(count(*) AS BIGINT) AS presence_count, CAST(count(v) AS BIGINT) AS non_null_count,
