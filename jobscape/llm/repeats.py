@@ -12,7 +12,8 @@ that one record (anchor, hash of its surroundings, place) stands for about ``(WI
   third of all documents sends a record per task, not per document.
 - Buckets with several surroundings get an enhanced suffix array of them. A scan of its common-prefix lengths with a
   stack walks the interval tree; an interval of ``WINDOW`` bytes or more whose members are preceded by different
-  bytes is a maximal repeat, with all its occurrences, and all but the earliest are removed.
+  bytes is a maximal repeat, with all its occurrences, and all but the earliest are removed. An occurrence is marked
+  once, in the innermost such interval that holds an earlier one, so marks grow with the bucket, not with its depth.
 - Buckets with more than ``limit`` surroundings (a frequent line among ever different neighbours) are split by the
   whole window instead: occurrences are grouped by its hash, with the first one taken on the map side.
 
@@ -37,6 +38,7 @@ from jobscape.llm.common import chunks, mixed, packed_texts, powers, spans, text
 from jobscape.sinks.tables import settle
 
 WINDOW, GRAM = 100, 32
+SEVERAL = 256  # no byte
 BASE = 0x9E3779B97F4A7C15
 STEP_BYTES = 1 << 20
 TASK_RECORDS = 300_000
@@ -213,11 +215,12 @@ def _common(a: bytes, b: bytes) -> int:
     return low
 
 
-def maximal_repeats(texts: list[bytes], least: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """Length and all occurrences (text, start) of every maximal repeat of at least ``least`` bytes.
+def intervals(texts: list[bytes], least: int) -> tuple[list[tuple[int, int]], Iterator[tuple[int, int, int]]]:
+    """The suffix array (text, start) of repeated starts, and its intervals: length, first and end, inner ones first.
 
-    A repeat is maximal when its occurrences are followed by different bytes or ends, and preceded by different bytes
-    or starts. The suffixes are sorted, and the intervals of their common-prefix lengths are closed by a stack.
+    Only intervals whose members are preceded by different bytes or starts are given: the others are parts of a longer
+    repeat that begins further left. The suffixes are sorted, and a stack closes the intervals of their common-prefix
+    lengths.
     """
     # A suffix whose start is unlike all others lies in no interval; hashes tell well enough which ones to leave out.
     places = [(k, at) for k, text in enumerate(texts) for at in range(len(text) - least + 1)]
@@ -226,35 +229,66 @@ def maximal_repeats(texts: list[bytes], least: int) -> Iterator[tuple[int, list[
     same = starts[order][1:] == starts[order][:-1]
     shared = np.concatenate(([False], same)) | np.concatenate((same, [False])) if len(places) else same
     array = sorted((texts[k][at:], k, at) for k, at in (places[i] for i in order[shared].tolist()))
-    stack: list[list] = []  # length, first suffix, bytes met before the suffixes
-
-    def before(i: int) -> set:
-        _, k, at = array[i]
-        return {texts[k][at - 1]} if at else {(k,)}  # a start is like no byte and no other start
-
-    for i in range(1, len(array) + 1):
-        shared = _common(array[i - 1][0], array[i][0]) if i < len(array) else 0
-        left, lefts = i - 1, before(i - 1)
-        while stack and stack[-1][0] > shared:
-            length, left, seen = stack.pop()
-            lefts |= seen
-            if len(lefts) > 1:
-                yield length, [(k, at) for _, k, at in array[left:i]]
-        if shared >= least:
-            if stack and stack[-1][0] == shared:
-                stack[-1][2] |= lefts
-            else:
-                stack.append([shared, left, lefts])
+
+    def scan() -> Iterator[tuple[int, int, int]]:
+        stack: list[list] = []  # length, first suffix, byte before the suffixes (SEVERAL when they differ)
+        for i in range(1, len(array) + 1):
+            shared = _common(array[i - 1][0], array[i][0]) if i < len(array) else 0
+            _, k, at = array[i - 1]
+            left, before = i - 1, texts[k][at - 1] if at else ~k  # a start is like no byte and no other start
+            while stack and stack[-1][0] > shared:
+                length, left, seen = stack.pop()
+                before = before if before == seen else SEVERAL
+                if before == SEVERAL:
+                    yield length, left, i
+            if shared >= least:
+                if stack and stack[-1][0] == shared:
+                    stack[-1][2] = before if before == stack[-1][2] else SEVERAL
+                else:
+                    stack.append([shared, left, before])
+
+    return [(k, at) for _, k, at in array], scan()
+
+
+def maximal_repeats(texts: list[bytes], least: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """Length and all occurrences (text, start) of every maximal repeat of at least ``least`` bytes.
+
+    A repeat is maximal when its occurrences are followed by different bytes or ends, and preceded by different bytes
+    or starts.
+    """
+    array, found = intervals(texts, least)
+    for length, first, end in found:
+        yield length, array[first:end]
 
 
 def bucket_marks(rows: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]]:
-    """(doc, start, end) of what repeats in a bucket, from (doc, place, surroundings)."""
+    """(doc, start, end) of what repeats in a bucket, from (doc, place, surroundings); overlapping runs of a row are joined.
+
+    An occurrence is marked once, with the longest maximal repeat in which it is not the earliest: in the inner
+    interval all members but the earliest are marked and leave, the earliest goes on to the interval around. So there
+    are no more marks than occurrences, however deep the intervals lie.
+    """
     rows = sorted(rows)
-    out = []
-    for length, found in maximal_repeats([text for _, _, text in rows], WINDOW):
-        at = sorted((rows[k][0], (rows[k][1] >> (2 * PLACE_BITS)) + start) for k, start in found)
-        out += [(doc, start, start + length) for doc, start in at[1:] if (doc, start) != at[0]]
-    return out
+    array, found = intervals([text for _, _, text in rows], WINDOW)
+    base = [place >> (2 * PLACE_BITS) for _, place, _ in rows]
+    at = [(rows[k][0], base[k] + start) for k, start in array]
+    there, ahead = [True] * len(array), list(range(1, len(array) + 1))  # who has not left, and where the next may be
+    marks: dict[int, list[tuple[int, int]]] = {}
+    for length, first, end in found:
+        members, i = [], first
+        while i < end:
+            if there[i]:
+                members.append(i)
+            i = ahead[i]
+        stays = min(members, key=at.__getitem__)
+        for i in members:
+            there[i] = i == stays
+            if at[i] != at[stays]:
+                marks.setdefault(array[i][0], []).append((at[i][1], at[i][1] + length))
+        if stays > first:
+            ahead[first] = stays
+        ahead[stays] = end
+    return [(rows[k][0], a, b) for k, runs in marks.items() for a, b in merged(runs)]
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, bytes]]]:

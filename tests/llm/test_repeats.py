@@ -114,3 +114,24 @@ def test_whole_characters_and_other_columns_stay(spark):
     assert repeats.without_repeats(df).columns == df.columns
     assert got[1].text == text and got[2].text == "ab end" and got[2].row == 6
     assert 3 not in got and got[4].text is None and got[5].text == ""
+
+
+@pytest.mark.parametrize("k", [16, 64, 256])
+def test_marks_of_nested_surroundings_grow_with_the_rows(k):
+    """Every row shares a longer start with the row after it than with the one before."""
+    rng = random.Random(k)
+    stem = bytes(rng.choice(b"abcdef") for _ in range(101 + k))
+    rows = [(doc, 0, stem[: 101 + n] + bytes([200 + doc % 50, doc % 7])) for doc, n in enumerate(rng.sample(range(k), k))]
+    marks = repeats.bucket_marks(rows)
+    assert len(marks) <= 2 * k
+    gone = {doc: bytearray(len(text)) for doc, _, text in rows}
+    for doc, start, end in marks:
+        gone[doc][start:end] = b"\1" * (end - start)
+    seen = set()
+    for doc, _, text in sorted(rows):
+        want = bytearray(len(text))
+        for at in range(len(text) - repeats.WINDOW + 1):
+            if text[at : at + repeats.WINDOW] in seen:
+                want[at : at + repeats.WINDOW] = b"\1" * repeats.WINDOW
+            seen.add(text[at : at + repeats.WINDOW])
+        assert gone[doc] == want
