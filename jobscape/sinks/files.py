@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+
 def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON object per line; nulls are written, text stays as it is."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
@@ -12,12 +16,24 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def write_json_list(df: DataFrame, path: str) -> None:
     """Reference lists: every part file is one indented JSON list of the rows of one partition.
 
-    A table of one partition gives one file. Partitions bound the lists, so no task holds more than its own rows.
+    A table of one partition gives one file. Rows pass between the brackets one by one, so a list may be of any size;
+    partitions without rows give no file content.
     """
-    rows = df.select(F.struct("*").alias("row")).withColumn("part", F.spark_partition_id())
-    lists = rows.groupBy("part").agg(F.collect_list("row").alias("rows"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = "[\n"
+        for batch in batches:
+            lines = []
+            for text in batch.column(0).to_pylist():
+                lines.append(mark + text)
+                mark = ","
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        if mark == ",":
+            yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
+
     options = {"pretty": "true", "ignoreNullFields": "false"}
-    lists.select(F.to_json("rows", options).alias("value")).write.mode("errorifexists").option("maxRecordsPerFile", 1).text(path)
+    rows = df.select(F.to_json(F.struct("*"), options).alias("value"))
+    rows.mapInArrow(run, "value string").write.mode("errorifexists").text(path)
 
 
 def write_csv_report(df: DataFrame, path: str, sep: str = ",") -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from jobscape.schemas import struct_of
+from jobscape.sources.json_lists import BLOCK_BYTES, parsed_items, read_json_items
 
 BAD = "_corrupt_record"
 
@@ -129,20 +130,18 @@ def json_documents(spark: SparkSession, path: str, pattern: str | None = None) -
     return reader.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("source_file"), "value")
 
 
-def _must_start(value: str, mark: str, what: str) -> Column:
-    return F.when(F.startswith(F.regexp_replace(value, r"^\s+", ""), F.lit(mark)), F.lit(True)).otherwise(
-        F.raise_error(F.concat("source_file", F.lit(f": {what}")))
-    )
+def read_json_list(
+    spark: SparkSession, path: str, layout: str | T.StructType, pattern: str | None = None, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """Records of files that hold a JSON list, each file read by many tasks; any other shape fails the query."""
+    return parsed_items(read_json_items(spark, path, pattern, block_bytes=block_bytes), struct_of(layout))
 
 
-def read_json_list(
-    spark: SparkSession, path: str, layout: str | T.StructType, pattern: str | None = None
+def read_wrapped(
+    spark: SparkSession, path: str, pattern: str | None = None, key: str = "resultats", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Records of files that hold a JSON list; any other shape fails the query."""
-    schema = struct_of(layout)
-    lists = json_documents(spark, path, pattern).filter(_must_start("value", "[", "must hold a list of objects"))
-    items = lists.select(F.explode(F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})).alias("r"))
-    return items.select(*[F.col(f"r.`{f.name}`") for f in schema.fields])
+    """(source_file, block_start, line_in_task, raw_json): the objects of files that are a list, or hold one under ``key``."""
+    return read_json_items(spark, path, pattern, key, block_bytes)
 
 
 def unwrap_results(documents: DataFrame, key: str = "resultats") -> DataFrame:
@@ -178,16 +177,10 @@ def list_items(documents: DataFrame) -> DataFrame:
 def read_offers_any(spark: SparkSession, folder: str, pattern: str = "offres_*") -> DataFrame:
     """Raw offers of a folder that mixes line files and wrapped documents, by suffix.
 
-    The order columns are those of ``raw_lines``; a document counts as one block.
+    The order columns are those of ``raw_lines``.
     """
     lines = raw_lines(spark, folder, f"{pattern}.ndjson")
-    wrapped = unwrap_results(json_documents(spark, folder, f"{pattern}.json")).select(
-        "source_file",
-        F.lit(0).cast("bigint").alias("block_start"),
-        F.col("pos").cast("bigint").alias("line_in_task"),
-        "raw_json",
-    )
-    return lines.unionByName(wrapped)
+    return lines.unionByName(read_wrapped(spark, folder, f"{pattern}.json"))
 
 
 def latest_file(spark: SparkSession, folder: str, pattern: str) -> str:

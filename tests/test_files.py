@@ -3,9 +3,11 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from jobscape import schemas
-from jobscape.sources import files
+from jobscape.sinks.files import write_json_list
+from jobscape.sources import files, json_lists
 from jobscape.sources.paged import read_pages_of
 
 
@@ -72,6 +74,46 @@ def test_json_list(spark, folder, rows):
     assert rows(files.read_json_list(spark, path, "a int, b int, c int")) == sorted([(1, 2, None), (None, 3, 4)], key=repr)
 
 
+def awkward_items(n):
+    import random
+
+    rng = random.Random(n)
+    texts = ["}", "{", '"', "\\", "]", "[", "é", "日本", "\\\\\"", "a,b", "", "\n", '{"x": 1}']
+    word = lambda: "".join(rng.choice(texts) for _ in range(rng.randint(0, 6)))
+    return [{"id": i, word(): word(), "l": [{"m": [word()]}, [], word()], "o": {"p": {}}} for i in range(n)]
+
+
+@pytest.mark.parametrize(("block", "indent"), [(7, None), (100, 2), (997, None), (1 << 20, 2)])
+def test_lists_in_blocks_give_the_same_objects(spark, folder, block, indent):
+    items = awkward_items(4 if block == 7 else 60)
+    dumped = lambda v: json.dumps(v, ensure_ascii=False, indent=indent)
+    wrapped = {"a": [{"id": -1}], "resultats\\\"": [{"id": -2}], "b": {"resultats": [{"id": -3}]}, "resultats": [3, "x}", [{"id": -4}], None, *items], "z": [{"id": -5}]}
+    path = folder(l__json=dumped(items), w__json=dumped(wrapped), e__json="[]", n__json=dumped({"resultats": []}))
+    found = files.read_wrapped(spark, path, "*.json", block_bytes=block)
+    got = found.orderBy("source_file", "block_start", "line_in_task").collect()
+    assert [json.loads(r["raw_json"]) for r in got] == [*items, *items]
+    assert {r["source_file"] for r in got} == {"l.json", "w.json"}
+    strict = json_lists.read_json_items(spark, path, "[le].json", block_bytes=block)
+    assert sorted(json.loads(r["raw_json"])["id"] for r in strict.collect()) == list(range(len(items)))
+    assert found.rdd.getNumPartitions() > len(dumped(wrapped).encode()) // block
+
+
+@pytest.mark.parametrize("content", ['[{"a": 1}, 3]', '["x"]', "[[]]", '[{"a": 1}, "{", {"a": 2}]', "[{"])
+@pytest.mark.parametrize("block", [3, 1000])
+def test_lists_of_other_things_are_refused(spark, folder, content, block):
+    with pytest.raises(Exception, match="must hold a list|ends inside"):
+        files.read_json_list(spark, folder(a__json=content), "a int", block_bytes=block).collect()
+
+
+def test_lists_are_written_row_by_row(spark, tmp_path):
+    path = str(tmp_path / "lists")
+    write_json_list(spark.range(50).select("id", F.lit(None).cast("string").alias("no")).repartition(3), path)
+    parts = [p.read_text() for p in (tmp_path / "lists").glob("part-*.txt") if p.stat().st_size]
+    assert len(parts) == 3 and sorted(r["id"] for p in parts for r in json.loads(p)) == list(range(50))
+    assert all(list(r) == ["id", "no"] for p in parts for r in json.loads(p))
+    assert files.read_json_list(spark, path, "id bigint", block_bytes=100).count() == 50
+
+
 def test_json_list_refuses_an_object(spark, folder):
     with pytest.raises(Exception, match="must hold a list"):
         files.read_json_list(spark, folder(a__json='{"a": 1}'), "a int").collect()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from jobscape.operators.reports import completion_report
@@ -70,6 +71,25 @@ def wrapped_results(spark, sf):
     return files.parse_records(files.unwrap_results(documents), "id string, typeContrat string")
 
 
+def wrapped_results_split(spark, sf):
+    """All orders in one document that wraps their list, between lists under other keys, read in blocks of 64 KB."""
+    path = scratch_path(spark, "wrapped-split")
+    brace = F.concat(F.lit("{[\"}, \\"), F.col("o_orderpriority"))
+    offer = F.to_json(F.struct(text("o_orderkey").alias("id"), F.col("o_orderstatus").alias("typeContrat"), brace.alias("intitule")))
+    rows = table(spark, sf, "orders").select(offer.alias("value")).coalesce(1)
+
+    def wrapped(batches):
+        mark = '{"filtres": [{"id": "no", "resultats": [{"id": "no"}]}], "resultats": [7, '
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"value": [(mark if not i else ", ") + t for i, t in enumerate(batch.column(0).to_pylist())]})
+            mark = ", "
+        yield pa.RecordBatch.from_pydict({"value": ['], "suite": [{"id": "no"}]}']})
+
+    rows.mapInArrow(wrapped, "value string").write.text(path)
+    found = files.read_wrapped(spark, path, block_bytes=1 << 16)
+    return files.parse_records(found, "id string, typeContrat string, intitule string")
+
+
 def json_list(spark, sf):
     path = scratch_path(spark, "list")
     nations = table(spark, sf, "nation").select(F.col("n_name").alias("nom"), text("n_nationkey").alias("code"))
@@ -124,6 +144,7 @@ QUERIES = {
     "lines_rejected": lines_rejected,
     "raw_with_lineage": raw_with_lineage,
     "wrapped_results": wrapped_results,
+    "wrapped_results_split": wrapped_results_split,
     "json_list": json_list,
     "referentials_read": referentials_read,
     "checked_lines": checked_lines,
@@ -140,6 +161,8 @@ ORACLE = {
     "raw_with_lineage": """SELECT CAST(event_id AS VARCHAR) AS offer_id, event_type, 'run-1' AS run_id, 'events' AS source_system,
       '2026-04-06 07:00' AS ingested, true AS has_file FROM events""",
     "wrapped_results": "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS \"typeContrat\" FROM orders",
+    "wrapped_results_split": """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS "typeContrat",
+      '{["}, ' || chr(92) || o_orderpriority AS intitule FROM orders""",
     "json_list": "SELECT n_name AS nom, CAST(n_nationkey AS VARCHAR) AS code FROM nation",
     "referentials_read": """SELECT 'code' AS key, CAST(r_regionkey AS VARCHAR) AS value FROM region
       UNION SELECT 'libelle', r_name FROM region""",
