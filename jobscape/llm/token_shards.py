@@ -25,8 +25,6 @@ one another in the order of their texts; an empty table gives no shards. Other c
 from __future__ import annotations
 
 import hashlib
-import os
-import re
 import struct
 import uuid
 from collections.abc import Callable, Iterator
@@ -39,94 +37,27 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from jobscape.llm.common import WordIds, chunks
+from jobscape.llm.common import chunks, text_bytes
+from jobscape.llm.words import pattern_tokenizer
 
 MAGIC = b"TOKSHRD1"
 FOOTER = "<qqqq32s8s"
 FOOTER_BYTES = struct.calcsize(FOOTER)
 READ_BYTES = 8 << 20
-# No token of a byte-level vocabulary reaches over this place: a blank starts the word after it.
-CUT = re.compile(r"(?= [A-Za-zÀ-ɏ])")
-# Points, commas and line ends that stand alone after a word are words of their own; in these texts some do not.
-UNCLEAR = re.compile(r"(?:[^\w\s]|_)[.,]|\s[\n.,]|\n\s|\x00")
-
-
-def _kinds() -> bytes:
-    """A letter for the kind of each UTF-8 byte: a word, b blank, p point or comma, n line end, s other sign, u beyond ASCII."""
-    out = bytearray(b"s" * 128 + b"u" * 128)
-    for i in range(128):
-        if chr(i).isalnum():
-            out[i] = ord("a")
-    for c, kind in ((" ", "b"), (".", "p"), (",", "p"), ("\n", "n")):
-        out[ord(c)] = ord(kind)
-    return bytes(out)
-
-
-KINDS = _kinds()
-BAD = (b"sp", b"pp", b"bp", b"np", b"bn", b"nb", b"nn", b"sn", b"ns")
-# Beyond ASCII a byte does not tell letters from signs and blanks.
-OPEN = (b"up", b"un", b"nu")
-
-
-def unclear(text: str) -> bool:
-    kinds = text.encode("utf-8", "surrogatepass").translate(KINDS)
-    if "\0" in text or any(pair in kinds for pair in BAD):
-        return True
-    return any(pair in kinds for pair in OPEN) and UNCLEAR.search(text) is not None
 
 
 @lru_cache(2)
-def encoder(path: str) -> tuple[Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]], int]:
+def encoder(path: str) -> tuple[Callable[[list[str | None] | pa.Array], tuple[np.ndarray, np.ndarray]], int]:
     """An encoder per worker process (ids of all texts end to end, and how many each has), and bytes per id."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
-
-    # Words follow a blank, but for those told by a zero before them, which are taken as they stand.
-    def cut(text: str) -> list[str]:
-        if unclear(text):
-            return cut_odd(text)
-        words = text.replace(".", " \0.").replace(",", " \0,").replace("\n", " \0\n").split(" ")
-        words[0] = "\0" + words[0]
-        return words
-
-    def cut_odd(text: str) -> list[str]:
-        return ["\0" + w for w in CUT.split(text) if w]
-
-    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        words = [w[1:] if w[0] == "\0" else " " + w for w in words]
-        found = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.int32, sizes.sum()), sizes
-
-    words = WordIds(
-        cut=cut,
-        odd=lambda word: not word or word[0].isspace(),
-        cut_odd=cut_odd,
-        encode=encode,
-        limit=300_000,
-    )
+    ids_of = pattern_tokenizer(path)
 
-    # Texts with an added token are taken whole, and not remembered.
-    def ids_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        whole = [i for i, t in enumerate(texts) if t and any(a in t for a in added)]
-        if not whole:
-            return words(texts)
-        there = set(whole)
-        flat, sizes = words([None if i in there else t for i, t in enumerate(texts)])
-        found = [e.ids for e in tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)]
-        own = np.fromiter(map(len, found), np.int64, len(found))
-        begin = (np.cumsum(sizes) - sizes)[whole]
-        flat = np.insert(flat, np.repeat(begin, own), np.fromiter((i for ids in found for i in ids), np.int32, own.sum()))
-        sizes[whole] = own
-        return flat, sizes
+    def encode(texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return ids_of(*text_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())))
 
-    return ids_of, 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
+    return encode, 2 if ids_of.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
 
-def _serialized(path: str, texts: list[str | None], end_id: int) -> Iterator[bytes]:
+def _serialized(path: str, texts: pa.Array, end_id: int) -> Iterator[bytes]:
     ids_of, width = encoder(path)
     flat, sizes = ids_of(texts)
     ends = np.cumsum(sizes)
@@ -148,7 +79,7 @@ def train_dictionary(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = list(_serialized(tokenizer, batch.column("text").to_pylist(), end_id))
+            ids = list(_serialized(tokenizer, batch.column("text"), end_id))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
 
     samples = sorted(bytes(r.ids) for r in rows.mapInArrow(run, "ids binary").limit(4 * sample_docs).collect())
@@ -180,12 +111,12 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, dictionary: bytes
         pack = zstandard.ZstdCompressor(level=3, **_dictionary(dictionary))
         ids, tokens, starts, at, width = [], [], [], len(MAGIC), encoder(tokenizer)[1]
         out = None
-        for batch in chunks(batches, "text", 1 << 20):
+        for batch in chunks(batches, "text"):
             if out is None:
                 out = store.open_output_stream(f"{root}/{name}")
                 out.write(MAGIC)
             ids += batch.column("doc_id").to_pylist()
-            for raw in _serialized(tokenizer, batch.column("text").to_pylist(), end_id):
+            for raw in _serialized(tokenizer, batch.column("text"), end_id):
                 frame = pack.compress(raw)
                 out.write(frame)
                 tokens.append(len(raw) // width)
