@@ -1,14 +1,19 @@
 from __future__ import annotations
 
 import json
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from jobscape import schemas
 from jobscape.sinks.files import write_json_list
 from jobscape.sources import files, json_lists
-from jobscape.sources.paged import read_pages_of
+from jobscape.sources.paged import read_pages_of, read_searches, stream_searches
+
+# Fetches run in the tasks, which do not know this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @pytest.fixture
@@ -236,6 +241,89 @@ def test_paged_source(spark, tmp_path, rows):
     assert first.count() == 4
 
 
+class CountedService:
+    """Pages of ids in a folder; every call leaves a file, as tasks share no memory. It tells wrong totals."""
+
+    def __init__(self, base, sizes, page_size):
+        self.base, self.sizes, self.page_size = base, sizes, page_size
+
+    def __call__(self, request, page):
+        import uuid
+
+        search = request["search"]
+        open(f"{self.base}/call-{search}-{page}-{uuid.uuid4().hex}", "w").close()
+        first = (page - 1) * self.page_size
+        return [{"id": f"{search}{i}", "total": 7} for i in range(first, min(first + self.page_size, self.sizes[search]))]
+
+    def calls(self):
+        import os
+
+        return sorted(tuple(n.split("-")[1:3]) for n in os.listdir(self.base) if n.startswith("call-"))
+
+
+SIZES = {"none": 0, "short": 2, "full": 6, "long": 20}
+
+
+@pytest.mark.parametrize(("most", "pages", "found"), [(None, {"none": 1, "short": 1, "full": 3, "long": 7}, 28), (7, {"none": 1, "short": 1, "full": 3, "long": 3}, 15), (6, {"none": 1, "short": 1, "full": 2, "long": 2}, 14)])
+def test_searches_are_read_until_a_short_page(spark, tmp_path, most, pages, found):
+    service = CountedService(str(tmp_path), SIZES, 3)
+    got = read_searches(spark, [(s, {"search": s}) for s in SIZES], service, 3, most)
+    assert got.rdd.getNumPartitions() == len(SIZES)
+    # Sorted here: an order in Spark would read the source once more to find its ranges.
+    ids = [json.loads(r["raw_json"])["id"] for r in sorted(got.collect(), key=lambda r: (r["search_no"], r["page"], r["pos"]))]
+    assert ids == [f"{s}{i}" for s, n in SIZES.items() for i in range(min(n, most or n))] and len(ids) == found
+    assert service.calls() == sorted((s, str(p)) for s, n in pages.items() for p in range(1, n + 1))
+
+
+def test_a_stream_of_searches_goes_on_where_it_stopped(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    service = CountedService(str(tmp_path / "calls"), SIZES, 3)
+    progress, target, checkpoint = (str(tmp_path / n) for n in ("progress", "target", "checkpoint"))
+
+    def started():
+        stream = stream_searches(spark, [(s, {"search": s}) for s in SIZES], service, 3, progress, pages_per_round=2)
+        return stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).start(target)
+
+    query = started()
+    while not query.recentProgress:
+        query.processAllAvailable()
+    query.stop()
+    for _ in range(2):
+        query = started()
+        query.processAllAvailable()
+        query.stop()
+    got = spark.read.parquet(target)
+    assert sorted(r[0] for r in got.selectExpr("get_json_object(raw_json, '$.id')").collect()) == sorted(f"{s}{i}" for s, n in SIZES.items() for i in range(n))
+    assert got.groupBy("search", "page", "pos").count().filter("count > 1").count() == 0
+    assert service.calls() == sorted((s, str(p)) for s, n in {"none": 1, "short": 1, "full": 3, "long": 7}.items() for p in range(1, n + 1))
+
+
+def test_a_failed_round_is_read_again(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    inner, broken = CountedService(str(tmp_path / "calls"), SIZES, 3), tmp_path / "broken"
+    broken.write_text("x")
+
+    def fetch(request, page):
+        if page == 4 and broken.exists():
+            raise OSError("no answer")
+        return inner(request, page)
+
+    progress, target, checkpoint = (str(tmp_path / n) for n in ("progress", "target", "checkpoint"))
+
+    def started():
+        stream = stream_searches(spark, [(s, {"search": s}) for s in SIZES], fetch, 3, progress, pages_per_round=2)
+        return stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).start(target)
+
+    with pytest.raises(Exception, match="no answer"):
+        started().processAllAvailable()
+    broken.unlink()
+    query = started()
+    query.processAllAvailable()
+    query.stop()
+    ids = [r[0] for r in spark.read.parquet(target).selectExpr("get_json_object(raw_json, '$.id')").collect()]
+    assert sorted(ids) == sorted(f"{s}{i}" for s, n in SIZES.items() for i in range(n))
+
+
 def got_order():
     from pyspark.sql import functions as F
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import json
+import time
+
+from pyspark.sql import Window, functions as F
 
 from jobscape.operators import dedupe, paging, reports
+from jobscape.session import scratch_path
+from jobscape.sources import paged
 from workload.tables import table
 
 KEY = ["l_orderkey", "l_linenumber"]
@@ -99,6 +104,60 @@ def search_grid(spark, sf):
     return joined.withColumn("over_cap", F.col("total") > paging.TEST_RESULTS)
 
 
+PAGE = 10
+
+
+def _service(spark, sf):
+    """A service over the customers: a file per page of each nation and segment; a page that is not there is empty."""
+    place = Window.partitionBy("c_nationkey", "c_mktsegment").orderBy("c_custkey")
+    found = table(spark, sf, "customer").withColumn("n", F.row_number().over(place) - 1).groupBy(
+        F.concat_ws("-", "c_nationkey", "c_mktsegment").alias("search"), F.floor(F.col("n") / PAGE).alias("page")
+    ).agg(F.sort_array(F.collect_list(F.struct("n", F.col("c_custkey").alias("id")))).alias("records"))
+    folder = scratch_path(spark, "service")
+    pages = found.select("search", (F.col("page") + 1).alias("page"), F.to_json("records").alias("value"))
+    pages.write.partitionBy("search").parquet(folder)
+
+    def fetch(request, page):
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        files = [f.path for f in store.get_file_info(fs.FileSelector(f"{root}/search={request['search']}", allow_not_found=True)) if f.is_file]
+        for path in files:
+            if path.endswith(".parquet"):
+                for row in pq.read_table(path, filesystem=store, partitioning=None, filters=[("page", "=", page)]).to_pylist():
+                    return json.loads(row["value"])
+        return []
+
+    return [(f"{nation}-{segment}", {"search": f"{nation}-{segment}"}) for nation in range(25) for segment in SEGMENTS], fetch
+
+
+def _fetched(rows):
+    number = F.get_json_object("raw_json", "$.id").cast("bigint")
+    return rows.select("search", "page", "pos", number.alias("c_custkey"))
+
+
+def open_searches(spark, sf):
+    """All pages of every search, read until one is short; no total is known."""
+    searches, fetch = _service(spark, sf)
+    return _fetched(paged.read_searches(spark, searches, fetch, PAGE))
+
+
+def open_search_stream(spark, sf):
+    """The same as a stream, two pages of each search a round, stopped after the first round and started again."""
+    searches, fetch = _service(spark, sf)
+    progress, target, checkpoint = (scratch_path(spark, n) for n in ("progress", "found", "state"))
+    for first in (True, False):
+        stream = paged.stream_searches(spark, searches, fetch, PAGE, progress, pages_per_round=2)
+        query = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).start(target)
+        while first and not query.recentProgress and not query.exception():
+            time.sleep(0.1)
+        if not first:
+            query.processAllAvailable()
+        query.stop()
+    return _fetched(spark.read.parquet(target))
+
+
 def latest_batch(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     return reports.latest_batch(orders, "o_orderdate").drop("o_orderdate")
@@ -114,6 +173,8 @@ QUERIES = {
     "page_plan_small": page_plan_small,
     "page_numbers": page_numbers,
     "search_grid": search_grid,
+    "open_searches": open_searches,
+    "open_search_stream": open_search_stream,
     "latest_batch": latest_batch,
 }
 
@@ -130,7 +191,13 @@ def _ranges(source: str, key: str, size: int, cap: int) -> str:
       (SELECT {key}, total, unnest(range(0, least(total, {cap}), {size})) AS range_start FROM {source})"""
 
 
+FOUND = f"""SELECT search, CAST((n - 1) // {PAGE} + 1 AS INT) AS page, CAST((n - 1) % {PAGE} AS INT) AS pos, c_custkey FROM
+  (SELECT c_nationkey || '-' || c_mktsegment AS search, c_custkey,
+     row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS n FROM customer)"""
+
 ORACLE = {
+    "open_searches": FOUND,
+    "open_search_stream": FOUND,
     "dedupe_first": f"""SELECT {SHOWN} FROM (SELECT {COLS}, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {ASC}) AS rn
       FROM lineitem) WHERE rn = 1""",
     "upsert_last": f"""WITH ranked AS (
