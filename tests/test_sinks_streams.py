@@ -211,3 +211,46 @@ def test_required_column_stops_the_load(spark, tmp_path):
     with pytest.raises(Exception, match="null in key column"):
         daily.load_staging(spark, {"coded_offers": f"{tmp_path}/in/*.ndjson"}, "staging_q")
     spark.sql("drop database staging_q cascade")
+
+
+FETCHED = "id bigint, search_no int, page int, pos int, title string, at timestamp"
+
+
+def test_first_in_search_order_whatever_the_arrival(spark, tmp_path):
+    """Shuffled batches give the rows that the whole table would keep; answered keys leave the state."""
+    import datetime as dt
+    import random
+
+    from jobscape.operators.dedupe import keep_first
+    from jobscape.streaming.first_in_order import first_in_order_stream
+
+    rng = random.Random(3)
+    start = dt.datetime(2026, 1, 1)
+    rows = []
+    for day in range(6):
+        for n in range(40):
+            at = start + dt.timedelta(days=day, minutes=rng.randint(0, 600))
+            for _ in range(rng.randint(1, 5)):
+                search = rng.choice([0, 1, 2, None])
+                rows.append((day * 100 + n, search, rng.randint(1, 3), rng.randint(0, 9), rng.choice(["a", None]), at + dt.timedelta(minutes=rng.randint(0, 300))))
+    landing, target, state = (str(tmp_path / n) for n in ("landing", "target", "state"))
+    order = ["search_no", "page", "pos"]
+    sizes = []
+    for day in range(6):
+        batch = [r for r in rows if r[0] // 100 == day]
+        rng.shuffle(batch)
+        for part in (batch[::2], batch[1::2]):
+            spark.createDataFrame(part, FETCHED).coalesce(1).write.mode("append").parquet(landing)
+            stream = first_in_order_stream(spark.readStream.schema(FETCHED).parquet(landing), ["id"], order, "at", "1 day")
+            query = stream.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(target)
+            query.awaitTermination()
+            assert query.exception() is None
+            sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = spark.read.parquet(target)
+    whole = keep_first(spark.createDataFrame(rows, FETCHED), ["id"], order)
+    answered = {r["id"]: tuple(r[c] for c in order) for r in got.collect()}
+    assert got.count() == len(answered) and len(answered) >= 4 * 40 - 40
+    want = {r["id"]: tuple(r[c] for c in order) for r in whole.collect()}
+    assert all(want[i] == found for i, found in answered.items())
+    # A value and its timer entries for the keys of the last days, not of all.
+    assert max(sizes[-4:]) <= max(sizes[:6]) * 1.2

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from jobscape.session import scratch_path
 from jobscape.sinks.files import write_ndjson
 from jobscape.streaming import ingest, trends
+from jobscape.streaming.first_in_order import first_in_order_stream
 from workload.tables import table
 
 DELAY = "1 hour"
@@ -42,6 +43,32 @@ def stream_dedupe(spark, sf):
     return spark.read.parquet(target).select("user_id", "event_type")
 
 
+FETCHED = "event_id bigint, search_no int, page int, pos int, ts timestamp"
+BLOCK_DAYS = 8
+
+
+def stream_first_in_order(spark, sf):
+    """Events as offers that two searches of three find; the files of a few days land, shuffled, before those of the next.
+
+    Answered are the events that two delays have passed; the others are still held.
+    """
+    number = F.col("event_id")
+    events = table(spark, sf, "events").select(number, F.col("ts").cast("timestamp").alias("ts"))
+    searches = F.filter(F.array(*(F.lit(s) for s in range(3))), lambda s: (number + s) % 3 != 0)
+    found = events.withColumn("search_no", F.explode(searches)).select(
+        number, "search_no", ((number + F.col("search_no")) % 5).cast("int").alias("page"), (number % 7).cast("int").alias("pos"), "ts"
+    )
+    first = events.agg(F.min("ts")).first()[0]
+    block = F.floor((F.unix_seconds("ts") - F.unix_seconds(F.lit(first))) / (BLOCK_DAYS * 86_400))
+    landing, target, checkpoint = (scratch_path(spark, n) for n in ("landing", "first", "first-state"))
+    for n in range(4):
+        found.filter(block == n).repartition(2, F.xxhash64("event_id", "search_no")).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(FETCHED).option("maxFilesPerTrigger", 1).parquet(landing)
+        once = first_in_order_stream(stream, ["event_id"], ["search_no", "page", "pos"], "ts", f"{BLOCK_DAYS} days")
+        _finish(ingest.ingest(once, target, checkpoint))
+    return spark.read.parquet(target).drop("ts")
+
+
 LANDED = "event_id bigint, user_id bigint, value double"
 
 
@@ -72,6 +99,7 @@ def stream_upsert(spark, sf):
 QUERIES = {
     "stream_trend": stream_trend,
     "stream_dedupe": stream_dedupe,
+    "stream_first_in_order": stream_first_in_order,
     "stream_ingest": stream_ingest,
     "stream_upsert": stream_upsert,
 }
@@ -80,6 +108,9 @@ ORACLE = {
     "stream_trend": """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, CAST(count(*) AS BIGINT) AS n_rows FROM events
       GROUP BY 1, 2, CAST(ts AS DATE) HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
+    "stream_first_in_order": f"""SELECT event_id, s AS search_no, CAST((event_id + s) % 5 AS INT) AS page, CAST(event_id % 7 AS INT) AS pos FROM
+      (SELECT event_id, ts, CASE WHEN event_id % 3 <> 0 THEN 0 ELSE 1 END AS s FROM events)
+      WHERE ts + INTERVAL {BLOCK_DAYS} DAY <= (SELECT max(ts) FROM events) - INTERVAL {BLOCK_DAYS} DAY""",
     "stream_ingest": "SELECT event_id, user_id, value FROM events",
     "stream_upsert": """SELECT event_id, user_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
       FROM events) WHERE rn = 1""",
