@@ -254,3 +254,54 @@ def test_first_in_search_order_whatever_the_arrival(spark, tmp_path):
     assert all(want[i] == found for i, found in answered.items())
     # A value and its timer entries for the keys of the last days, not of all.
     assert max(sizes[-4:]) <= max(sizes[:6]) * 1.2
+
+
+def test_only_changed_buckets_are_merged(spark, tmp_path):
+    from jobscape.sinks.keyed import KeyedTable
+
+    root = str(tmp_path / "keyed")
+    table = KeyedTable(spark, root, ["id"], ["n"], buckets=8)
+    df = lambda rows: spark.createDataFrame(rows, "id int, n int, v string")
+    with pytest.raises(ValueError, match="no rows yet"):
+        table.rows()
+    want = {}
+
+    def add(number, rows):
+        table.add(df(rows), "run", number)
+        for i, n, v in sorted(rows, key=lambda r: r[1]):
+            want[i] = (i, n, v)
+
+    shown = lambda: sorted(map(tuple, table.rows().collect()))
+    add(0, [(i, 0, "a") for i in range(100)])
+    add(1, [(5, 2, "b"), (5, 1, "c"), (200, 0, "d")])
+    assert shown() == sorted(want.values())
+    assert table.compact() == list(range(8)) and table.compact() == []
+    assert shown() == sorted(want.values()) and "Exchange" not in table.rows()._jdf.queryExecution().executedPlan().toString()
+    # One key changes one bucket: the other folders may even be unreadable.
+    add(2, [(5, 3, "e")])
+    (bucket,) = table.changed()
+    for folder in (tmp_path / "keyed" / "merged" / "_v=1").glob("_bucket=*"):
+        if folder.name != f"_bucket={bucket}":
+            for file in folder.glob("part-*"):
+                file.rename(file.with_suffix(".kept"))
+                file.write_bytes(b"not parquet")
+    assert table.compact() == [bucket]
+    for file in (tmp_path / "keyed" / "merged" / "_v=1").glob("_bucket=*/*.kept"):
+        file.rename(file.with_suffix(".parquet"))
+    assert table.version()["merged"] == {str(b): 2 if b == bucket else 1 for b in range(8)}
+    assert shown() == sorted(want.values())
+    # A batch that is added again replaces itself; an old version stays as it was.
+    add(3, [(7, 9, "x"), (8, 9, "y")])
+    table.add(df([(7, 9, "z")]), "run", 3)
+    want[7], want[8] = (7, 9, "z"), (8, 0, "a")
+    assert shown() == sorted(want.values())
+    assert {r["v"] for r in table.rows(1).filter("id = 5").collect()} == {"b"}
+    with pytest.raises(ValueError, match="another run"):
+        table.add(df([(1, 1, "q")]), "other", 0)
+    table.compact()
+    table.add(df([(1, 1, "q")]), "other", 0)
+    want[1] = (1, 1, "q")
+    assert shown() == sorted(want.values())
+    with pytest.raises(ValueError, match="is keyed by id"):
+        KeyedTable(spark, root, ["v"], ["n"])
+    assert KeyedTable(spark, root, ["id"], ["n"], buckets=3).buckets == 8

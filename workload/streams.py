@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from jobscape.session import scratch_path
 from jobscape.sinks.files import write_ndjson
+from jobscape.sinks.keyed import KeyedTable, upsert_keyed_stream
 from jobscape.streaming import ingest, trends
 from jobscape.streaming.first_in_order import first_in_order_stream
 from workload.tables import table
@@ -96,15 +97,34 @@ def stream_upsert(spark, sf):
     return ingest.merged_rows(spark, root, ["user_id"], ["event_id"])
 
 
+def stream_upsert_buckets(spark, sf):
+    """The last event per user in a table of buckets, compacted between two halves of the files."""
+    folder, root, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "keyed"), scratch_path(spark, "state")
+    events = table(spark, sf, "events").select("event_id", "user_id", "value")
+    kept = KeyedTable(spark, root, ["user_id"], ["event_id"], buckets=16)
+    half = events.agg(F.avg("event_id")).first()[0]
+    for part in (events.filter(F.col("event_id") <= half), events.filter(F.col("event_id") > half)):
+        part.repartition(2).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(LANDED).parquet(folder)
+        _finish(upsert_keyed_stream(stream, kept, checkpoint))
+        kept.compact()
+    return kept.rows()
+
+
 QUERIES = {
     "stream_trend": stream_trend,
     "stream_dedupe": stream_dedupe,
     "stream_first_in_order": stream_first_in_order,
     "stream_ingest": stream_ingest,
     "stream_upsert": stream_upsert,
+    "stream_upsert_buckets": stream_upsert_buckets,
 }
 
+LAST_EVENTS = """SELECT event_id, user_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+      FROM events) WHERE rn = 1"""
+
 ORACLE = {
+    "stream_upsert_buckets": LAST_EVENTS,
     "stream_trend": """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, CAST(count(*) AS BIGINT) AS n_rows FROM events
       GROUP BY 1, 2, CAST(ts AS DATE) HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
@@ -112,6 +132,5 @@ ORACLE = {
       (SELECT event_id, ts, CASE WHEN event_id % 3 <> 0 THEN 0 ELSE 1 END AS s FROM events)
       WHERE ts + INTERVAL {BLOCK_DAYS} DAY <= (SELECT max(ts) FROM events) - INTERVAL {BLOCK_DAYS} DAY""",
     "stream_ingest": "SELECT event_id, user_id, value FROM events",
-    "stream_upsert": """SELECT event_id, user_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
-      FROM events) WHERE rn = 1""",
+    "stream_upsert": LAST_EVENTS,
 }
