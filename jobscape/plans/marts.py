@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobscape.functions.figures import salary_bounds
 from jobscape.operators.scale import first_per_key
@@ -46,6 +46,26 @@ def period_of(ts: str, unit: str = "month") -> Column:
     return F.to_date(F.date_trunc(unit, F.col(ts)))
 
 
+def place_states(
+    offers: DataFrame,
+    levels: Sequence[str],
+    ts: str,
+    employer: str,
+    permanent: Column,
+    apprentice: Column,
+    salaried: Column,
+    unit: str = "month",
+) -> DataFrame:
+    """Counts per narrowest zone, period and company: what ``places_from_states`` adds up, for all offers or those of a day."""
+    flag = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    return offers.groupBy(*levels, period_of(ts, unit).alias("period"), employer).agg(
+        F.count(F.lit(1)).alias("n"),
+        flag(permanent).alias("n_permanent"),
+        flag(apprentice).alias("n_apprentice"),
+        flag(salaried).alias("n_salaried"),
+    )
+
+
 def mart_places(
     offers: DataFrame,
     levels: Sequence[str],
@@ -63,13 +83,11 @@ def mart_places(
     Offers are first counted per narrowest zone, period and company; the levels are built
     from those counts, so raw rows are neither repeated per level nor shuffled whole.
     """
-    flag = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    base = offers.groupBy(*levels, period_of(ts, unit).alias("period"), employer).agg(
-        F.count(F.lit(1)).alias("n"),
-        flag(permanent).alias("n_permanent"),
-        flag(apprentice).alias("n_apprentice"),
-        flag(salaried).alias("n_salaried"),
-    )
+    return places_from_states(place_states(offers, levels, ts, employer, permanent, apprentice, salaried, unit), levels, employer)
+
+
+def places_from_states(base: DataFrame, levels: Sequence[str], employer: str) -> DataFrame:
+    """The table of ``mart_places`` from its counts, of one day or many together."""
     sets = [[*levels[: i + 1], "period"] for i in range(len(levels))]
     share = lambda c: F.round(F.sum(c) / F.sum("n"), 4)
     rows = base.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in [*levels, "period"]]).agg(
@@ -90,6 +108,26 @@ def mart_places(
     )
 
 
+def employer_states(offers: DataFrame, key: str, fallback: str, zone: str, sector: str, size: str) -> DataFrame:
+    """Counts per company (register key, else fallback) and zone."""
+    per_zone = offers.groupBy(F.coalesce(key, fallback).alias("employer_key"), F.col(zone).alias("zone")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(sector).alias("sector"), F.max(size).alias("size")
+    )
+    return per_zone.filter("employer_key is not null")
+
+
+def employers_from_states(states: DataFrame) -> DataFrame:
+    """The table of ``mart_employers`` from its counts, of one day or many together."""
+    per_zone = states.groupBy("employer_key", "zone").agg(F.sum("n").alias("n"), F.max("sector").alias("sector"), F.max("size").alias("size"))
+    return per_zone.groupBy("employer_key").agg(
+        F.sum("n").alias("n_offers"),
+        F.count("zone").alias("n_zones"),
+        F.array_join(F.sort_array(F.collect_list("zone")), ",").alias("zones"),
+        F.max("sector").alias("sector"),
+        F.max("size").alias("size"),
+    )
+
+
 def mart_employers(
     offers: DataFrame, key: str, fallback: str, zone: str, sector: str, size: str
 ) -> DataFrame:
@@ -97,20 +135,7 @@ def mart_employers(
 
     Rows are first counted per company and zone, so the list of zones is gathered from at
     most one row per zone."""
-    per_zone = offers.groupBy(F.coalesce(key, fallback).alias("employer_key"), zone).agg(
-        F.count(F.lit(1)).alias("n"), F.max(sector).alias("sector"), F.max(size).alias("size")
-    )
-    return (
-        per_zone.filter("employer_key is not null")
-        .groupBy("employer_key")
-        .agg(
-            F.sum("n").alias("n_offers"),
-            F.count(zone).alias("n_zones"),
-            F.array_join(F.sort_array(F.collect_list(zone)), ",").alias("zones"),
-            F.max("sector").alias("sector"),
-            F.max("size").alias("size"),
-        )
-    )
+    return employers_from_states(employer_states(offers, key, fallback, zone, sector, size))
 
 
 def offer_salaries(offers: DataFrame, label: str) -> DataFrame:
@@ -143,8 +168,8 @@ def mart_salaries(offers: DataFrame, label: str, segment: Sequence[str], company
     return figures.join(commonest, same, "left").drop(*(f"_{c}" for c in segment))
 
 
-def mart_trend(offers: DataFrame, created: str, updated: str, employer: str, unit: str = "day") -> DataFrame:
-    """Per day or week: publications, updates, companies that published.
+def trend_states(offers: DataFrame, created: str, updated: str, employer: str, unit: str = "day") -> DataFrame:
+    """Publications and updates per period and company.
 
     Both dates of an offer become rows of one stream, counted per company before the
     companies are counted, so a busy day is spread over many tasks."""
@@ -152,12 +177,37 @@ def mart_trend(offers: DataFrame, created: str, updated: str, employer: str, uni
         F.struct(period_of(created, unit).alias("period"), F.lit(1).alias("new")),
         F.struct(period_of(updated, unit).alias("period"), F.lit(0).alias("new")),
     )
-    rows = offers.select(F.col(employer).alias("_e"), F.inline(moments)).filter("period is not null")
-    per_company = rows.groupBy("period", "_e").agg(
-        F.sum("new").alias("n_new"), F.sum(1 - F.col("new")).alias("n_updated")
-    )
+    rows = offers.select(F.col(employer).alias("company"), F.inline(moments)).filter("period is not null")
+    return rows.groupBy("period", "company").agg(F.sum("new").alias("n_new"), F.sum(1 - F.col("new")).alias("n_updated"))
+
+
+def trend_from_states(states: DataFrame) -> DataFrame:
+    """The table of ``mart_trend`` from its counts, of one day or many together."""
+    per_company = states.groupBy("period", "company").agg(F.sum("n_new").alias("n_new"), F.sum("n_updated").alias("n_updated"))
     return per_company.groupBy("period").agg(
         F.sum("n_new").alias("n_published"),
         F.sum("n_updated").alias("n_updated"),
-        F.sum(F.when((F.col("n_new") > 0) & F.col("_e").isNotNull(), 1).otherwise(0)).alias("n_companies"),
+        F.sum(F.when((F.col("n_new") > 0) & F.col("company").isNotNull(), 1).otherwise(0)).alias("n_companies"),
     )
+
+
+def mart_trend(offers: DataFrame, created: str, updated: str, employer: str, unit: str = "day") -> DataFrame:
+    """Per day or week: publications, updates, companies that published."""
+    return trend_from_states(trend_states(offers, created, updated, employer, unit))
+
+
+class StoredStates:
+    """Counts kept per slice of the offers, such as the day they were extracted, under ``root``.
+
+    A new slice is counted from its own offers alone; the answer is made from the counts of all slices. A slice that is
+    added again replaces itself.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def add(self, states: DataFrame, name: str) -> None:
+        states.write.mode("overwrite").parquet(f"{self.root}/_slice={name}")
+
+    def all(self) -> DataFrame:
+        return self.spark.read.option("basePath", self.root).parquet(self.root).drop("_slice")

@@ -6,6 +6,7 @@ import os
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from jobscape import schemas
 from jobscape.plans import daily
@@ -305,3 +306,61 @@ def test_only_changed_buckets_are_merged(spark, tmp_path):
     with pytest.raises(ValueError, match="is keyed by id"):
         KeyedTable(spark, root, ["v"], ["n"])
     assert KeyedTable(spark, root, ["id"], ["n"], buckets=3).buckets == 8
+
+
+def test_a_load_checks_its_rows_in_one_pass(spark, tmp_path):
+    from jobscape.sinks.checked import load_checked
+
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    schema = "id int, kind string, n int"
+    df = spark.createDataFrame([(1, "a", 1), (2, "x", 2), (3, None, None), (None, "b", 99), (1, "a", 3)], schema).mapInArrow(counted, schema)
+    layout = "id int not null, n int not null, kind string"
+    loaded = load_checked(df, str(tmp_path / "load"), ["id"], {"kind": ["a", "b"]}, {"large, odd": F.col("n") > 50}, layout)
+    assert sorted(map(tuple, loaded.rows.collect())) == [(1, "a", 1), (1, "a", 3)] and loaded.rows.columns == df.columns
+    assert {r["id"]: r["broken"] for r in loaded.failing.collect()} == {
+        2: ["accepted:kind"], 3: ["not_null:n"], None: ["not_null:id", "large, odd"],
+    }
+    assert dict(loaded.report().collect()) == {
+        "rows": 5, "failing": 3, "not_null:id": 1, "not_null:n": 1, "accepted:kind": 1, "large, odd": 1,
+    }
+    assert [tuple(r) for r in loaded.repeated("id").collect()] == [(1, 2)]
+    assert reads.value == 5
+    nothing = load_checked(df.filter("id > 9"), str(tmp_path / "none"), ["id"])
+    assert nothing.rows.count() == 0 and nothing.counts["rows"] == 0
+
+
+def test_a_new_day_is_counted_from_its_own_offers(spark, tmp_path):
+    from jobscape.plans import marts
+
+    rows = [(i, f"2026-01-0{1 + i % 3}", f"2026-01-0{1 + i % 5}", f"e{i % 4}" if i % 6 else None, f"z{i % 2}", "s", f"t{i % 3}") for i in range(60)]
+    schema = "id int, created string, updated string, employer string, zone string, sector string, size string"
+    offers = spark.createDataFrame(rows, schema).withColumns({c: F.col(c).cast("timestamp") for c in ("created", "updated")})
+    offers.withColumn("day", F.date_format("created", "dd")).write.partitionBy("day").parquet(str(tmp_path / "offers"))
+    made = {
+        "trend": (lambda df: marts.trend_states(df, "created", "updated", "employer"), marts.trend_from_states),
+        "employers": (lambda df: marts.employer_states(df, "employer", "employer", "zone", "sector", "size"), marts.employers_from_states),
+        "places": (
+            lambda df: marts.place_states(df, ["zone"], "created", "employer", F.col("size") == "t1", F.col("id") > 3, F.lit(True)),
+            lambda states: marts.places_from_states(states, ["zone"], "employer"),
+        ),
+    }
+    for name, (states, answer) in made.items():
+        kept = marts.StoredStates(spark, str(tmp_path / name))
+        for day in ("01", "02"):
+            kept.add(states(spark.read.parquet(str(tmp_path / "offers" / f"day={day}"))), day)
+        # The other days cannot even be read while the last one is added.
+        broken = [f for d in ("01", "02") for f in (tmp_path / "offers" / f"day={d}").glob("part-*")]
+        content = [f.read_bytes() for f in broken]
+        for f in broken:
+            f.write_bytes(b"x")
+        for _ in range(2):
+            kept.add(states(spark.read.parquet(str(tmp_path / "offers" / "day=03"))), "03")
+        for f, old in zip(broken, content):
+            f.write_bytes(old)
+        assert sorted(map(repr, answer(kept.all()).collect())) == sorted(map(repr, answer(states(offers)).collect()))

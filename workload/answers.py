@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from jobscape.operators import matching, quality, reports
 from jobscape.plans import employers as emp, geo as plans_geo, marts, staging
+from jobscape.session import scratch_path
+from jobscape.sinks import checked
 from jobscape.sinks.tables import settle
 from workload.tables import (
     CODED_SQL,
@@ -191,6 +193,60 @@ def mart_trend_weekly(spark, sf):
     return rows.withColumn("period", F.date_format("period", "yyyy-MM-dd"))
 
 
+# Offers arrive in three parts, by the day they were created.
+PARTS = ("1994-01-01", "1997-01-01")
+
+
+def _parts(offers):
+    day, (first, second) = F.col("created_at"), (F.lit(d).cast("timestamp") for d in PARTS)
+    return {"a": offers.filter(day < first), "b": offers.filter((day >= first) & (day < second)), "c": offers.filter((day >= second) | day.isNull())}
+
+
+def mart_geo_stored(spark, sf):
+    """The answer by place from counts that were stored part by part."""
+    levels, kept = ["region_name", "departement_name", "commune_code"], marts.StoredStates(spark, scratch_path(spark, "place-states"))
+    for name, part in _parts(marts.with_places(staged(spark, sf), known_places(spark, sf))).items():
+        kept.add(
+            marts.place_states(
+                part, levels, "created_at", "employer_name", F.col("contract_type") == "CDI",
+                F.col("job_title").contains("Alternance"), F.col("salary_label").isNotNull(), unit="year",
+            ), name,
+        )
+    rows = marts.places_from_states(kept.all(), levels, "employer_name")
+    return rows.withColumn("period", F.date_format("period", "yyyy-MM-dd"))
+
+
+def mart_trend_stored(spark, sf):
+    """The trend from counts that were stored part by part; an offer is updated in a later part than it was created in."""
+    kept = marts.StoredStates(spark, scratch_path(spark, "trend-states"))
+    for name, part in _parts(staged(spark, sf)).items():
+        kept.add(marts.trend_states(part, "created_at", "updated_at", "employer_name"), name)
+    rows = marts.trend_from_states(kept.all())
+    return rows.withColumn("period", F.date_format("period", "yyyy-MM-dd"))
+
+
+def load_failing(spark, sf):
+    """Line items loaded with their checks: the rows that broke a rule, and which."""
+    return _line_load(spark, sf).failing.select("l_orderkey", "l_linenumber", "l_partkey", F.array_join("broken", ",").alias("broken"))
+
+
+def load_counts(spark, sf):
+    """The numbers of the same load, observed while it was written."""
+    return _line_load(spark, sf).report()
+
+
+def _lines(spark, sf):
+    discount = F.when(F.col("l_discount") < 0.09, F.col("l_discount"))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity", discount.alias("l_discount"))
+
+
+def _line_load(spark, sf):
+    return checked.load_checked(
+        _lines(spark, sf), scratch_path(spark, "load"), not_null=["l_discount", "l_orderkey"],
+        accepted={"l_returnflag": ["A", "N"]}, rules={"large": F.col("l_quantity") > 45},
+    )
+
+
 def accepted_values(spark, sf):
     return quality.check_accepted_values(table(spark, sf, "lineitem"), "l_returnflag", ["A", "N"])
 
@@ -258,6 +314,10 @@ QUERIES = {
     "mart_salaries_by_company": mart_salaries_by_company,
     "mart_trend": mart_trend,
     "mart_trend_weekly": mart_trend_weekly,
+    "mart_geo_stored": mart_geo_stored,
+    "mart_trend_stored": mart_trend_stored,
+    "load_failing": load_failing,
+    "load_counts": load_counts,
     "accepted_values": accepted_values,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
@@ -386,3 +446,15 @@ ORACLE = {
     ),
     "sample_non_null": "SELECT doc_id, quality FROM labels ORDER BY doc_id LIMIT 5",
 }
+ORACLE |= {
+    "mart_geo_stored": ORACLE["mart_geo"],
+    "mart_trend_stored": ORACLE["mart_trend"],
+    "load_failing": """SELECT l_orderkey, l_linenumber, l_partkey, concat_ws(',', CASE WHEN l_discount >= 0.09 THEN 'not_null:l_discount' END,
+        CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'accepted:l_returnflag' END, CASE WHEN l_quantity > 45 THEN 'large' END) AS broken
+      FROM lineitem WHERE l_discount >= 0.09 OR l_returnflag NOT IN ('A', 'N') OR l_quantity > 45""",
+    "load_counts": """SELECT 'rows' AS "check", count(*) AS n_rows FROM lineitem
+      UNION ALL SELECT 'failing', count(*) FROM lineitem WHERE l_discount >= 0.09 OR l_returnflag NOT IN ('A', 'N') OR l_quantity > 45
+      UNION ALL SELECT 'not_null:l_discount', count(*) FROM lineitem WHERE l_discount >= 0.09
+      UNION ALL SELECT 'not_null:l_orderkey', 0 UNION ALL SELECT 'accepted:l_returnflag', count(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')
+      UNION ALL SELECT 'large', count(*) FROM lineitem WHERE l_quantity > 45""",
+}
