@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F, types as T
 
 from jobscape.schemas import struct_of
 from jobscape.sources.json_lists import BLOCK_BYTES, parsed_items, read_json_items
@@ -34,12 +34,36 @@ def read_ndjson(
     return _checked(checked, schema)
 
 
-def read_ndjson_checked(spark: SparkSession, path: str, layout: str | T.StructType) -> DataFrame:
+def read_ndjson_checked(spark: SparkSession, path: str, layout: str | T.StructType, before: bool = False) -> DataFrame:
     """Like ``read_ndjson``, with every line read whole and required to be one JSON object;
-    the error names the file and shows the line. Slower: no key can be left unread."""
+    the error names the file and shows the line. Slower: no key can be left unread.
+
+    With ``before`` the lines are checked at once, before anything is read from the result, and the error also tells
+    the number of the first bad line.
+    """
+    if before:
+        bad = bad_lines(spark, path, layout).orderBy("source_file", "line_number").limit(1).collect()
+        if bad:
+            raise ValueError(f"malformed line in {bad[0]['source_file']}:{bad[0]['line_number']}: {bad[0]['raw_json'][:200]}")
     return _checked(raw_lines(spark, path), struct_of(layout))
 
 
+def bad_lines(spark: SparkSession, path: str, layout: str | T.StructType) -> DataFrame:
+    """(source_file, line_number, raw_json) of every line that is no JSON object of the layout; blank lines count, but are not bad.
+
+    A line's number is that of the lines in the blocks of its file before, counted apart, and its place in its own
+    block; so files are numbered in many tasks, and no line is moved for it.
+    """
+    numbered = _all_lines(spark.read, path)
+    block = ["source_file", "block_start"]
+    blocks = numbered.groupBy(*block).agg(F.count(F.lit(1)).alias("n"), F.min("line_in_task").alias("first"))
+    earlier = F.sum("n").over(Window.partitionBy("source_file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1))
+    placed = blocks.select(*block, "first", F.coalesce(earlier, F.lit(0)).alias("earlier"))
+    parsed = numbered.filter("raw_json <> ''").withColumn("r", _permissive(F.col("raw_json"), struct_of(layout)))
+    number = F.col("earlier") + F.col("line_in_task") - F.col("first") + 1
+    return parsed.filter(~_is_good("r")).join(placed, block).select("source_file", number.alias("line_number"), "raw_json")
+
+
 def _checked(lines: DataFrame, schema: T.StructType) -> DataFrame:
     parsed = lines.withColumn("r", _permissive(F.col("raw_json"), schema))
     complaint = F.concat(F.lit("malformed line in "), "source_file", F.lit(": "), F.left("raw_json", F.lit(200)))
@@ -74,15 +98,15 @@ def raw_lines(spark: SparkSession, path: str, pattern: str | None = None) -> Dat
     are read in several blocks.
     """
     reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
-    return (
-        reader.text(path)
-        .select(
-            F.col("_metadata.file_name").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("line_in_task"),
-            F.trim("value").alias("raw_json"),
-        )
-        .filter("raw_json <> ''")
+    return _all_lines(reader, path).filter("raw_json <> ''")
+
+
+def _all_lines(reader: DataFrameReader, path: str) -> DataFrame:
+    return reader.text(path).select(
+        F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line_in_task"),
+        F.trim("value").alias("raw_json"),
     )
 
 
