@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` as a task that gives memory back when it ends: the same worker serves stage after stage."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return task
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string or binary column and the bounds of its rows; null rows are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -113,7 +130,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
             texts = [pack.compress(t or b"") for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(texts, pa.binary())], names=[*others, "packed"])
 
-    return docs.select(*others, "text").mapInArrow(run, f"{kinds}, packed binary")
+    return docs.select(*others, "text").mapInArrow(tidy(run), f"{kinds}, packed binary")
 
 
 class _Places(dict):

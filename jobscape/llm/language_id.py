@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from jobscape.llm.common import chunks
+from jobscape.llm.common import chunks, tidy
 
 UNKNOWN = "und"
 BLOCK = 512
@@ -207,4 +207,4 @@ def identify(docs: DataFrame, model: tuple[tuple[str, str], ...], carried: tuple
 
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double{kinds}")
+    return rows.mapInArrow(tidy(predict), f"doc_id {kind}, held_out boolean, lang_pred string, score double{kinds}")

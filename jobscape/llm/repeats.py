@@ -34,7 +34,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from jobscape.llm.common import chunks, mixed, packed_texts, powers, spans, text_bytes
+from jobscape.llm.common import chunks, mixed, packed_texts, powers, spans, text_bytes, tidy
 from jobscape.sinks.tables import settle
 
 WINDOW, GRAM = 100, 32
@@ -138,7 +138,7 @@ def anchors(docs: DataFrame) -> DataFrame:
         if held:
             yield _settled(held)
 
-    return docs.mapInArrow(run, RECORD)
+    return docs.mapInArrow(tidy(run), RECORD)
 
 
 def _settled(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
@@ -197,7 +197,7 @@ def sorted_out(rows: DataFrame) -> DataFrame:
             last = (gram[h], around[h], doc[h], place[h], bool(beside[-1]) or bool(carried and h == 0 and last[4]))
 
     ordered = rows.repartition(F.coalesce("gram", F.xxhash64("doc"))).sortWithinPartitions("gram", "around", "doc", "place")
-    return ordered.mapInArrow(run, "gram long, doc long, place long")
+    return ordered.mapInArrow(tidy(run), "gram long, doc long, place long")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -322,7 +322,7 @@ def small_bucket_marks(contexts: DataFrame) -> DataFrame:
                 out = []
         yield _marks(out)
 
-    return contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, MARK)
+    return contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(tidy(run), MARK)
 
 
 def large_bucket_marks(contexts: DataFrame) -> DataFrame:
@@ -343,7 +343,7 @@ def large_bucket_marks(contexts: DataFrame) -> DataFrame:
                 names=["window", "doc", "start"],
             )
 
-    windows = settle(contexts.select("doc", "place", "around").mapInArrow(run, "window long, doc long, start long"), "windows")
+    windows = settle(contexts.select("doc", "place", "around").mapInArrow(tidy(run), "window long, doc long, start long"), "windows")
     firsts = windows.groupBy("window").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     later = windows.join(settle(firsts.drop("n"), "first-windows"), "window").filter(F.struct("doc", "start") != F.col("first"))
     return later.select("doc", "start", (F.col("start") + WINDOW).alias("end"))
@@ -367,7 +367,7 @@ def _joined(marks: DataFrame) -> DataFrame:
                 [pa.array(doc[head]), pa.array(start[head]), pa.array(reach[last] - shift[last])], names=["doc", "start", "end"]
             )
 
-    return marks.repartition("doc").sortWithinPartitions("doc", "start").mapInArrow(run, MARK)
+    return marks.repartition("doc").sortWithinPartitions("doc", "start").mapInArrow(tidy(run), MARK)
 
 
 def _contexts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
@@ -390,7 +390,7 @@ def _contexts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["gram", "doc", "place", "around"])
 
     joined = packed_texts(docs).join(lists, "doc").select("doc", "packed", "wanted")
-    return joined.mapInArrow(run, "gram long, doc long, place long, around binary")
+    return joined.mapInArrow(tidy(run), "gram long, doc long, place long, around binary")
 
 
 def repeated_marks(docs: DataFrame, limit: int = 4096) -> DataFrame:
@@ -442,7 +442,7 @@ def _cut(docs: DataFrame, limit: int, whole_characters: bool) -> DataFrame:
             )
 
     joined = packed_texts(docs).join(lists, "doc", "left").select(*others, "packed", "marks")
-    return joined.mapInArrow(run, f"{kinds}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    return joined.mapInArrow(tidy(run), f"{kinds}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
 
 def _whole(text: bytes, a: int, b: int) -> tuple[int, int]:

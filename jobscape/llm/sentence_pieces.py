@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobscape.llm.common import WordIds, chunks
+from jobscape.llm.common import WordIds, chunks, tidy
 
 MARK = "▁"
 SHIFT = 21  # a code point or a piece number plus the vocabulary size fits in so many bits
@@ -231,7 +231,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str | Column =
             yield pa.RecordBatch.from_arrays([batch.column("key"), _lists(flat, sizes)], names=["key", "ids"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    return rows.mapInArrow(tidy(run), f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
 def encode_and_decode(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
@@ -247,7 +247,7 @@ def encode_and_decode(docs: DataFrame, path: str, key: str = "doc_id") -> DataFr
             )
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)
+    return rows.mapInArrow(tidy(run), f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)
 
 
 def _texts(pieces: Pieces, flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -277,4 +277,4 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", step: int = 500_0
                 start = end
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)
+    return rows.mapInArrow(tidy(run), f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)
