@@ -15,6 +15,9 @@ The benchmark is cut into blocks of at most about ``block_bytes`` of text, each
 the documents; items longer than ``PIECE`` characters are cut into overlapping pieces. A benchmark of any size is so
 searched with bounded memory, and documents are never shuffled, so copies and frequent passages meet nowhere.
 
+Items of fewer than ``SEED_WORDS`` words have no seed of their own: they are looked for whole, by the hash of all their
+words, and every word must be equal.
+
 Rules: null or empty texts on either side match nothing; items of fewer than ``MIN_WORDS`` words are no evidence and
 are left out; repeated items each match, repeated documents each answer; documents without doc_id answer with null.
 """
@@ -27,11 +30,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from jobscape.llm.common import chunks, lower_ascii, mixed, spans, text_bytes, word_hashes
+from jobscape.llm.common import chunks, lower_ascii, mixed, spans, text_bytes, tidy, word_hashes
 
 # Places of a seed's words that count (1) and that may differ (0). Fixed values.
 MASKS = ("1101011", "11001011", "101100011")
-LEAST, SHORT_SHARE, MIN_WORDS = 10, 0.8, 8
+LEAST, SHORT_SHARE, SEED_WORDS, MIN_WORDS = 10, 0.8, 8, 4
+# Seeds of whole short items.
+WHOLE = tuple("1" * n for n in range(MIN_WORDS, SEED_WORDS))
 EQUAL, CHANGED = 10, -19
 PIECE, PIECE_OVERLAP = 60_000, 4_000
 FILTER_BITS = 22
@@ -51,18 +56,18 @@ def _words(column: pa.Array) -> tuple[np.ndarray, ...]:
     return hashes, starts - bounds[row], ends - bounds[row], row
 
 
-def _seeds(hashes: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each mask: the hashes of its seeds and where they start. Seeds stay within a row."""
-    for k, mask in enumerate(MASKS):
+def _seeds(hashes: np.ndarray, row: np.ndarray, whole: set[int]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """For each mask, those of ``whole`` lengths too: the hashes of its seeds and where they start. Seeds stay within a row."""
+    for k, mask in enumerate(MASKS + WHOLE):
         n = len(hashes) - len(mask) + 1
-        if n < 1:
+        if n < 1 or (mask in WHOLE and len(mask) not in whole):
             continue
         total = np.full(n, k + 1, np.uint64)
         for place, care in enumerate(mask):
             if care == "1":
                 total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[place : place + n]
         at = np.flatnonzero(row[:n] == row[len(mask) - 1 :])
-        yield mixed(total[at]), at
+        yield mask, mixed(total[at]), at
 
 
 class Index:
@@ -72,12 +77,15 @@ class Index:
         self.hashes, _, _, row = _words(pa.array(texts, pa.string()))
         counts = np.bincount(row, minlength=len(texts))
         self.counts, self.starts = counts, np.cumsum(counts) - counts
-        found = [(h, at) for h, at in _seeds(self.hashes, row)]
+        self.whole = {n for n in set(counts.tolist()) if MIN_WORDS <= n < SEED_WORDS}
+        found = []
+        for mask, h, at in _seeds(self.hashes, row, self.whole):
+            use = counts[row[at]] == len(mask) if mask in WHOLE else counts[row[at]] >= SEED_WORDS
+            found.append((h[use], at[use]))
         seeds = np.concatenate([h for h, _ in found]) if found else np.zeros(0, np.uint64)
         at = np.concatenate([at for _, at in found]) if found else np.zeros(0, np.int64)
-        use = counts[row[at]] >= MIN_WORDS if len(at) else np.zeros(0, np.bool_)
-        order = np.argsort(seeds[use], kind="stable")
-        self.seeds, self.at = seeds[use][order], at[use][order]
+        order = np.argsort(seeds, kind="stable")
+        self.seeds, self.at = seeds[order], at[order]
         self.item = row[self.at] if len(self.at) else self.at
         self.maybe = np.zeros(1 << FILTER_BITS, np.bool_)
         self.maybe[self.seeds >> np.uint64(64 - FILTER_BITS)] = True
@@ -85,7 +93,7 @@ class Index:
     def hits(self, hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (item, place of the item's first word in the flat words) proposed by equal seeds."""
         out = []
-        for seeds, at in _seeds(hashes, row):
+        for _, seeds, at in _seeds(hashes, row, self.whole):
             near = np.flatnonzero(self.maybe[seeds >> np.uint64(64 - FILTER_BITS)])
             left = np.searchsorted(self.seeds, seeds[near], "left")
             count = np.searchsorted(self.seeds, seeds[near], "right") - left
@@ -106,7 +114,8 @@ class Index:
         last = int(np.argmax(total - lowest))
         start = int(np.argmin(np.concatenate(([0], total[: last + 1]))[: last + 1]))
         matched = int(equal[start : last + 1].sum())
-        if matched >= min(LEAST, int(np.ceil(SHORT_SHARE * self.counts[item]))):
+        n = int(self.counts[item])
+        if matched >= (n if n < SEED_WORDS else min(LEAST, int(np.ceil(SHORT_SHARE * n)))):
             return begin + start, begin + last + 1, matched
         return None
 
@@ -158,4 +167,4 @@ def _search(rows: DataFrame, item_ids: list[int], texts: list[str], carried: tup
 
     kinds = "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in carried)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, item_id long, byte_start long, byte_end long, words long, matched long{kinds}")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, item_id long, byte_start long, byte_end long, words long, matched long{kinds}")

@@ -12,7 +12,7 @@ def corpus():
     rng = random.Random(8)
     words = [f"w{i}" for i in range(3000)]
     some = lambda n: [rng.choice(words) for _ in range(n)]
-    items = [some(rng.randint(12, 60)) for _ in range(20)] + [some(9), some(5)]
+    items = [some(rng.randint(12, 60)) for _ in range(20)] + [some(9), some(5), some(3)]
     docs, want = [], set()
     for i in range(120):
         body = some(rng.randint(0, 200))
@@ -27,7 +27,10 @@ def corpus():
         docs.append((i, " ".join(body)))
     docs.append((500, " ".join(items[20])))
     want.add((500, 20))
-    docs.append((501, " ".join(items[21])))
+    # A short item counts whole only, and below MIN_WORDS not at all.
+    docs.append((501, " ".join(some(3) + items[21] + some(3))))
+    want.add((501, 21))
+    docs.append((502, " ".join(items[21][:4] + ["changed"] + items[22])))
     return docs, [(k, " ".join(w)) for k, w in enumerate(items)], want
 
 
@@ -49,7 +52,8 @@ def brute(docs, items):
                         if score <= 0:
                             score = matched = 0
                         best = max(best, matched) if same else best
-                if best >= min(dc.LEAST, -(-int(dc.SHORT_SHARE * 10) * len(own) // 10)):
+                least = min(dc.LEAST, -(-int(dc.SHORT_SHARE * 10) * len(own) // 10))
+                if best >= (len(own) if len(own) < dc.SEED_WORDS else least):
                     found.add((i, k))
     return found
 
