@@ -4,7 +4,8 @@ Two passes over the pages. The first hashes every block element (its tag, its te
 on how many different pages of a host each hash occurs. Subtrees on at least ``min_pages`` pages and ``share`` of the
 host's pages are its template; copies of one page count once in both. Digits count as alike outside the article. The second pass takes the text of each page
 without them, and without what its markup names as something else than the article: menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments.
+sidebars, notices, adverts, forms, scripts, styles, reader comments. Outside an article one such word in a class or id is
+enough; inside, a whole class or id must consist of them (and of words for boxes), as ``share-price`` names no sharing.
 
 The article is the outermost ``article`` elements, else ``main``, else the whole body; it chooses among what the
 template leaves. Inside ``article`` subtrees are counted apart, over different texts of articles, so what copied
@@ -37,10 +38,11 @@ TOKEN = re.compile(
 )
 # Element kinds. Fixed values of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-OPAQUE = frozenset("script style title textarea noscript iframe xmp noembed noframes template svg math object canvas audio video".split())
+OPAQUE = frozenset("script style title textarea noscript iframe xmp noembed noframes template svg object canvas audio video".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter nobr q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr img picture".split()
+    "small span strike strong sub sup time tt u var wbr img picture "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mspace semantics".split()
 )
 # Starting one of the keys ends an open element of the values.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -50,12 +52,20 @@ SCOPES = frozenset("ul ol dl table article section div body main nav aside heade
 # What is never the article: by element, by role, by the words of class and id.
 ASIDE = frozenset("nav footer aside form button select dialog menu head fieldset input".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert|adverts|advertisement|adsense|sponsor|sponsored|promo|promotion|menu|nav|navbar|navigation|breadcrumbs?|"
-    r"sidebar|side|footer|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|"
-    r"share|sharing|social|related|recommended|comments?|commentlist|disqus|respond|widget|login|signup|search|pagination|pager|skip)"
-    r"(?:$|[\s_-])",
-    re.I,
+OTHER_PARTS = (
+    "ad ads advert adverts advertisement adsense sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs "
+    "sidebar side footer cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription "
+    "share sharing social related recommended comment comments commentlist disqus respond widget login signup search pagination pager skip"
+).split()
+# Words that say nothing of what a part holds.
+HOLDERS = (
+    "area articles banner bar block bottom box btn button buttons card container form group holder icons inner item items left link links "
+    "list module outer panel posts right row section slot stories top unit wrap wrapper"
+).split()
+NAMED = re.compile(rf"(?:^|[\s_-])(?:{'|'.join(OTHER_PARTS)})(?:$|[\s_-])", re.I)
+# Inside an article a name counts only when all its words say so: "related-posts", but not "related-work".
+NAMED_INSIDE = re.compile(
+    rf"(?:^|\s)(?:(?:{'|'.join(HOLDERS)})[_-])*(?:{'|'.join(OTHER_PARTS)})(?:[_-](?:{'|'.join(OTHER_PARTS + HOLDERS)}))*(?:$|\s)", re.I
 )
 OUTSIDE_NAMED = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|toolbar|banner|logo)(?:$|[\s_-])", re.I)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
@@ -75,7 +85,9 @@ def _elsewhere(tag: str, attributes: str, in_article: bool) -> bool:
     names = f"{values.get('class', '')} {values.get('id', '')}"
     if not names.strip() or tag in ("html", "body", "article", "main") and "comment" not in names.lower():
         return False
-    return bool(NAMED.search(names) or not in_article and OUTSIDE_NAMED.search(names))
+    if in_article:
+        return bool(NAMED_INSIDE.search(names))
+    return bool(NAMED.search(names) or OUTSIDE_NAMED.search(names))
 
 
 class _Open:

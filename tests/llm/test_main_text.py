@@ -85,3 +85,21 @@ def test_unnamed_boxes_inside_the_article(spark):
 
 def test_no_pages(spark):
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("part", "stays"),
+    [
+        ("<p class='share-price'>word</p>", True),
+        ("<section id='side-effects'><p>word</p></section>", True),
+        ("<table class='related-work'><tr><td>word</td></tr></table>", True),
+        ("<p class='alert-level note'>word</p>", True),
+        ("<p>a <math><mi>word</mi></math></p>", True),
+        ("<div class='share-buttons'>word</div>", False),
+        ("<ul class='x related_posts'><li>word</li></ul>", False),
+        ("<div id='box-promo'>word</div>", False),
+    ],
+)
+def test_names_inside_an_article_count_whole_only(part, stays):
+    text = main_text(f"<body><article><p>first</p>{part}<p>last</p></article></body>", frozenset())
+    assert ("word" in text) is stays and text.startswith("first") and text.endswith("last")
