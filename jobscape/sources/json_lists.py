@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 16 << 20
 MORE_BYTES = 1 << 20
-QUOTE, BACKSLASH, COLON = ord('"'), ord("\\"), ord(":")
+QUOTE, BACKSLASH = ord("\""), ord("\\")
 OPEN, CLOSE = b"{[", b"}]"
 BETWEEN = b" \t\r\n,"
 
