@@ -37,6 +37,53 @@ def stg_offer_slice(spark, sf):
     return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("created_at", "updated_at")})
 
 
+def full_offers(spark, sf):
+    """Line items as offers with every field the staged slices read; some texts are blank or padded."""
+    part, supplier, line = text("l_partkey"), text("l_suppkey"), text("l_linenumber")
+    blank = lambda when, value: F.when(when, F.lit("  ")).otherwise(F.concat(F.lit(" "), value, F.lit("\t")))
+    even, small = F.col("l_suppkey") % 2 == 0, F.col("l_quantity") < 10
+    return (
+        table(spark, sf, "lineitem").select(
+            F.concat_ws("-", text("l_orderkey"), line, part, supplier, F.date_format("l_shipdate", "yyyyMMdd"), text("l_tax")).alias("id"),
+            F.concat(F.lit("Poste "), part).alias("intitule"), blank(small, part).alias("description"),
+            F.concat(F.lit("M"), supplier).alias("romeCode"), blank(even, supplier).alias("romeLibelle"), F.col("l_returnflag").alias("appellationlibelle"),
+            F.col("l_shipdate").alias("dateCreation"), F.date_add("l_shipdate", 3).alias("dateActualisation"),
+            F.col("l_linestatus").alias("typeContrat"), blank(~even, F.col("l_linestatus")).alias("typeContratLibelle"), F.lit("E1").alias("natureContrat"),
+            line.alias("qualificationCode"), blank(small, line).alias("qualificationLibelle"), F.lit("D").alias("experienceExige"),
+            F.concat(line, F.lit(" an(s)")).alias("experienceLibelle"), (F.col("l_returnflag") == "A").alias("alternance"),
+            F.col("l_linenumber").cast("int").alias("nombrePostes"),
+            F.struct(
+                F.concat(F.lit("Lieu "), supplier).alias("libelle"), F.lpad(supplier, 5, "0").alias("codePostal"), blank(even, supplier).alias("commune"),
+                F.col("l_quantity").cast("double").alias("latitude"), F.when(even, F.col("l_quantity").cast("double")).alias("longitude"),
+            ).alias("lieuTravail"),
+            F.struct(blank(small, part).alias("nom"), part.alias("description"), even.alias("entrepriseAdaptee")).alias("entreprise"),
+            F.col("l_returnflag").alias("codeNAF"), F.right(supplier, F.lit(2)).alias("secteurActivite"), F.col("l_linestatus").alias("secteurActiviteLibelle"),
+            F.when(small, "0 salarié").alias("trancheEffectifEtab"),
+            F.struct(
+                F.when(even, F.concat(F.lit("Annuel de "), part)).alias("libelle"), blank(small, line).alias("commentaire"),
+                F.when(F.col("l_returnflag") == "A", "Primes").alias("complement1"), F.lit("").alias("complement2"),
+            ).alias("salaire"),
+        )
+    )
+
+
+def stg_offers_full(spark, sf):
+    rows = staging.stg_offers(full_offers(spark, sf))
+    return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("created_at", "updated_at")})
+
+
+def stg_locations_full(spark, sf):
+    return staging.stg_locations(full_offers(spark, sf))
+
+
+def stg_employers_full(spark, sf):
+    return staging.stg_employers(full_offers(spark, sf))
+
+
+def stg_salaries_full(spark, sf):
+    return staging.stg_salaries(full_offers(spark, sf))
+
+
 def stg_location_slice(spark, sf):
     return staging.stg_locations(coded_offers(spark, sf), LOCATION)
 
@@ -294,6 +341,10 @@ def sample_non_null(spark, sf):
 QUERIES = {
     "stg_offers": stg_offer_slice,
     "stg_locations": stg_location_slice,
+    "stg_offers_full": stg_offers_full,
+    "stg_locations_full": stg_locations_full,
+    "stg_employers_full": stg_employers_full,
+    "stg_salaries_full": stg_salaries_full,
     "staged_communes": staged_communes,
     "staged_postal_codes": staged_postal_codes,
     "register_search_results": register_search_results,
@@ -458,3 +509,26 @@ ORACLE |= {
       UNION ALL SELECT 'not_null:l_orderkey', 0 UNION ALL SELECT 'accepted:l_returnflag', count(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')
       UNION ALL SELECT 'large', count(*) FROM lineitem WHERE l_quantity > 45""",
 }
+FULL = """f AS (SELECT *, CAST(l_partkey AS VARCHAR) AS part, CAST(l_suppkey AS VARCHAR) AS sup, CAST(l_linenumber AS VARCHAR) AS line,
+    l_suppkey % 2 = 0 AS even, l_quantity < 10 AS small FROM lineitem),
+  k AS (SELECT *, concat_ws('-', l_orderkey, line, part, sup, strftime(l_shipdate, '%Y%m%d'), CAST(l_tax AS VARCHAR)) AS offer_id FROM f)"""
+ORACLE |= {
+    "stg_offers_full": f"""WITH {FULL} SELECT offer_id, 'Poste ' || part AS job_title, CASE WHEN NOT small THEN part END AS job_description,
+      'M' || sup AS rome_code, CASE WHEN NOT even THEN sup END AS rome_label, l_returnflag AS appellation_label,
+      strftime(l_shipdate, '%Y-%m-%d') AS created_at, strftime(CAST(l_shipdate AS DATE) + 3, '%Y-%m-%d') AS updated_at,
+      l_linestatus AS contract_type, CASE WHEN even THEN l_linestatus END AS contract_type_label, 'E1' AS contract_nature,
+      line AS qualification_code, CASE WHEN NOT small THEN line END AS qualification_label, 'D' AS experience_required_code,
+      line || ' an(s)' AS experience_required_label, l_returnflag = 'A' AS is_alternance, CAST(l_linenumber AS INT) AS post_count FROM k""",
+    "stg_locations_full": f"""WITH {FULL} SELECT offer_id, 'Lieu ' || sup AS workplace_label, lpad(sup, 5, '0') AS postal_code,
+      CASE WHEN NOT even THEN sup END AS commune_code, CAST(l_quantity AS DOUBLE) AS latitude,
+      CASE WHEN even THEN CAST(l_quantity AS DOUBLE) END AS longitude FROM k""",
+    "stg_employers_full": f"""WITH {FULL} SELECT offer_id, CASE WHEN NOT small THEN part END AS employer_name, part AS employer_description,
+      l_returnflag AS naf_code, right(sup, 2) AS activity_sector_code, l_linestatus AS activity_sector_label,
+      CASE WHEN small THEN '0 salarié' END AS employee_size_range, even AS is_adapted_company FROM k""",
+    "stg_salaries_full": f"""WITH {FULL}, x AS (SELECT offer_id, CASE WHEN even THEN 'Annuel de ' || part END AS salary_label,
+        CASE WHEN NOT small THEN line END AS salary_comment, CASE WHEN l_returnflag = 'A' THEN 'Primes' END AS salary_extra_1,
+        CAST(NULL AS VARCHAR) AS salary_extra_2 FROM k)
+      SELECT *, nullif(concat_ws(' | ', salary_label, salary_comment, salary_extra_1, salary_extra_2), '') AS salary_raw_text,
+        CASE WHEN salary_label IS NOT NULL THEN 'label' WHEN coalesce(salary_comment, salary_extra_1) IS NOT NULL THEN 'text' ELSE 'none' END
+          AS salary_quality_flag FROM x""",
+}
