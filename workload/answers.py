@@ -170,14 +170,15 @@ PLACE = ["commune_code", "naf_code"]
 
 
 def enriched(spark, sf):
-    """Offers with place and employer; the register stand-in lists a company per part, where its first supplier is."""
+    """Offers with place and employer; the register stand-in lists a branch of each part's company where its suppliers
+    are, but in every tenth place none."""
     s = staged(spark, sf).withColumn("postal_code", F.col("commune_code"))
     found = settle(matching.employer_candidates(s, "employer_name", ["postal_code", *PLACE]), "candidates")
-    register = table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.min("l_suppkey").alias("place")).select(
-        F.lpad(text("l_partkey"), 14, "0").alias("siret"),
-        F.lpad(text("l_partkey"), 9, "0").alias("siren"),
-        F.concat(F.lit("SOCIETE "), text("l_partkey"), F.lit(" SA")).alias("legal_name"),
-        text("place").alias("postal_code"),
+    branches = table(spark, sf, "lineitem").filter(F.col("l_suppkey") % 10 != 0).select("l_partkey", "l_suppkey").distinct()
+    siren = F.lpad(text("l_partkey"), 9, "0")
+    register = branches.select(
+        F.concat(siren, F.lpad(text("l_suppkey"), 5, "0")).alias("siret"), siren.alias("siren"),
+        F.concat(F.lit("SOCIETE "), text("l_partkey"), F.lit(" SA")).alias("legal_name"), text("l_suppkey").alias("postal_code"),
     )
     by_name = matching.match_employers(found, register)
     kept = settle(
@@ -386,8 +387,8 @@ NAMED = """placed AS (SELECT o.*, c.nom AS commune_name, CAST(n.n_nationkey AS V
   FROM offers o LEFT JOIN communes c ON c.code = o.commune LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = c.dep
   LEFT JOIN region r ON CAST(r.r_regionkey AS VARCHAR) = c.reg LEFT JOIN region e ON 'E' || CAST(e.r_regionkey AS VARCHAR) = c.epci)"""
 PLACED = f"WITH {COMMUNES_SQL}, {CODED_SQL}, {NAMED}"
-MAPPED = f"""{PLACED}, listed AS (SELECT lpad(CAST(l_partkey AS VARCHAR), 14, '0') AS siret, 'SOCIETE ' || l_partkey AS name,
-    CAST(min(l_suppkey) AS VARCHAR) AS place FROM lineitem GROUP BY l_partkey),
+MAPPED = f"""{PLACED}, listed AS (SELECT DISTINCT lpad(CAST(l_partkey AS VARCHAR), 9, '0') || lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS siret,
+    'SOCIETE ' || l_partkey AS name, CAST(l_suppkey AS VARCHAR) AS place FROM lineitem WHERE l_suppkey % 10 <> 0),
   asked AS (SELECT DISTINCT replace(employer_name, 'Société', 'SOCIETE') AS name, commune FROM offers WHERE employer_name IS NOT NULL),
   near AS (SELECT a.name, a.commune, l.siret,
       row_number() OVER (PARTITION BY a.name, a.commune ORDER BY levenshtein(a.name, l.name), l.siret) AS rn
@@ -452,7 +453,7 @@ ORACLE = {
         LEVEL.format(level="departement_name", zones="region_name, departement_name, CAST(NULL AS VARCHAR) AS commune_code", group="region_name, departement_name"),
         LEVEL.format(level="commune_code", zones="region_name, departement_name, commune AS commune_code", group="region_name, departement_name, commune"),
     ]),
-    "mart_employers": f"""{MAPPED}, z AS (SELECT coalesce(right(siret, 9), employer_name) AS employer_key, departement_code AS zone,
+    "mart_employers": f"""{MAPPED}, z AS (SELECT coalesce(left(siret, 9), employer_name) AS employer_key, departement_code AS zone,
         count(*) AS n, max(industry_label) AS sector, max(naf_code) AS size FROM full_rows
         WHERE coalesce(siret, employer_name) IS NOT NULL GROUP BY 1, 2)
       SELECT employer_key, CAST(sum(n) AS BIGINT) AS n_offers, CAST(count(zone) AS BIGINT) AS n_zones,
