@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobscape.functions import figures
 from jobscape.functions.html import attribute, html_select, mentions, of_rule
 from jobscape.functions.text import _col
+from jobscape.operators.scale import spread
 
 # Labels a company page is read for, where they stand, and the marks a
 # page must hold to be worth reading.
@@ -129,7 +130,8 @@ def _impact(e: str, as_of: dt.date) -> Column:
 
 
 def _elements(pages: DataFrame, page: str, html: str) -> DataFrame:
-    read = pages.filter(mentions(html, *MARKS))
+    # Walking a page costs far more than its bytes tell, so the pages of one file are shared out among many tasks.
+    read = spread(pages.select(page, html).filter(mentions(html, *MARKS)), page, html)
     return read.select(page, html_select(html, SELECTORS).alias("e"))
 
 
@@ -152,7 +154,7 @@ def impact_scores(pages: DataFrame, as_of: dt.date, page: str = "page_id", html:
 def company_sheet(pages: DataFrame, as_of: dt.date, page: str = "page_id", html: str = "html") -> DataFrame:
     """One row per page: a column per label, net result as number, and the scores as lists.
 
-    A page is one row, so everything happens inside it: one read, no shuffle.
+    A page is one row, so everything happens inside it: one read, one shuffle to share the pages out.
     """
     rows = _elements(pages, page, html).select(
         page,

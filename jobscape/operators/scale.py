@@ -23,6 +23,14 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return _ranked(_ranked(sliced, [*keys, "_slice"], order, n).drop("_slice"), keys, order, n)
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows dealt over the shuffle partitions by the values of the columns.
+
+    For a costly step on each row: a small file is few tasks, however long its rows take. The number is fixed, as
+    adaptive execution would merge partitions by their bytes."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")

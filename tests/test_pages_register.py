@@ -41,6 +41,17 @@ def test_scores(page, rows):
     assert rows(pages.impact_scores(page, AS_OF)) == [("p1", "2024", "C", None, "B")]
 
 
+def test_pages_of_one_file_are_shared_out(spark):
+    """A small file of many pages is one task; walking them is not."""
+    html = F.concat(F.lit('<div class="ui-tag" data-score="'), F.col("id"), F.lit('"></div>'))
+    stock = spark.range(0, 400, 1, 1).select(F.col("id").alias("page_id"), html.alias("html"))
+    for found in (pages.page_facts(stock), pages.company_sheet(stock, AS_OF), pages.sector_scores(stock), pages.impact_scores(stock, AS_OF)):
+        assert found.rdd.getNumPartitions() == 4
+    got = pages.page_facts(stock).select("page_id", "value", F.spark_partition_id().alias("part")).collect()
+    assert sorted((r["page_id"], r["value"]) for r in got) == [(i, f"{i} tCO2e") for i in range(400)]
+    assert max(sum(r["part"] == p for r in got) for p in range(4)) < 200
+
+
 def test_sheet(page):
     (got,) = pages.company_sheet(page, AS_OF).collect()
     assert got["Résultats net"] == 2718000.5 and got["Type d'activité"] is None
