@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 # Settings every entry point of this package relies on. Shuffle width and scan
 # split size are left to the cluster; tests set them small.
 DEFAULTS = {
@@ -17,7 +21,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # State of streams outgrows executor memory.
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 _local_folders: dict[str, str] = {}
@@ -35,6 +39,23 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextlib.contextmanager
+def package_state_store(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in the store of the package, whatever the session was started with.
+
+    A stream takes its settings over when it starts; the session is left as it was.
+    """
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, DEFAULTS[STATE_STORE])
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

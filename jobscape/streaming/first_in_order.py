@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -26,54 +26,39 @@ def milliseconds(delay: str) -> int:
     return int(found.group(1)) * UNITS[found.group(2)]
 
 
-class FirstInOrder(StatefulProcessor):
-    """One row and one timer per key: the row that is first in order so far, given out when the timer is due."""
+class FirstInOrder:
+    """One row and the time it is due per key: the row that is first in order so far, given out when it is due."""
 
     def __init__(self, columns: Sequence[str], whole: set[str], order: Sequence[str], ts: str, wait: int):
-        self.columns, self.whole, self.order, self.ts, self.wait = list(columns), whole, list(order), ts, wait
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.best = handle.getValueState("best", "row binary")
-
-    def _held(self) -> tuple:
-        return pickle.loads(bytes(self.best.get()[0]))
-
-    def _hold(self, row: tuple) -> None:
-        self.best.update((pickle.dumps(row),))
+        self.columns, self.whole, self.ts, self.wait = list(columns), whole, list(columns).index(ts), wait
+        self.order = [self.columns.index(c) for c in order]
 
     def _rank(self, row: Sequence) -> tuple:
-        values = [row[self.columns.index(c)] for c in self.order]
-        return tuple((v is not None, v) for v in values)  # missing places come first, as in a sort
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = None
-        earliest = None
-        for part in rows:
-            part = part[self.columns]
-            first = part.sort_values(self.order, kind="stable", na_position="first").iloc[0]
-            row = tuple(_plain(first[c], c in self.whole) for c in self.columns)
-            if found is None or self._rank(row) < self._rank(found):
-                found = row
-            least = part[self.ts].min()
-            earliest = least if earliest is None or least < earliest else earliest
-        if found is None:
-            return iter([])
-        if self.best.exists():
-            if self._rank(found) < self._rank(self._held()):
-                self._hold(found)
-        else:
-            self._hold(found)
-            self.handle.registerTimer(int(pd.Timestamp(earliest).tz_localize(None).timestamp() * 1000) + self.wait)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.best.exists():
-            yield pd.DataFrame([self._held()], columns=self.columns, dtype=object)
-            self.best.clear()
-
-    def close(self) -> None:
-        pass
+        return tuple((row[i] is not None, row[i]) for i in self.order)  # missing places come first, as in a sort
+
+    def __call__(self, key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held, due = (pickle.loads(bytes(state.get[0])), state.get[1]) if state.exists else (None, None)
+        if not state.hasTimedOut:
+            best, earliest = held, None
+            for part in parts:
+                for values in zip(*(part[c].tolist() for c in self.columns)):
+                    row = tuple(_plain(v, c in self.whole) for c, v in zip(self.columns, values))
+                    if best is None or self._rank(row) < self._rank(best):
+                        best = row
+                    least = values[self.ts]
+                    earliest = least if earliest is None or least < earliest else earliest
+            if due is None:
+                due = int(pd.Timestamp(earliest).tz_localize(None).timestamp() * 1000) + self.wait
+            if due > state.getCurrentWatermarkMs():
+                if best is not held:
+                    state.update((pickle.dumps(best), due))
+                # A timeout comes when the watermark is past it, a row is due when the watermark reaches it.
+                state.setTimeoutTimestamp(max(due - 1, state.getCurrentWatermarkMs() + 1))
+                return
+            held = best
+        if state.exists:
+            state.remove()
+        yield pd.DataFrame([held], columns=self.columns, dtype=object)
 
 
 def _plain(value, whole: bool):
@@ -90,8 +75,9 @@ def first_in_order_stream(stream: DataFrame, keys: Sequence[str], order: Sequenc
     """Per key the row that comes first in ``order``, among copies whose ``ts`` lie at most ``delay`` apart.
 
     A key is answered once the watermark, ``delay`` behind the newest row, has passed its earliest row by ``delay``;
-    then it leaves the state, which so holds the keys of the last two delays at most: one row and one timer each,
-    whatever the number of copies. The session needs the RocksDB state store, which ``build_session`` sets.
+    then it leaves the state, which so holds the keys of the last two delays at most: one row and one timeout each,
+    whatever the number of copies. State goes to and from Python by batches of keys. Where it may outgrow memory, the
+    stream wants the RocksDB store: ``build_session`` sets it, and in any other session ``package_state_store``.
     """
     columns = stream.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
@@ -100,5 +86,5 @@ def first_in_order_stream(stream: DataFrame, keys: Sequence[str], order: Sequenc
     return (
         stream.withWatermark(ts, delay)
         .groupBy(*keys)
-        .transformWithStateInPandas(processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
+        .applyInPandasWithState(processor, schema, "best binary, due bigint", "append", GroupStateTimeout.EventTimeTimeout)
     )

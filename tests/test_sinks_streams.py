@@ -257,6 +257,26 @@ def test_first_in_search_order_whatever_the_arrival(spark, tmp_path):
     assert max(sizes[-4:]) <= max(sizes[:6]) * 1.2
 
 
+def test_first_in_search_order_in_any_session(spark, tmp_path):
+    """The query answers where the session keeps the state of streams in the store Spark has by default."""
+    from jobscape.session import STATE_STORE
+    from workload.streams import stream_first_in_order
+
+    start = dt.datetime(2026, 1, 1)
+    rows = [(n, start + dt.timedelta(days=n // 3)) for n in range(90)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, plain)
+    try:
+        got = stream_first_in_order(spark, str(tmp_path)).collect()
+        assert spark.conf.get(STATE_STORE) == plain
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    want = [(n, s, (n + s) % 5, n % 7) for n, at in rows if at <= rows[-1][1] - dt.timedelta(days=16) for s in [0 if n % 3 else 1]]
+    assert sorted(map(tuple, got)) == want
+
+
 def test_only_changed_buckets_are_merged(spark, tmp_path):
     from jobscape.sinks.keyed import KeyedTable
 
