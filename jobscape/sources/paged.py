@@ -70,11 +70,11 @@ Fetch = Callable[[Mapping, int], list[Mapping]]
 
 
 class Pages(InputPartition):
-    """Pages ``first`` to ``last`` of a search (to the end, if None), in one round of a stream."""
+    """Pages ``first`` to ``last`` of a search (to the end, if None)."""
 
-    def __init__(self, search_no: int, search: str, request: Mapping, first: int, last: int | None, round_: int):
+    def __init__(self, search_no: int, search: str, request: Mapping, first: int, last: int | None):
         self.search_no, self.search, self.request = search_no, search, request
-        self.first, self.last, self.round = first, last, round_
+        self.first, self.last = first, last
 
 
 class OpenSearches:
@@ -86,8 +86,8 @@ class OpenSearches:
         self.searches = [(n, search, dict(request)) for n, (search, request) in enumerate(searches)]
         self.fetch, self.page_size, self.most_results = fetch, page_size, most_results
 
-    def read(self, part: Pages, ended: Callable[[Pages], None] = lambda part: None) -> Iterator[tuple]:
-        """Rows of the pages, up to the first that is empty or short, or where the most results are reached."""
+    def read(self, part: Pages, ended: Callable[[int], None] = lambda page: None) -> Iterator[tuple]:
+        """Rows of the pages, up to the first that is empty or short, or where the most results are reached; ``ended`` is told it."""
         page = part.first
         while part.last is None or page <= part.last:
             wanted = self.page_size
@@ -97,7 +97,7 @@ class OpenSearches:
             for pos, record in enumerate(records):
                 yield part.search_no, part.search, page, pos, json.dumps(record, ensure_ascii=False)
             if len(records) < self.page_size:
-                ended(part)
+                ended(page)
                 return
             page += 1
 
@@ -119,7 +119,7 @@ def read_searches(
 
     class Reader(DataSourceReader):
         def partitions(self):
-            return [Pages(*s, 1, None, 0) for s in found.searches]
+            return [Pages(*s, 1, None) for s in found.searches]
 
         def read(self, part):
             return found.read(part)
@@ -178,8 +178,9 @@ def stream_searches(
 ) -> DataFrame:
     """The rows of ``read_searches`` as a stream: each round reads up to ``pages_per_round`` further pages of every search.
 
-    The offset is the number of the round, so a stream started again with its checkpoint and the same ``progress``
-    folder (one that all executors reach) goes on with the next pages and fetches none twice; a round that failed is
+    A batch takes as many rounds as there were before it, the first one round, so that long searches need few batches;
+    in a batch a search is one task over the pages of all its rounds. The offset is the number of the round, so a stream started again with its checkpoint and the same ``progress``
+    folder (one that all executors reach) goes on with the next pages and fetches none twice; a batch that failed is
     read again whole. A search that ended in a round takes no part in later ones.
     """
     found, state = OpenSearches(searches, fetch, page_size, most_results), Progress(progress)
@@ -191,20 +192,21 @@ def stream_searches(
         def latestOffset(self):
             planned, ended = max(state.noted("planned").values(), default=0), state.noted("ended")
             open_ = any(n not in ended or ended[n] > planned for n, _, _ in found.searches)
-            return {"round": planned + open_}
+            return {"round": planned + (max(planned, 1) if open_ else 0)}
 
         def partitions(self, start, end):
-            ended, parts = state.noted("ended"), []
-            for round_ in range(start["round"] + 1, end["round"] + 1):
-                state.note("planned", round_, round_)
-                first = (round_ - 1) * pages_per_round + 1
-                for search in found.searches:
-                    if ended.get(search[0], round_) >= round_:
-                        parts.append(Pages(*search, first, first + pages_per_round - 1, round_))
-            return parts
+            if start["round"] == end["round"]:
+                return []
+            ended, first = state.noted("ended"), start["round"] + 1
+            state.note("planned", end["round"], end["round"])
+            return [
+                Pages(*search, start["round"] * pages_per_round + 1, end["round"] * pages_per_round)
+                for search in found.searches
+                if ended.get(search[0], first) >= first
+            ]
 
         def read(self, part):
-            return found.read(part, lambda part: state.note("ended", part.search_no, part.round))
+            return found.read(part, lambda page: state.note("ended", part.search_no, (page - 1) // pages_per_round + 1))
 
     class Searches(DataSource):
         @classmethod

@@ -341,6 +341,19 @@ def test_a_failed_round_is_read_again(spark, tmp_path):
     assert sorted(ids) == sorted(f"{s}{i}" for s, n in SIZES.items() for i in range(n))
 
 
+def test_a_long_search_takes_few_batches(spark, tmp_path):
+    progress, target, checkpoint = (str(tmp_path / n) for n in ("progress", "target", "checkpoint"))
+    fetch = lambda request, page: [{"id": page}] if page <= 40 else []
+    stream = stream_searches(spark, [("a", {})], fetch, 1, progress, pages_per_round=1)
+    query = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).start(target)
+    query.processAllAvailable()
+    batches = query.lastProgress["batchId"] + 1
+    query.stop()
+    got = spark.read.parquet(target).selectExpr("page", "get_json_object(raw_json, '$.id')").collect()
+    assert sorted((r[0], int(r[1])) for r in got) == [(n, n) for n in range(1, 41)]
+    assert batches <= 8
+
+
 def got_order():
     from pyspark.sql import functions as F
 

@@ -105,24 +105,26 @@ def search_grid(spark, sf):
 
 
 PAGE = 10
+# Pages of a search that lie in one file: what a fetch reads does not grow with the search.
+FILED = 64
 
 
 def _service(spark, sf):
-    """A service over the customers: a file per page of each nation and segment; a page that is not there is empty."""
+    """A service over the customers: files of some pages of each nation and segment; a page that is not there is empty."""
     place = Window.partitionBy("c_nationkey", "c_mktsegment").orderBy("c_custkey")
     found = table(spark, sf, "customer").withColumn("n", F.row_number().over(place) - 1).groupBy(
         F.concat_ws("-", "c_nationkey", "c_mktsegment").alias("search"), F.floor(F.col("n") / PAGE).alias("page")
     ).agg(F.sort_array(F.collect_list(F.struct("n", F.col("c_custkey").alias("id")))).alias("records"))
     folder = scratch_path(spark, "service")
-    pages = found.select("search", (F.col("page") + 1).alias("page"), F.to_json("records").alias("value"))
-    pages.write.partitionBy("search").parquet(folder)
+    pages = found.select("search", (F.col("page") + 1).alias("page"), F.floor(F.col("page") / FILED).alias("file"), F.to_json("records").alias("value"))
+    pages.repartition("search", "file").write.partitionBy("search", "file").parquet(folder)
 
     def fetch(request, page):
         import pyarrow.parquet as pq
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
-        files = [f.path for f in store.get_file_info(fs.FileSelector(f"{root}/search={request['search']}", allow_not_found=True)) if f.is_file]
+        files = [f.path for f in store.get_file_info(fs.FileSelector(f"{root}/search={request['search']}/file={(page - 1) // FILED}", allow_not_found=True)) if f.is_file]
         for path in files:
             if path.endswith(".parquet"):
                 for row in pq.read_table(path, filesystem=store, partitioning=None, filters=[("page", "=", page)]).to_pylist():
