@@ -25,6 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 16 << 20
 MORE_BYTES = 1 << 20
+# Beyond so many blocks a task takes several.
+MOST_TASKS = 1024
 QUOTE, BACKSLASH = ord("\""), ord("\\")
 OPEN, CLOSE = b"{[", b"}]"
 BETWEEN = b" \t\r\n,"
@@ -42,6 +44,13 @@ class Block(InputPartition):
         self.in_string, self.depth, self.lists = in_string, depth, lists
 
 
+class Blocks(InputPartition):
+    """Blocks that follow each other, for one task."""
+
+    def __init__(self, blocks: Sequence[Block]):
+        self.blocks = list(blocks)
+
+
 def _opened(path: str) -> pa.NativeFile:
     if path.startswith("file:/") and not path.startswith("file:///"):
         path = "file://" + path[len("file:") :]
@@ -217,10 +226,12 @@ class BlockReader(DataSourceReader):
         self.plan, self.run = plan, run
 
     def partitions(self):
-        return list(self.plan)
+        each = -(-len(self.plan) // MOST_TASKS)
+        return [Blocks(self.plan[at : at + each]) for at in range(0, len(self.plan), each)]
 
     def read(self, part):
-        return self.run(part)
+        for block in part.blocks:
+            yield from self.run(block)
 
 
 def _passed(spark: SparkSession, plan: Sequence[Block], rows: str, run) -> DataFrame:

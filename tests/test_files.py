@@ -292,6 +292,18 @@ def test_searches_are_read_until_a_short_page(spark, tmp_path, most, pages, foun
     assert service.calls() == sorted((s, str(p)) for s, n in pages.items() for p in range(1, n + 1))
 
 
+def test_small_blocks_share_tasks(spark, folder, monkeypatch):
+    from jobscape.sources import json_lists
+
+    monkeypatch.setattr(json_lists, "MOST_TASKS", 4)
+    items = [{"id": n, "t": "]}" * (n % 9)} for n in range(50)]
+    path = folder(l__json=json.dumps({"resultats": items}))
+    found = files.read_wrapped(spark, path, "*.json", block_bytes=32)
+    assert found.rdd.getNumPartitions() <= 4
+    got = sorted(found.collect(), key=lambda r: (r["block_start"], r["line_in_task"]))
+    assert [json.loads(r["raw_json"]) for r in got] == items
+
+
 def test_a_stream_of_searches_goes_on_where_it_stopped(spark, tmp_path):
     (tmp_path / "calls").mkdir()
     service = CountedService(str(tmp_path / "calls"), SIZES, 3)
