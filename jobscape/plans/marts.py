@@ -168,32 +168,38 @@ def mart_salaries(offers: DataFrame, label: str, segment: Sequence[str], company
     return figures.join(commonest, same, "left").drop(*(f"_{c}" for c in segment))
 
 
+def _trend_moments(offers: DataFrame, created: str, updated: str, employer: str, unit: str) -> DataFrame:
+    """Both dates of an offer as rows of one stream, each a count of one in the columns of ``trend_states``."""
+    moments = F.array(
+        F.struct(period_of(created, unit).alias("period"), F.lit(1).alias("n_new"), F.lit(0).alias("n_updated")),
+        F.struct(period_of(updated, unit).alias("period"), F.lit(0).alias("n_new"), F.lit(1).alias("n_updated")),
+    )
+    return offers.select(F.col(employer).alias("company"), F.inline(moments)).filter("period is not null")
+
+
 def trend_states(offers: DataFrame, created: str, updated: str, employer: str, unit: str = "day") -> DataFrame:
     """Publications and updates per period and company.
 
-    Both dates of an offer become rows of one stream, counted per company before the
-    companies are counted, so a busy day is spread over many tasks."""
-    moments = F.array(
-        F.struct(period_of(created, unit).alias("period"), F.lit(1).alias("new")),
-        F.struct(period_of(updated, unit).alias("period"), F.lit(0).alias("new")),
-    )
-    rows = offers.select(F.col(employer).alias("company"), F.inline(moments)).filter("period is not null")
-    return rows.groupBy("period", "company").agg(F.sum("new").alias("n_new"), F.sum(1 - F.col("new")).alias("n_updated"))
+    They are counted per company before the companies are counted, so a busy day is spread over many tasks."""
+    rows = _trend_moments(offers, created, updated, employer, unit)
+    return rows.groupBy("period", "company").agg(F.sum("n_new").alias("n_new"), F.sum("n_updated").alias("n_updated"))
 
 
 def trend_from_states(states: DataFrame) -> DataFrame:
-    """The table of ``mart_trend`` from its counts, of one day or many together."""
-    per_company = states.groupBy("period", "company").agg(F.sum("n_new").alias("n_new"), F.sum("n_updated").alias("n_updated"))
-    return per_company.groupBy("period").agg(
+    """The table of ``mart_trend`` from its counts, of one day or many together.
+
+    Companies are told apart before they are counted, so a busy day is spread over many tasks; only those that
+    published are, so a task holds one row for each of them and none for the updates."""
+    return states.groupBy("period").agg(
         F.sum("n_new").alias("n_published"),
         F.sum("n_updated").alias("n_updated"),
-        F.sum(F.when((F.col("n_new") > 0) & F.col("company").isNotNull(), 1).otherwise(0)).alias("n_companies"),
+        F.count_distinct(F.when(F.col("n_new") > 0, F.col("company"))).alias("n_companies"),
     )
 
 
 def mart_trend(offers: DataFrame, created: str, updated: str, employer: str, unit: str = "day") -> DataFrame:
     """Per day or week: publications, updates, companies that published."""
-    return trend_from_states(trend_states(offers, created, updated, employer, unit))
+    return trend_from_states(_trend_moments(offers, created, updated, employer, unit))
 
 
 class StoredStates:

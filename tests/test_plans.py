@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,6 +148,26 @@ def test_trend_mart(staged, rows):
     assert rows(got) == [(dt.date(2026, 3, 30), 3, 3, 3), (dt.date(2026, 4, 6), 2, 2, 1)]
 
 
+def aggregates(df):
+    """The grouping keys of every aggregate of the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"Aggregate\(keys=\[([^\]]*)", plan)]
+
+
+def test_trend_holds_each_company_once_on_either_side_of_the_shuffle(staged):
+    keys = aggregates(marts.mart_trend(staged, "created_at", "updated_at", "employer_name"))
+    assert len([k for k in keys if "company" in k]) == 2
+
+
+def test_trend_counts_companies_of_several_slices_once(spark, rows):
+    day = dt.date(2026, 4, 1)
+    states = spark.createDataFrame(
+        [(day, "a", 2, 1), (day, "a", 1, 0), (day, "b", 0, 3), (day, None, 4, 0), (dt.date(2026, 4, 2), "b", 0, 1)],
+        "period date, company string, n_new bigint, n_updated bigint",
+    )
+    assert rows(marts.trend_from_states(states)) == [(day, 7, 4, 1), (dt.date(2026, 4, 2), 0, 1, 0)]
+
+
 def test_raw_payload_table(spark, rows):
     lines = spark.createDataFrame([("f.ndjson", '{"id": "O1"}')], "source_file string, raw_json string")
     raw = staging.raw_offers(raw_with_lineage(lines), "run-1", "2026-04-06 07:00:00", "first")
