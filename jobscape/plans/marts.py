@@ -46,6 +46,28 @@ def period_of(ts: str, unit: str = "month") -> Column:
     return F.to_date(F.date_trunc(unit, F.col(ts)))
 
 
+def _place_rows(
+    offers: DataFrame,
+    levels: Sequence[str],
+    ts: str,
+    employer: str,
+    permanent: Column,
+    apprentice: Column,
+    salaried: Column,
+    unit: str,
+) -> DataFrame:
+    """Every offer as a count of one, in the columns of ``place_states``."""
+    flag = lambda c: F.when(c, 1).otherwise(0)
+    return offers.select(
+        *levels, period_of(ts, unit).alias("period"), employer, F.lit(1).alias("n"),
+        flag(permanent).alias("n_permanent"), flag(apprentice).alias("n_apprentice"), flag(salaried).alias("n_salaried"),
+    )
+
+
+def _place_sums(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return counts.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in ("n", "n_permanent", "n_apprentice", "n_salaried")))
+
+
 def place_states(
     offers: DataFrame,
     levels: Sequence[str],
@@ -57,13 +79,7 @@ def place_states(
     unit: str = "month",
 ) -> DataFrame:
     """Counts per narrowest zone, period and company: what ``places_from_states`` adds up, for all offers or those of a day."""
-    flag = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    return offers.groupBy(*levels, period_of(ts, unit).alias("period"), employer).agg(
-        F.count(F.lit(1)).alias("n"),
-        flag(permanent).alias("n_permanent"),
-        flag(apprentice).alias("n_apprentice"),
-        flag(salaried).alias("n_salaried"),
-    )
+    return _place_sums(_place_rows(offers, levels, ts, employer, permanent, apprentice, salaried, unit), [*levels, "period", employer])
 
 
 def mart_places(
@@ -83,29 +99,32 @@ def mart_places(
     Offers are first counted per narrowest zone, period and company; the levels are built
     from those counts, so raw rows are neither repeated per level nor shuffled whole.
     """
-    return places_from_states(place_states(offers, levels, ts, employer, permanent, apprentice, salaried, unit), levels, employer)
+    return places_from_states(_place_rows(offers, levels, ts, employer, permanent, apprentice, salaried, unit), levels, employer)
 
 
 def places_from_states(base: DataFrame, levels: Sequence[str], employer: str) -> DataFrame:
-    """The table of ``mart_places`` from its counts, of one day or many together."""
-    sets = [[*levels[: i + 1], "period"] for i in range(len(levels))]
+    """The table of ``mart_places`` from its counts, of one day or many together.
+
+    The counts per company of a wide zone are the sums of those of the next narrower one, so a task holds the counts
+    of two levels at most, and rows are never repeated per level. A company has one row per zone and period by then.
+    """
     share = lambda c: F.round(F.sum(c) / F.sum("n"), 4)
-    rows = base.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in [*levels, "period"]]).agg(
-        F.grouping_id().alias("_g"),
-        F.sum("n").alias("n_offers"),
-        F.count_distinct(employer).alias("n_companies"),
-        share("n_permanent").alias("permanent_share"),
-        share("n_apprentice").alias("apprentice_share"),
-        share("n_salaried").alias("salary_share"),
-    )
-    level = F.lit(None).cast("string")
-    for i, name in enumerate(levels):
-        # Bits of the grouping id, from the last column: period is never rolled up.
-        rolled = sum(2 ** (len(levels) - j) for j in range(i + 1, len(levels)))
-        level = F.when(F.col("_g") == rolled, name).otherwise(level)
-    return rows.withColumn("level", level).select(
-        "level", *levels, "period", "n_offers", "n_companies", "permanent_share", "apprentice_share", "salary_share"
-    )
+    counts, found = base, None
+    for i in reversed(range(len(levels))):
+        zones = [*levels[: i + 1], "period"]
+        counts = _place_sums(counts, [*zones, employer])
+        rows = counts.groupBy(*zones).agg(
+            F.sum("n").alias("n_offers"),
+            F.count(employer).alias("n_companies"),
+            share("n_permanent").alias("permanent_share"),
+            share("n_apprentice").alias("apprentice_share"),
+            share("n_salaried").alias("salary_share"),
+        )
+        rows = rows.withColumns({"level": F.lit(levels[i]), **{c: F.lit(None).cast(base.schema[c].dataType) for c in levels[i + 1 :]}}).select(
+            "level", *levels, "period", "n_offers", "n_companies", "permanent_share", "apprentice_share", "salary_share"
+        )
+        found = rows if found is None else rows.unionByName(found)
+    return found
 
 
 def employer_states(offers: DataFrame, key: str, fallback: str, zone: str, sector: str, size: str) -> DataFrame:

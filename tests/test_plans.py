@@ -130,6 +130,31 @@ def test_places_mart(staged, places, rows):
     )
 
 
+def test_places_mart_never_repeats_rows_per_level(staged, places):
+    offers = marts.with_places(staged, places)
+    got = marts.mart_places(
+        offers, ["region_name", "departement_code", "commune_code"], "created_at", "employer_name",
+        F.lit(True), F.lit(True), F.lit(True),
+    )
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_places_mart_adds_up_slices_and_null_zones(spark, rows):
+    year = dt.date(2026, 1, 1)
+    states = spark.createDataFrame(
+        [("R", "1", year, "a", 2, 1), ("R", "1", year, "a", 1, 0), ("R", "2", year, "a", 1, 1), ("R", None, year, "b", 1, 0), (None, None, year, None, 3, 3)],
+        "region string, dep string, period date, company string, n bigint, n_permanent bigint",
+    ).withColumns({"n_apprentice": F.lit(0), "n_salaried": F.lit(0)})
+    got = marts.places_from_states(states, ["region", "dep"], "company").drop("apprentice_share", "salary_share")
+    assert rows(got) == sorted(
+        [
+            ("region", "R", None, year, 5, 2, 0.4), ("region", None, None, year, 3, 0, 1.0), ("dep", "R", "1", year, 3, 1, 0.3333),
+            ("dep", "R", "2", year, 1, 1, 1.0), ("dep", "R", None, year, 1, 1, 0.0), ("dep", None, None, year, 3, 0, 1.0),
+        ],
+        key=repr,
+    )
+
+
 def test_employer_mart(staged, places, rows):
     offers = marts.with_places(staged, places).withColumn("siren", F.when(F.col("employer_name").ilike("acm%"), "9"))
     got = marts.mart_employers(offers, "siren", "employer_name", "departement_code", "activity_sector_label", "employee_size_range")
