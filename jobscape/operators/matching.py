@@ -30,16 +30,15 @@ def normalize_name(c: Column | str) -> Column:
 def employer_candidates(df: DataFrame, name: str, place: Sequence[str]) -> DataFrame:
     """Distinct employers: normalized name and place columns, with their number of offers.
 
-    Offers are counted per name as written before the names are normalized, so an employer
-    with very many offers is one row per task by then.
+    One aggregation, combined map-side: an employer with very many offers is one row per task before the shuffle.
     """
-    written = df.filter(is_not_blank(name)).groupBy(name, *place).agg(F.count(F.lit(1)).alias("_n"))
     key = "normalized_employer_name"
     # Rows without a normalized name sum to null: a test on the sum is made after grouping.
     counted = (
-        written.withColumn(key, normalize_name(name))
+        df.filter(is_not_blank(name))
+        .withColumn(key, normalize_name(name))
         .groupBy(key, *place)
-        .agg(F.sum(F.when(F.col(key).isNotNull(), F.col("_n"))).alias("offer_count"))
+        .agg(F.sum(F.when(F.col(key).isNotNull(), 1)).alias("offer_count"))
         .filter("offer_count > 0")
     )
     return with_candidate_id(counted, [key, *place])
@@ -145,23 +144,32 @@ def match_employers(
     when it is one edit away or alike by ``least_percent``; ties go to the smallest siret. All steps are equality
     joins, never all pairs: one edit by forms with one character left out, more by shared rare letter pairs.
 
-    The register is read and its names are normalized once, for postal codes that some candidate has, and
-    written: all joins read the result. Names are cut into forms only where a candidate is still open.
+    The register is read and its names are normalized once, for postal codes that some candidate has. Its entries meet the
+    candidates in one full join, which is written: it holds the exact matches, the open candidates and all entries. Names
+    are cut into forms only in postal codes that have both an open candidate and an entry.
     """
     name = "normalized_employer_name"
     key = [name, postal_code]
     details = [c for c in register.columns if c not in ("siret", "siren", "legal_name", postal_code)]
     kept = ["siret", "siren", "legal_name", *details]
-    wanted = candidates.select(*key).distinct()
+    asked = [*key, *(c for c in candidates.columns if c not in key)]
     listed = (
-        register.join(wanted.select(postal_code).distinct(), postal_code, "left_semi")
-        .select(*kept, postal_code, normalize_name("legal_name").alias("_name"))
+        register.join(candidates.select(postal_code).distinct(), postal_code, "left_semi")
+        .select(*kept, F.col(postal_code).alias("_place"), normalize_name("legal_name").alias("_name"))
         .filter(F.col("_name").isNotNull())
     )
-    entries = settle(first_per_key(listed, ["_name", postal_code], [F.col("siret").asc()]), "register-names")
-
-    exact = wanted.join(entries.withColumnRenamed("_name", name), key)
-    open_names = settle(wanted.join(entries.select(F.col("_name").alias(name), postal_code), key, "left_anti"), "open-names")
+    # Rows are sorted by place first: names often begin alike, and are slow to compare then.
+    first = first_per_key(listed, ["_place", "_name"], [F.col("siret").asc()])
+    same = (F.col(postal_code) == F.col("_place")) & (F.col(name) == F.col("_name"))
+    looked = settle(candidates.select(*asked, F.lit(True).alias("_asked")).join(first, same, "full"), "register-names")
+
+    exact = looked.filter(F.col("_asked") & F.col("_name").isNotNull())
+    unmatched = looked.filter(F.col("_asked") & F.col("_name").isNull()).select(*asked)
+    entries = looked.filter(F.col("_name").isNotNull()).select(*kept, F.col("_place").alias(postal_code), "_name")
+    open_names = settle(
+        unmatched.select(*key).distinct().join(entries.select(postal_code).distinct(), postal_code, "left_semi").select(*key), "open-names"
+    )
+    # An entry comes once for each candidate of its name.
     near_entries = entries.join(open_names.select(postal_code).distinct(), postal_code, "left_semi")
     left = open_names.withColumn("_form", F.explode(one_edit_keys(name)))
     right = near_entries.withColumn("_form", F.explode(one_edit_keys("_name")))
@@ -175,13 +183,12 @@ def match_employers(
         .filter(F.col("_edits") <= allowed)
     )
     best = first_per_key(near, key, [F.col("_edits"), F.col("siret")])
-    found = exact.select(*key, *kept, F.lit("exact").alias("match_method"), F.lit(1.0).alias("match_confidence")).unionByName(
-        best.select(
-            *key, *kept, F.lit("fuzzy").alias("match_method"),
-            F.round(1 - F.col("_edits") / longer, 4).alias("match_confidence"),
-        )
+    fuzzy = best.select(
+        *key, *kept, F.lit("fuzzy").alias("match_method"),
+        F.round(1 - F.col("_edits") / longer, 4).alias("match_confidence"),
     )
-    return candidates.join(found, key, "left").withColumn(
+    found = exact.select(*asked, *kept, F.lit("exact").alias("match_method"), F.lit(1.0).alias("match_confidence"))
+    return found.unionByName(unmatched.join(fuzzy, key, "left").select(*found.columns)).withColumn(
         "match_status", F.when(F.col("siret").isNull(), "unmatched").otherwise("matched")
     )
 

@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from jobscape.functions.text import is_not_blank
 from jobscape.operators.matching import employer_candidates, match_employers, normalize_name, with_candidate_id
 
 PLACE = ["postal_code", "commune_code", "naf_code"]
-SPREAD = 4096
 
 
 def int_employer_candidates(staged: DataFrame, place: list[str] = PLACE) -> DataFrame:
@@ -79,26 +79,33 @@ def stg_register_matches(matches: DataFrame) -> DataFrame:
 def with_employers(staged: DataFrame, matches: DataFrame, place: list[str] = PLACE) -> DataFrame:
     """Every offer with its candidate and, where there is one, its register entry.
 
-    ``matches`` is the kept match table, so it has a known size."""
-    named = staged.withColumn("normalized_employer_name", normalize_name("employer_name"))
-    keyed = with_candidate_id(named, ["normalized_employer_name", *place]).withColumn(
-        "employer_candidate_id",
-        F.when(F.col("normalized_employer_name").isNotNull(), F.col("employer_candidate_id")),
+    ``matches`` is the kept match table, so it has a known size. It holds the normalized name and the place columns,
+    or else the id of the candidates, a long hash of them that is dearer to make, to move and to sort."""
+    keys = ["normalized_employer_name", *place]
+    named = staged.withColumn(keys[0], normalize_name("employer_name"))
+    keyed = with_candidate_id(named, keys).withColumn(
+        "employer_candidate_id", F.when(F.col(keys[0]).isNotNull(), F.col("employer_candidate_id"))
     )
-    found = matches.select(
-        F.col("employer_candidate_id").alias("_id"),
-        "siren", "siret", "legal_name", "match_confidence",
+    by = keys if set(keys) <= set(matches.columns) else ["employer_candidate_id"]
+    # Missing parts of a place are equal inside a struct, as they are in the id.
+    whole = F.struct(*(F.col(c).cast("string").alias(f"_{i}") for i, c in enumerate(by)))
+    found = matches.filter(F.col(by[0]).isNotNull()).select(
+        F.xxhash64(whole).alias("_hash"), whole.alias("_whole"), "siren", "siret", "legal_name", "match_confidence",
         F.col("match_status").alias("_status"),
     )
-    # Most offers name no employer. Their join key is spread so that they do not all meet
-    # in one task; no candidate has such a key.
-    nobody = F.concat(F.lit("-"), F.pmod(F.xxhash64("offer_id"), F.lit(SPREAD)).cast("string"))
-    return (
-        keyed.withColumn("_key", F.coalesce("employer_candidate_id", nobody))
-        .join(found, F.col("_key") == F.col("_id"), "left")
+    # Most offers name no employer: they stay out of the join. Names without a letter or figure are spread over it,
+    # so that they do not all meet in one task. Rows are sorted by a number first.
+    has_name = F.coalesce(is_not_blank("employer_name"), F.lit(False))
+    number = F.when(F.col(by[0]).isNotNull(), F.xxhash64(whole)).otherwise(F.xxhash64("offer_id"))
+    linked = (
+        keyed.filter(has_name)
+        .withColumn("_key", number)
+        .join(found, (F.col("_key") == F.col("_hash")) & (whole == F.col("_whole")), "left")
         .withColumn("match_status", F.coalesce("_status", F.lit("unmatched")))
-        .drop("_key", "_id", "_status")
+        .drop("_key", "_hash", "_whole", "_status")
     )
+    entry = {c: F.lit(None).cast(matches.schema[c].dataType) for c in ("siren", "siret", "legal_name", "match_confidence")}
+    return linked.unionByName(keyed.filter(~has_name).withColumns({**entry, "match_status": F.lit("unmatched")}))
 
 
 def int_offer_employers(staged: DataFrame, matches: DataFrame, place: list[str] = PLACE) -> DataFrame:

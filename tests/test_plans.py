@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobscape import schemas
-from jobscape.operators import quality
+from jobscape.operators import matching, quality
 from jobscape.plans import employers as emp, geo, marts, staging
+from jobscape.sinks.tables import settle
 from jobscape.sources.files import raw_with_lineage
 
 
@@ -98,6 +99,57 @@ def test_candidates_and_matches(staged, entries, rows):
     assert rows(searched.select("search_term", "commune_code", "n_found")) == [("ACME", "C1", 1), ("ACME", "C2", 1), ("BETTA", "C3", 0)]
 
 
+def test_offers_without_employer_stay_out_of_the_join(spark, staged, entries, rows):
+    kept = settle(emp.raw_matches(emp.int_employer_candidates(staged), entries, "run-1"), "matches")
+    linked = emp.with_employers(staged, kept).select("offer_id", "siren", "match_status")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = linked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Two sides of the join are moved, and no hash of the candidate is made for it.
+    assert plan.count("Exchange hashpartitioning") == 2 and "sha2" not in plan and "Union" in plan
+    by_id = emp.with_employers(staged, kept.select("employer_candidate_id", "siren", "siret", "legal_name", "match_confidence", "match_status"))
+    assert rows(by_id.select("offer_id", "siren", "match_status")) == rows(linked)
+
+
+def test_missing_places_and_odd_names_find_their_match(spark, rows):
+    offers = spark.createDataFrame(
+        [("1", "Acme", None), ("2", "acme SA", ""), ("3", "--", None), ("4", "  ", "7"), ("5", None, "7"), ("6", "Acme", "7"), ("6", "Acme", "7")],
+        "offer_id string, employer_name string, postal_code string",
+    )
+    found = emp.int_employer_candidates(offers, ["postal_code"])
+    assert rows(found.select("normalized_employer_name", "postal_code", "offer_count")) == sorted(
+        [("ACME", None, 1), ("ACME", "", 1), ("ACME", "7", 2)], key=repr
+    )
+    kept = found.withColumns({c: F.coalesce("postal_code", F.lit("none")) for c in ("siren", "siret", "legal_name")}).withColumns(
+        {"match_confidence": F.lit(1.0), "match_status": F.lit("matched")}
+    )
+    got = emp.int_offer_employers(offers, kept, ["postal_code"])
+    assert rows(got.select("offer_id", "siret", "match_status")) == sorted(
+        [
+            ("1", "none", "matched"), ("2", "", "matched"), ("3", None, "unmatched"), ("4", None, "unmatched"), ("5", None, "unmatched"),
+            ("6", "7", "matched"), ("6", "7", "matched"),
+        ],
+        key=repr,
+    )
+
+
+def test_names_are_cut_only_where_the_register_has_entries(spark, rows, monkeypatch):
+    """Open names of a place without entries are left out before they are cut into forms."""
+    kept = {}
+    monkeypatch.setattr(matching, "settle", lambda df, label: kept.setdefault(label, settle(df, label)))
+    wanted = spark.createDataFrame([("ACME", "1"), ("BETA", "1"), ("GAMMA", "2"), ("ACME", None)], "normalized_employer_name string, postal_code string")
+    register = spark.createDataFrame(
+        [("02", "2", "Acme SA", "1"), ("01", "1", "ACME", "1"), ("03", "3", "Bety", "1"), ("04", "4", "Gamma", "3"), ("05", "5", "Acme", None)],
+        "siret string, siren string, legal_name string, postal_code string",
+    )
+    got = matching.match_employers(wanted, register).select("normalized_employer_name", "postal_code", "siret", "match_method")
+    assert rows(got) == sorted([("ACME", "1", "01", "exact"), ("BETA", "1", "03", "fuzzy"), ("GAMMA", "2", None, None), ("ACME", None, None, None)], key=repr)
+    assert rows(kept["open-names"]) == [("BETA", "1")]
+
+
 def test_enriched_has_one_row_per_offer(staged, places, entries, rows):
     matches = emp.raw_matches(emp.int_employer_candidates(staged), entries, "run-1")
     got = marts.int_offers_enriched(staged, places, matches)

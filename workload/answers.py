@@ -173,7 +173,8 @@ def enriched(spark, sf):
     """Offers with place and employer; the register stand-in lists a branch of each part's company where its suppliers
     are, but in every tenth place none."""
     s = staged(spark, sf).withColumn("postal_code", F.col("commune_code"))
-    found = settle(matching.employer_candidates(s, "employer_name", ["postal_code", *PLACE]), "candidates")
+    # The id is a hash of the columns that the matches are joined by.
+    found = settle(matching.employer_candidates(s, "employer_name", ["postal_code", *PLACE]).drop("employer_candidate_id"), "candidates")
     branches = table(spark, sf, "lineitem").filter(F.col("l_suppkey") % 10 != 0).select("l_partkey", "l_suppkey").distinct()
     siren = F.lpad(text("l_partkey"), 9, "0")
     register = branches.select(
@@ -182,7 +183,9 @@ def enriched(spark, sf):
     )
     by_name = matching.match_employers(found, register)
     kept = settle(
-        by_name.filter("match_status = 'matched'").select("employer_candidate_id", "siren", "siret", "legal_name", "match_confidence", "match_status"), "matches"
+        by_name.filter("match_status = 'matched'").select(
+            "normalized_employer_name", "postal_code", *PLACE, "siren", "siret", "legal_name", "match_confidence", "match_status"
+        ), "matches",
     )
     return marts.with_employers(marts.with_places(s, known_places(spark, sf)), kept, ["postal_code", *PLACE])
 
