@@ -127,17 +127,26 @@ def places_from_states(base: DataFrame, levels: Sequence[str], employer: str) ->
     return found
 
 
+def _employer_rows(offers: DataFrame, key: str, fallback: str, zone: str, sector: str, size: str) -> DataFrame:
+    """Every offer of a company as a count of one, in the columns of ``employer_states``."""
+    return offers.select(
+        F.coalesce(key, fallback).alias("employer_key"), F.col(zone).alias("zone"), F.lit(1).alias("n"),
+        F.col(sector).alias("sector"), F.col(size).alias("size"),
+    ).filter("employer_key is not null")
+
+
+def _employer_sums(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("employer_key", "zone").agg(F.sum("n").alias("n"), F.max("sector").alias("sector"), F.max("size").alias("size"))
+
+
 def employer_states(offers: DataFrame, key: str, fallback: str, zone: str, sector: str, size: str) -> DataFrame:
     """Counts per company (register key, else fallback) and zone."""
-    per_zone = offers.groupBy(F.coalesce(key, fallback).alias("employer_key"), F.col(zone).alias("zone")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(sector).alias("sector"), F.max(size).alias("size")
-    )
-    return per_zone.filter("employer_key is not null")
+    return _employer_sums(_employer_rows(offers, key, fallback, zone, sector, size))
 
 
 def employers_from_states(states: DataFrame) -> DataFrame:
     """The table of ``mart_employers`` from its counts, of one day or many together."""
-    per_zone = states.groupBy("employer_key", "zone").agg(F.sum("n").alias("n"), F.max("sector").alias("sector"), F.max("size").alias("size"))
+    per_zone = _employer_sums(states)
     return per_zone.groupBy("employer_key").agg(
         F.sum("n").alias("n_offers"),
         F.count("zone").alias("n_zones"),
@@ -154,7 +163,7 @@ def mart_employers(
 
     Rows are first counted per company and zone, so the list of zones is gathered from at
     most one row per zone."""
-    return employers_from_states(employer_states(offers, key, fallback, zone, sector, size))
+    return employers_from_states(_employer_rows(offers, key, fallback, zone, sector, size))
 
 
 def offer_salaries(offers: DataFrame, label: str) -> DataFrame:
