@@ -213,6 +213,12 @@ def test_employer_mart(staged, places, rows):
     assert rows(got.select("employer_key", "n_offers", "n_zones", "zones", "size")) == [("9", 3, 1, "01", "10"), ("Betta", 1, 1, "02", "10")]
 
 
+def test_employer_mart_adds_up_zones_once(staged, places):
+    offers = marts.with_places(staged, places)
+    got = marts.mart_employers(offers, "employer_name", "employer_name", "departement_code", "activity_sector_label", "employee_size_range")
+    assert len([k for k in aggregates(got) if "zone" in k or "departement_code" in k]) == 2
+
+
 def test_salary_mart(staged, rows):
     got = marts.mart_salaries(staged, "salary_label", ["contract_type"])
     figures = got.drop("salary_text")
@@ -228,7 +234,7 @@ def test_trend_mart(staged, rows):
 def aggregates(df):
     """The grouping keys of every aggregate of the plan."""
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return [re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"Aggregate\(keys=\[([^\]]*)", plan)]
+    return [re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"Aggregate\(keys?=\[([^\]]*)", plan)]
 
 
 def test_trend_holds_each_company_once_on_either_side_of_the_shuffle(staged):
