@@ -192,15 +192,15 @@ class _Nodes:
             yield pa.concat_batches(held)
 
 
-def _alike(part: pa.RecordBatch, percent: int, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _alike_by_step(
+    part: pa.RecordBatch, percent: int, group: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Places i before j of the pairs in a node whose sizes and sketches allow the threshold (and groups differ), and
-    the bits in which the sketches differ."""
+    the bits in which the sketches differ. Pairs equally far apart come together, so a place is once i and once j at most."""
     node, n = part.column("node").to_numpy(), part.column("n").to_numpy().astype(np.int64)
     s0, s1 = (part.column(c).to_numpy().view(np.uint64) for c in ("s0", "s1"))
     p = (1 + percent / 100) / 2
     most = int(BITS * (1 - p) + 4.5 * (BITS * p * (1 - p)) ** 0.5) + 1
-    none = np.zeros(0, np.int64)
-    out = [(none, none, none)]
     at, step = np.arange(len(node)), 1
     while len(at := at[at + step < len(node)]):
         # Rows of a node ascend by size: past a partner too large for i, all others are.
@@ -209,12 +209,39 @@ def _alike(part: pa.RecordBatch, percent: int, group: np.ndarray | None = None)
         good = differ <= most
         if group is not None:
             good &= group[at] != group[at + step]
-        out.append((at[good], at[good] + step, differ[good]))
+        yield at[good], at[good] + step, differ[good]
         step += 1
-    left, right, differ = zip(*out)
+
+
+def _alike(part: pa.RecordBatch, percent: int, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs of ``_alike_by_step`` at once: as many as the squares of the nodes' sizes."""
+    none = np.zeros(0, np.int64)
+    left, right, differ = zip((none, none, none), *_alike_by_step(part, percent, group))
     return np.concatenate(left), np.concatenate(right), np.concatenate(differ)
 
 
+def _link(root: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+    """Join the groups of the pairs; ``root`` has the least place of each place's group, before and after."""
+    while len(apart := np.flatnonzero(root[left] != root[right])):
+        left, right = left[apart], right[apart]
+        a, b = root[left], root[right]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(up := root[root], root):
+            root[:] = up
+
+
+def _few_pairs(part: pa.RecordBatch, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of whole nodes that have about ``most`` pairs together; a larger node is a run of its own."""
+    node = part.column("node").to_numpy()
+    bounds = np.concatenate(([0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(node)]))
+    pairs = np.concatenate(([0], np.cumsum(np.diff(bounds) ** 2 // 2)))
+    at = 0
+    while bounds[at] < len(node):
+        end = max(int(np.searchsorted(pairs, pairs[at] + most, "right")) - 1, at + 1)
+        yield int(bounds[at]), int(bounds[end])
+        at = end
+
+
 def partners(rows: DataFrame, percent: int) -> DataFrame:
     """Documents with a candidate in their node: the nearest one, ``apart`` bits away, and the ``root`` of their group.
 
@@ -222,20 +249,15 @@ def partners(rows: DataFrame, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.iinfo(np.int64).max
         for part in _Nodes(batches):
-            left, right, differ = _alike(part, percent)
-            nearest = np.full(part.num_rows, np.iinfo(np.int64).max)
-            np.minimum.at(nearest, right, differ << 32 | left)
-            np.minimum.at(nearest, left, differ << 32 | right)
-            live = np.union1d(left, right)
-            root = np.arange(part.num_rows)
-            while True:
-                low = np.minimum(root[left], root[right])
-                if (low == root[left]).all() and (low == root[right]).all():
-                    break
-                np.minimum.at(root, left, low)
-                np.minimum.at(root, right, low)
-                root = root[root]
+            nearest, root = np.full(part.num_rows, none), np.arange(part.num_rows)
+            # A node of near copies has as many pairs as its square: none is held past its step.
+            for left, right, differ in _alike_by_step(part, percent):
+                nearest[right] = np.minimum(nearest[right], differ << 32 | left)
+                nearest[left] = np.minimum(nearest[left], differ << 32 | right)
+                _link(root, left, right)
+            live = np.flatnonzero(nearest < none)
             doc = part.column("doc")
             yield pa.RecordBatch.from_arrays(
                 [
@@ -260,17 +282,28 @@ def _blocks(rows: DataFrame, limit: int) -> DataFrame:
     return other.withColumn("node", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))).drop("blocks", "own", "other")
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """doc and text of packed rows, about ``limit`` bytes of text at a time, however small they were packed."""
+    unpack = zstandard.ZstdDecompressor()
+    for batch in chunks(batches, "packed", limit):
+        packed, start, texts, held = batch.column("packed"), 0, [], 0
+        for k in range(batch.num_rows):
+            texts.append(unpack.decompress(packed[k].as_py()))
+            held += len(texts[-1])
+            if held >= limit or k + 1 == batch.num_rows:
+                yield batch.column("doc").slice(start, k + 1 - start), pa.array(texts, pa.binary())
+                start, texts, held = k + 1, [], 0
+
+
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """doc and ``set`` of the documents in ``ids`` (doc)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        for batch in chunks(batches, "packed", 1 << 20):
-            texts = pa.array([unpack.decompress(p) for p in batch.column("packed").to_pylist()], pa.binary())
+        for doc, texts in _unpacked(batches):
             values, sizes = shingle_sets(texts, words)
             ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.ListArray.from_arrays(ends, _signed(values))], names=["doc", "set"])
+            yield pa.RecordBatch.from_arrays([doc, pa.ListArray.from_arrays(ends, _signed(values))], names=["doc", "set"])
 
     # The ids grow with the documents: they are not broadcast, however few they are.
     wanted = packed_texts(rows).join(ids.hint("merge"), "doc", "left_semi")
@@ -313,7 +346,6 @@ def links_between(rows: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _Nodes(batches, rows=1):
             component = part.column("component").to_numpy()
-            left, right, differ = _alike(part, percent, component)
             doc, sets = part.column("doc").to_numpy(), part.column("set")
             bounds, values = sets.offsets.to_numpy(), sets.values.to_numpy()
             parent: dict[int, int] = {}
@@ -325,17 +357,19 @@ def links_between(rows: DataFrame, percent: int) -> DataFrame:
                 return x
 
             out: list[list[int]] = [[], []]
-            for k in np.argsort(differ, kind="stable").tolist():
-                i, j = int(left[k]), int(right[k])
-                x, y = find(int(component[i])), find(int(component[j]))
-                if x == y:
-                    continue
-                a, b = values[bounds[i] : bounds[i + 1]], values[bounds[j] : bounds[j + 1]]
-                shared = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
-                if 100 * shared >= percent * (len(a) + len(b) - shared):
-                    parent[max(x, y)] = min(x, y)
-                    out[0].append(int(doc[i]))
-                    out[1].append(int(doc[j]))
+            for start, end in _few_pairs(part):
+                left, right, differ = _alike(part.slice(start, end - start), percent, component[start:end])
+                for k in np.argsort(differ, kind="stable").tolist():
+                    i, j = start + int(left[k]), start + int(right[k])
+                    x, y = find(int(component[i])), find(int(component[j]))
+                    if x == y:
+                        continue
+                    a, b = values[bounds[i] : bounds[i + 1]], values[bounds[j] : bounds[j + 1]]
+                    shared = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+                    if 100 * shared >= percent * (len(a) + len(b) - shared):
+                        parent[max(x, y)] = min(x, y)
+                        out[0].append(int(doc[i]))
+                        out[1].append(int(doc[j]))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["a", "b"])
 
     return _by_node(rows).mapInArrow(tidy(run), "a long, b long")

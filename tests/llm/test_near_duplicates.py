@@ -3,10 +3,12 @@ from __future__ import annotations
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 
 import odd
 from jobscape.llm import near_duplicates as nd
@@ -101,6 +103,52 @@ def test_sketches_and_sizes_lose_no_alike_pair():
     assert len(found) == 300
 
 
+class Handed:
+    """A table whose tasks run here, over these batches."""
+
+    def __init__(self, *batches):
+        self.batches = batches
+
+    def mapInArrow(self, run, schema):
+        return pa.Table.from_batches(list(run(iter(self.batches))))
+
+
+def test_a_node_of_near_copies_is_compared_in_little_memory(monkeypatch):
+    monkeypatch.setattr(nd, "_by_node", lambda rows: rows)
+    rng = np.random.default_rng(4)
+    size, few = 2000, 300
+    sketch = np.repeat(rng.integers(0, 1 << 62, (2, 2)), (size, few), axis=0)
+    for _ in range(6):
+        sketch[np.arange(size + few), rng.integers(0, 2, size + few)] ^= 1 << rng.integers(0, 62, size + few)
+    doc = rng.permutation(size + few)
+    part = pa.RecordBatch.from_pydict({
+        "node": np.repeat([1, 2], (size, few)), "doc": doc, "n": np.full(size + few, 400, np.int32), "s0": sketch[:, 0].copy(), "s1": sketch[:, 1].copy(),
+    })
+    tracemalloc.start()
+    found = nd.partners(Handed(part), 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The pairs of the larger node alone are 2 million, of 24 bytes each.
+    assert peak < 8 << 20
+    assert found.column("doc").to_numpy().tolist() == doc.tolist()
+    assert found.column("root").to_numpy().tolist() == [doc[0]] * size + [doc[size]] * few
+    for start, end in ((0, size), (size, size + few)):
+        own = sketch[start:end]
+        apart = sum(np.bitwise_count(own[:, None, k] ^ own[None, :, k]).astype(int) for k in (0, 1))
+        np.fill_diagonal(apart, 999)
+        assert found.column("apart").to_numpy()[start:end].tolist() == apart.min(axis=1).tolist()
+        assert found.column("partner").to_numpy()[start:end].tolist() == doc[start + apart.argmin(axis=1)].tolist()
+
+
+def test_texts_that_were_packed_small_are_unpacked_a_few_at_a_time():
+    texts = [b"a b " * 50_000, b"", b"c"] * 10
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(30)), "packed": [zstandard.compress(t) for t in texts]})
+    parts = list(nd._unpacked(iter([batch]), 300_000))
+    assert max(sum(map(len, t.to_pylist())) for _, t in parts) <= 500_000
+    assert [i for doc, _ in parts for i in doc.to_pylist()] == list(range(30))
+    assert [t for _, some in parts for t in some.to_pylist()] == texts
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(300, 200), (5, 5)]
