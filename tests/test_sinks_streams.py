@@ -277,6 +277,32 @@ def test_first_in_search_order_in_any_session(spark, tmp_path):
     assert sorted(map(tuple, got)) == want
 
 
+def test_first_in_search_order_keeps_many_keys_in_few_values(spark, tmp_path):
+    """A call of Python and a value of the state hold many keys; large numbers stay whole where others are missing."""
+    from jobscape.streaming.first_in_order import first_in_order_stream
+
+    start, high, nan = dt.datetime(2026, 1, 1), 1 << 60, float("nan")
+    rows = [(high + n, None, s, high + n + s if s else None, start + dt.timedelta(seconds=n)) for n in range(1500) for s in (2, 1)]
+    # Keys that a grouping tells apart, and two zeros that it does not.
+    rows += [(None, None, 3, 5, start), (None, nan, 4, 6, start), (None, 0.0, 6, 7, start), (None, -0.0, 5, 8, start), (7, 0.0, None, None, start)]
+    rows += [(high, None, 1, high + 9, start + dt.timedelta(hours=1)), (7, 0.0, 0, 1, start)]
+    last = (1, None, 1, 1, start + dt.timedelta(days=9))
+    schema = "id bigint, name double, search_no int, offer bigint, at timestamp"
+    landing, target, state = (str(tmp_path / n) for n in ("landing", "target", "state"))
+    held = []
+    for batch in (rows[::2], rows[1::2], [last]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(landing)
+        stream = first_in_order_stream(spark.readStream.schema(schema).parquet(landing), ["id", "name"], ["search_no"], "at", "1 day")
+        query = stream.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(target)
+        query.awaitTermination()
+        assert query.exception() is None
+        held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    want = [(high + n, None, 1, high + n + 1) for n in range(1500)]
+    want += [(None, None, 3, 5), (None, None, 4, 6), (None, 0.0, 5, 8), (7, 0.0, None, None)]
+    assert sorted((tuple(r)[:4] for r in spark.read.parquet(target).collect()), key=repr) == sorted(want, key=repr)
+    assert max(held) <= 600 and held[-1] <= 2
+
+
 def test_only_changed_buckets_are_merged(spark, tmp_path):
     from jobscape.sinks.keyed import KeyedTable
 
